@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str) -> DataFrame:
     numbered = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn(rank, numbered).filter(F.col(rank) <= n)
+    return df.withColumn(rank, numbered).filter(F.col(rank) <= n).withColumn(rank, F.col(rank).cast("bigint"))
 
 
 def rank_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rank: str) -> DataFrame:
     """1..n inside each group; ``df`` must hold one row per distinct code."""
-    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
 
 
 def global_rank(df: DataFrame, value: str, rank: str) -> DataFrame:

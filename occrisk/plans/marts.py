@@ -330,7 +330,9 @@ def risco_doenca(stg: Layer) -> DataFrame:
     group = Window.partitionBy("cbo_codigo", "fonte_linha")
     measured = _attributed(counted, stg).withColumns({
         "total_obitos_na_fonte": F.sum("total_obitos_com_condicao").over(group),
-        "rank_na_fonte": F.row_number().over(group.orderBy(F.desc("total_obitos_com_condicao"), F.asc("cid_normalizado"))),
+        "rank_na_fonte": F.row_number()
+        .over(group.orderBy(F.desc("total_obitos_com_condicao"), F.asc("cid_normalizado")))
+        .cast("bigint"),
     })
     rows = _graded(classify_codes(measured, "cid_normalizado"), stg).join(_classes(stg), "cnae_classe", "left")
     rows = _with_diagnosis(_with_occupation(rows, stg), stg, "cid_normalizado", "cid_descricao")
@@ -445,7 +447,7 @@ def causas_externas_por_cnae(stg: Layer) -> DataFrame:
     group = Window.partitionBy("cnae_classe")
     measured = by_class.withColumns({
         "total_obitos_causa_ext_cnae": F.sum("total_obitos").over(group),
-        "rank_causa": F.row_number().over(group.orderBy(F.desc("total_obitos"), F.asc("cid_causa"))),
+        "rank_causa": F.row_number().over(group.orderBy(F.desc("total_obitos"), F.asc("cid_causa"))).cast("bigint"),
     })
     rows = _graded(measured, stg).join(_classes(stg), "cnae_classe", "left").withColumns({
         "capitulo": codes.chapter(F.col("cid_causa")),
