@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occrisk.plans.layers import Layer
-from occrisk.sources import dictionaries, microdata
+from occrisk.sources import dictionaries, microdata, notices
 
 # Bonds represented by each line of the driver's microdata: spreads the score
 # over all of its bands.
@@ -57,16 +57,6 @@ def ym(d: str) -> str:
 
 K = "(((o_orderkey%300)*(o_custkey%300))%300)"
 
-# FIXED VALUES: column order of the accident-notice table.
-CAT_COLUMNS = [
-    "agente_causador", "data_competencia", "data_acidente", "cbo", "cid_10",
-    "cnae_empregador_cod", "cnae_empregador_desc", "emitente", "especie_beneficio",
-    "filiacao", "indica_obito", "munic_empregador", "natureza_lesao",
-    "origem_cadastro", "parte_corpo", "sexo", "tipo_acidente", "uf_acidente",
-    "uf_empregador", "data_despacho", "data_nascimento", "data_emissao",
-    "cnpj_empregador", "_source_file",
-]
-
 _CAT = {
     "agente_causador": "case when o_orderkey%19=0 then '{ñ class}' else 'Agente ' || cast(o_orderkey%9 as string) end",
     "data_competencia": f"case when o_orderkey%101=0 then '*****' else {ym('o_orderdate')} end",
@@ -111,6 +101,60 @@ _SIM = {
     " when 1 then ' ' else null end",
 }
 
+# Notices as they would lie in landing files: one layout per month, padded
+# cells, missing-value words, blank activities and records that are too wide.
+_LANDED = {
+    "path": f"'landing/' || {_CAT['_source_file']}",
+    "layout": "case month(o_orderdate)%3 when 1 then 'A' when 2 then 'B' else 'C' end",
+    "c_agent": _CAT["agente_causador"],
+    "c_ym": _CAT["data_competencia"],
+    "c_dmy": f"case when o_orderkey%71=0 then 'NaN' else ' ' || {dmy('o_orderdate')} end",
+    "c_occ": f"case when o_orderkey%37=0 then 'NA' else ' ' || {_CAT['cbo']} || ' ' end",
+    "c_occ_text": "'Ocupacao-' || cast(o_custkey%10 as string)",
+    "c_diag": _CAT["cid_10"],
+    "c_diag_text": "'Diagnostico ' || cast(o_orderkey%10 as string)",
+    "c_cnae": f"case when o_orderkey%59=0 then '' when o_orderkey%67=0 then '  ' else {_CAT['cnae_empregador_cod']} end",
+    "c_cnae_text": "'Atividade ' || cast(o_custkey%10 as string)",
+    "c_flag": _CAT["indica_obito"],
+    "c_munic": _CAT["munic_empregador"],
+    "c_lesion": _CAT["natureza_lesao"],
+    "c_part": _CAT["parte_corpo"],
+    "c_sex": _CAT["sexo"],
+    "c_kind": _CAT["tipo_acidente"],
+    "c_uf": _CAT["uf_empregador"],
+    "c_birth": _CAT["data_nascimento"],
+    "c_extra": "case when o_orderkey%113=0 then 'x' else null end",
+}
+
+# Header of each layout, and the landed column behind every header cell.
+_FIRST = [("Agente  Causador  Acidente", "c_agent")]
+_MIDDLE = [
+    ("CNAE2.0 Empregador", "c_cnae"), ("CNAE2.0 Empregador", "c_cnae_text"), ("Munic Empr", "c_munic"),
+    ("Natureza da Lesão", "c_lesion"), ("Parte Corpo Atingida", "c_part"), ("Sexo", "c_sex"),
+    ("Tipo do Acidente", "c_kind"), ("UF Munic. Empregador", "c_uf"), ("Data Nascimento", "c_birth"),
+]
+LAYOUT_CELLS = {
+    "A": _FIRST + [("Data Acidente", "c_ym"), ("CBO", "c_occ"), ("CBO", "c_occ_text"), ("CID-10", "c_diag"),
+                   ("CID-10", "c_diag_text"), ("Indica acidente", "c_flag")] + _MIDDLE + [("Data Acidente", "c_dmy")],
+    "B": _FIRST + [("Data Acidente", "c_ym"), ("CBO", "c_occ || '-' || c_occ_text"),
+                   ("CID-10", "c_diag || ' ' || c_diag_text"), ("Indica Óbito Acidente", "c_flag")]
+    + _MIDDLE + [("Data Acidente", "c_ym"), ("Data Acidente", "c_dmy")],
+    "C": _FIRST + [("CBO", "c_occ"), ("CBO", "c_occ_text"), ("CID-10", "c_diag"), ("CID-10", "c_diag_text"),
+                   ("Indica Óbito Acidente", "c_flag")] + _MIDDLE + [("Data Acidente", "c_dmy")],
+}
+
+# Entries of two file catalogues; the second repeats part of the first.
+_URL = (
+    "'https://files.example/' || case o_custkey%6"
+    f" when 0 then 'cat' || cast(year(o_orderdate)-1 as string) || '-comp-' || cast(month(o_orderdate) as string)"
+    " || '-' || cast(year(o_orderdate) as string) || '.csv'"
+    " when 1 then 'cat-copmp-04-05-06.zip'"
+    " when 2 then 'dicionario-' || cast(year(o_orderdate) as string) || '.xlsx'"
+    " when 3 then 'notes' || cast(month(o_orderdate) as string) || '.csv'"
+    " when 4 then 'd.sda.pda.005.cat.' || cast(year(o_orderdate) as string) || lpad(cast(month(o_orderdate) as string),2,'0') || '.zip'"
+    f" else {_CAT['_source_file']} end"
+)
+
 # raw table -> (driver table, filter, distinct, columns)
 PROJECTIONS: dict[str, tuple[str, str | None, bool, dict[str, str]]] = {
     # One row per subclass: the subclass suffix has two digits, so part keys
@@ -162,9 +206,28 @@ PROJECTIONS: dict[str, tuple[str, str | None, bool, dict[str, str]]] = {
         "vinculo_ativo_3112": "case l_linestatus when 'O' then '1' else '0' end",
     }),
     "cat_microdados": ("orders", None, False, {
-        name: _CAT.get(name, "cast(null as string)") for name in CAT_COLUMNS
+        name: _CAT.get(name, "cast(null as string)") for name in notices.NOTICE_COLUMNS
     }),
     "sim_microdados": ("events", None, False, _SIM),
+    "landed_notices": ("orders", None, False, _LANDED),
+    "catalogue": ("orders", None, False, {
+        "url": _URL,
+        "catalogo": "cast(1+o_orderkey%2 as int)",
+        "posicao": "o_orderkey",
+        "nome": "'Arquivo ' || cast(o_orderkey%10 as string)",
+    }),
+    # Load attempts per notice file: started always, finished or failed by key.
+    "load_events": ("orders", None, True, {
+        "id": f"{_CAT['_source_file']} || '#' || cast(o_custkey%3 as string)",
+        "table_name": "'cat_microdados'",
+        "partition_dt": "cast(null as string)",
+        "file_name": _CAT["_source_file"],
+        "started_at": "cast('2024-01-01 00:00:00' as timestamp)",
+        "finished_at": "case when o_orderkey%2=0 then cast('2024-01-01 01:00:00' as timestamp) else null end",
+        "status": "case when o_orderkey%2=1 then 'running' when month(o_orderdate)%4=o_custkey%3 then 'success' else 'error' end",
+        "rows_loaded": "cast(null as bigint)",
+        "error_msg": "cast(null as string)",
+    }),
 }
 
 # One row per occupation: distinct supplier keys may share a code from 900 000 on.
@@ -181,10 +244,32 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _landed_headers(landed: DataFrame) -> DataFrame:
+    """Header cells of every landed file, as a header reader would give them."""
+    out = F.lit(None).cast("array<string>")
+    for layout, cells in LAYOUT_CELLS.items():
+        out = F.when(F.col("layout") == layout, F.array(*[F.lit(name) for name, _ in cells])).otherwise(out)
+    files = landed.select("path", "layout").distinct()
+    return files.select("path", out.alias("header"), F.lit(None).cast("string").alias("error"))
+
+
+def _landed_records(landed: DataFrame) -> DataFrame:
+    """Records of the landed files, cells by position."""
+    out = F.lit(None).cast("array<string>")
+    for layout, cells in LAYOUT_CELLS.items():
+        row = F.array(*[F.expr(cell) for _, cell in cells], F.col("c_extra"))
+        out = F.when(F.col("layout") == layout, row).otherwise(out)
+    return landed.select("path", out.alias("cells"))
+
+
 def raw_layer(spark: SparkSession, sf_dir: str) -> Layer:
     """Raw layer on top of the driver tables in ``sf_dir``."""
 
     def build(name: str) -> DataFrame:
+        if name == "landed_headers":
+            return _landed_headers(layer["landed_notices"])
+        if name == "landed_records":
+            return _landed_records(layer["landed_notices"])
         if name == "rais_vinculos":
             bonds = microdata.aggregate_bonds(layer["rais_microdados"], FIRST_YEAR, LAST_YEAR)
             return bonds.withColumn("quantidade_vinculos", F.col("quantidade_vinculos") * BONDS_PER_LINE)

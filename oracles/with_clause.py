@@ -26,4 +26,7 @@ def statement(final: str) -> str:
     if not needed:
         return final
     head = ",\n".join(f"{name} as (\n{ctes[name]}\n)" for name in needed)
-    return f"with {head}\n{final}"
+    body = final.strip()
+    if body.startswith("with "):  # the statement brings CTEs of its own
+        return f"with {head},\n{body[5:]}"
+    return f"with {head}\n{body}"
