@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from occrisk.functions import labels as L
 
+# FIXED VALUES: white space known to Python's strip() within Latin-1.
+WHITE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+
 
 def lookup(table: dict, key: Column, default: str | None = None) -> Column:
     """Decode ``key`` through a literal table; a miss gives ``default`` (or NULL).
@@ -23,8 +26,8 @@ def blank_to_null(col: Column) -> Column:
 
 
 def strip_all(col: Column) -> Column:
-    """Strip every kind of white space, not only blanks."""
-    return F.regexp_replace(col, r"^\s+|\s+$", "")
+    """Strip every kind of white space of the single-byte encodings, not only blanks."""
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 def is_placeholder(col: Column) -> Column:

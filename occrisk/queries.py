@@ -71,7 +71,8 @@ def file_year_pruning(raw: Layer, stg: Layer) -> DataFrame:
 
 
 def _unified(raw: Layer) -> DataFrame:
-    return notices.unify(raw["landed_records"], notices.manifest(raw["landed_headers"]))
+    n_files = raw["landed_notices"].select("path").distinct().count()
+    return notices.unify(raw["landed_records"], notices.manifest(raw["landed_headers"]), n_files)
 
 
 @_register
@@ -89,12 +90,8 @@ def layout_unify(raw: Layer, stg: Layer) -> DataFrame:
 @_register
 def quarantine_split(raw: Layer, stg: Layer) -> DataFrame:
     """Accepted and quarantined records per landed file."""
-    good, bad = notices.split_quarantine(_unified(raw))
-    counted = [
-        part.groupBy("_source_file").agg(F.count(F.lit(1)).alias("linhas")).withColumn("destino", F.lit(name))
-        for part, name in ((good, "aceito"), (bad, "quarentena"))
-    ]
-    return counted[0].unionByName(counted[1])
+    target = F.when(F.col("em_quarentena"), "quarentena").otherwise("aceito").alias("destino")
+    return notices.flag_quarantine(_unified(raw)).groupBy("_source_file", target).agg(F.count(F.lit(1)).alias("linhas"))
 
 
 @_register

@@ -244,13 +244,14 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _landed_headers(landed: DataFrame) -> DataFrame:
+def _landed_headers(spark: SparkSession, landed: DataFrame) -> DataFrame:
     """Header cells of every landed file, as a header reader would give them."""
-    out = F.lit(None).cast("array<string>")
-    for layout, cells in LAYOUT_CELLS.items():
-        out = F.when(F.col("layout") == layout, F.array(*[F.lit(name) for name, _ in cells])).otherwise(out)
+    known = spark.createDataFrame(
+        [(layout, [name for name, _ in cells]) for layout, cells in LAYOUT_CELLS.items()],
+        "layout string, header array<string>",
+    )
     files = landed.select("path", "layout").distinct()
-    return files.select("path", out.alias("header"), F.lit(None).cast("string").alias("error"))
+    return files.join(known, "layout").select("path", "header", F.lit(None).cast("string").alias("error"))
 
 
 def _landed_records(landed: DataFrame) -> DataFrame:
@@ -267,7 +268,7 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> Layer:
 
     def build(name: str) -> DataFrame:
         if name == "landed_headers":
-            return _landed_headers(layer["landed_notices"])
+            return _landed_headers(spark, layer["landed_notices"])
         if name == "landed_records":
             return _landed_records(layer["landed_notices"])
         if name == "rais_vinculos":

@@ -44,6 +44,9 @@ OCCUPATION, DIAGNOSIS = "CBO", "CID-10"
 SECOND_OCCUPATION = "CBO.1"
 DATE, SECOND_DATE, THIRD_DATE = "Data Acidente", "Data Acidente.1", "Data Acidente.2"
 DEATH_FLAG_OLD, DEATH_FLAG = "Indica acidente", "Indica Óbito Acidente"
+# A manifest row is about 300 bytes: 100 000 files make some 30 MB.
+BROADCAST_FILES = 100_000
+
 REQUIRED_HEADERS = (OCCUPATION, DIAGNOSIS)
 REQUIRED_VALUES = ("cnae_empregador_cod", "data_acidente")
 
@@ -99,13 +102,17 @@ def manifest(headers: DataFrame) -> DataFrame:
     )
 
 
-def unify(records: DataFrame, files: DataFrame) -> DataFrame:
+def unify(records: DataFrame, files: DataFrame, n_files: int) -> DataFrame:
     """Records of any layout as the 24 unified columns plus ``malformed``.
 
-    ``files`` (one small row per file) joins on the path; AQE broadcasts it
-    when its measured size allows.
+    ``files`` holds one short row per file.  Its counted number decides whether
+    it is broadcast, which spares the records a shuffle; with more files than
+    ``BROADCAST_FILES`` the join is left to AQE.
     """
-    rows = records.join(files.filter(F.col("error").isNull()), "path", "inner")
+    readable = files.filter(F.col("error").isNull())
+    if n_files <= BROADCAST_FILES:
+        readable = F.broadcast(readable)
+    rows = records.join(readable, "path", "inner")
     layout = F.col("layout")
 
     def value(name: str) -> Column:
@@ -130,17 +137,22 @@ def unify(records: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def split_quarantine(unified: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantined): a row without activity or date, or wider than its header, is bad."""
-    bad = F.coalesce("malformed", F.lit(False))
+def flag_quarantine(unified: DataFrame) -> DataFrame:
+    """Add ``em_quarentena``: no activity, no date, or more cells than the header."""
+    bad = F.col("malformed")
     for name in REQUIRED_VALUES:
-        bad = bad | F.col(name).isNull() | (F.col(name) == "")
-    flagged = unified.withColumn("_bad", F.coalesce(bad, F.lit(True))).drop("malformed")
-    return flagged.filter(~F.col("_bad")).drop("_bad"), flagged.filter("_bad").drop("_bad")
+        bad = bad | (F.coalesce(name, F.lit("")) == "")
+    return unified.withColumn("em_quarentena", bad).drop("malformed")
+
 
+def split_quarantine(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantined) rows."""
+    bad = F.col("em_quarentena")
+    return flagged.filter(~bad).drop("em_quarentena"), flagged.filter(bad).drop("em_quarentena")
 
-def read_notices(spark: SparkSession, directory: str, first_year: int, last_year: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(good, quarantined, file status) of a landing directory.
+
+def read_notices(spark: SparkSession, directory: str, first_year: int, last_year: int) -> tuple[DataFrame, DataFrame]:
+    """(flagged rows, file status) of a landing directory.
 
     Unreadable files only show in the status; the job fails when none loads.
     """
@@ -170,8 +182,22 @@ def read_notices(spark: SparkSession, directory: str, first_year: int, last_year
     )
     if status.filter(F.col("status") == "ok").isEmpty():
         raise RuntimeError("no notice file could be read")
-    good, bad = split_quarantine(unify(cells, files))
-    return good, bad, status
+    return flag_quarantine(unify(cells, files, len(names))), status
+
+
+def land_notices(spark: SparkSession, directory: str, target: str, first_year: int, last_year: int, run_date: str) -> DataFrame:
+    """Replace ``target/rows`` with the landing's rows and store its bad rows.
+
+    The files are read once: good and bad rows are written by the same job into
+    two partitions, and the quarantine copy is made from the stored one.
+    Returns the good rows.
+    """
+    flagged, status = read_notices(spark, directory, first_year, last_year)
+    flagged.write.mode("overwrite").partitionBy("em_quarentena").parquet(f"{target}/rows")
+    status.write.mode("overwrite").parquet(f"{target}/status")
+    good, bad = split_quarantine(spark.read.parquet(f"{target}/rows"))
+    write_quarantine(bad, f"{target}/quarantine", run_date)
+    return good
 
 
 def write_quarantine(bad: DataFrame, directory: str, run_date: str) -> None:

@@ -26,9 +26,10 @@ def land_new_files(
 ) -> None:
     """Unify every new file of ``directory`` into ``target`` and stop.
 
-    Writes ``target/good``, ``target/quarantine`` and ``target/status``, each
-    partitioned by micro-batch.  A batch repeated after a failure overwrites
-    its own partition, so files are neither lost nor landed twice.
+    Writes ``target/rows`` (good and quarantined rows in partitions of their
+    own) and ``target/status``, partitioned by micro-batch.  A batch repeated
+    after a failure overwrites its own partitions, so files are neither lost
+    nor landed twice.
     """
     stream = (
         spark.readStream.format("binaryFile")
@@ -41,20 +42,21 @@ def land_new_files(
         text.file_format(name).isin("CSV", "ZIP") & text.year_of_file(name).between(first_year, last_year)
     )
 
-    def store(part: DataFrame, folder: str) -> None:
+    def store(part: DataFrame, folder: str, batch_id: int, *more: str) -> None:
         (
-            part.write.mode("overwrite")
+            part.withColumn("batch", F.lit(batch_id))
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
+            .partitionBy("batch", *more)
             .parquet(f"{target}/{folder}")
         )
 
     def land(batch: DataFrame, batch_id: int) -> None:
         files = notices.manifest(landing.binary_headers(batch))
-        good, bad = notices.split_quarantine(notices.unify(landing.binary_records(batch), files))
-        status = files.select("_source_file", "layout", "error")
-        for part, folder in ((good, "good"), (bad, "quarantine"), (status, "status")):
-            store(part.withColumn("batch", F.lit(batch_id)), folder)
+        n_files = batch.select("path").count()
+        rows = notices.unify(landing.binary_records(batch), files, n_files)
+        store(notices.flag_quarantine(rows), "rows", batch_id, "em_quarentena")
+        store(files.select("_source_file", "layout", "error"), "status", batch_id)
 
     query = (
         chosen.writeStream.foreachBatch(land)
