@@ -8,13 +8,10 @@ from pyspark.sql import functions as F
 from occrisk.functions import labels as L
 
 
-def _usable(text: Column) -> Column:
-    return text.isNotNull() & (text != "") & ~text.startswith(L.PLACEHOLDER_MARK)
-
-
 def day_month_year(text: Column) -> Column:
-    """Date of a ``d/m/yyyy`` text; an impossible date is NULL."""
-    return F.try_to_date(text, "d/M/yyyy")
+    """Date of a ``d/m/yyyy`` text; blanks, placeholders and impossible dates are NULL."""
+    worth_parsing = (text != "") & ~text.startswith(L.PLACEHOLDER_MARK)
+    return F.when(worth_parsing, F.try_to_date(text, "d/M/yyyy"))
 
 
 def _ymd(day: Column) -> Column:
@@ -27,15 +24,12 @@ def whole_years_between(later: Column, earlier: Column) -> Column:
     yyyymmdd integers subtract to years * 10000 plus a remainder whose sign
     tells whether the anniversary has passed, so one truncating division
     suffices (29 Feb 2000 to 28 Feb 2001 is 0, to 1 Mar 2001 is 1).
+
+    Pass columns, not parsing expressions: each date is read three times.
     """
     return F.call_function("div", _ymd(later) - _ymd(earlier), F.lit(10000)).cast("int")
 
 
-def age_at_event(event: Column, birth: Column) -> Column:
-    years = whole_years_between(day_month_year(event), day_month_year(birth))
-    return F.when(_usable(event) & _usable(birth), years)
-
-
 def age_band(age: Column, oldest: int | None = None) -> Column:
     """Band label; with ``oldest`` the last band is closed there.
 

@@ -15,11 +15,20 @@ from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], keep: Sequence[str]) -> DataFrame:
-    """Keep, per key, the row that comes first in ``order``, then in ``keep``."""
-    ordering = F.struct(
-        *[col.alias(f"o{i}") for i, col in enumerate(order)], *[F.col(name) for name in keep]
+    """Keep, per key, the row that comes first in ``order``, then in ``keep``.
+
+    Equal rows are folded by a hash aggregation first.  Its count is tested so
+    that Catalyst, which knows a minimum to ignore duplicates, does not fold
+    that step away and sort the raw rows instead.
+    """
+    ranks = {f"_o{i}": col for i, col in enumerate(order)}
+    folded = (
+        df.select(*keys, *keep, *[col.alias(name) for name, col in ranks.items()])
+        .groupBy(*keys, *keep, *ranks)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > 0)
     )
-    best = df.groupBy(*keys).agg(F.min(ordering).alias("_first"))
+    best = folded.groupBy(*keys).agg(F.min(F.struct(*ranks, *keep)).alias("_first"))
     return best.select(*keys, *[F.col(f"_first.{name}").alias(name) for name in keep])
 
 

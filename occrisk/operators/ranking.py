@@ -28,8 +28,9 @@ def global_rank(df: DataFrame, value: str, rank: str) -> DataFrame:
     """Rank (ties share, gaps follow) over the whole relation.
 
     The rank of a value is one plus the number of rows above it.  Only the
-    distinct values meet in the one-partition window; rows get their rank back
-    by an equi-join, so the relation itself is never gathered.
+    distinct values meet in the one-partition window (counts that add up to N
+    have at most sqrt(2N) distinct values); rows get their rank back by an
+    equi-join, so the relation itself is never gathered.
     """
     above = Window.orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
     ranks = (

@@ -132,7 +132,7 @@ def risco_acidente(stg: Layer) -> DataFrame:
         F.count(F.lit(1)).alias("total_acidentes"), _count_if(F.col("obito")).alias("total_obitos_acidente")
     )
     described = keyed.first_per_key(
-        stg["stg_dim_cnae"].filter(F.col("cnae_classe").isNotNull()).select(*CLASS_COLUMNS).distinct(),
+        stg["stg_dim_cnae"].filter(F.col("cnae_classe").isNotNull()),
         ["cnae_classe"], [], CLASS_COLUMNS[1:],
     )
     rows = counted.join(_graded(_with_prefix(described), stg), "cnae_cod_4", "inner")
@@ -215,10 +215,12 @@ def perfil_risco_cnae(stg: Layer) -> DataFrame:
     heads = ranking.top_n(
         occupations, ["cnae_cod_4"], [F.desc("acidentes_cbo"), F.asc("cbo_codigo")], TOP_OCCUPATIONS, "rank_cbo"
     )
+    # Notices without a diagnosis rank last and are cut afterwards: filtered
+    # here, they would give this branch a scan and a shuffle of its own.
     leaves = ranking.top_n(
-        cells.filter(diagnosed), ["cnae_cod_4", "cbo_codigo"],
-        [F.desc("acidentes_cid"), F.asc("cid_10")], TOP_DIAGNOSES, "rank_cid",
-    )
+        cells, ["cnae_cod_4", "cbo_codigo"],
+        [F.desc(diagnosed), F.desc("acidentes_cid"), F.asc("cid_10")], TOP_DIAGNOSES, "rank_cid",
+    ).filter(diagnosed)
     exposure = (
         stg["stg_fact_rais"].groupBy("cnae_classe", "cbo_codigo").agg(F.sum("quantidade_vinculos").alias("_v"))
     )
@@ -488,7 +490,7 @@ def score_risco_cnae(stg: Layer) -> DataFrame:
         .agg(F.sum("total_vinculos").alias("total_vinculos"))
     )
     classes = keyed.first_per_key(
-        _with_prefix(_classes(stg, ["cnae_classe", "cnae_descricao_classe"])),
+        _with_prefix(stg["stg_dim_cnae"]),
         ["cnae_cod_4"], [], ["cnae_classe", "cnae_descricao_classe"],
     )
     rows = accidents.join(classes, "cnae_cod_4", "inner").join(exposure, "cnae_cod_4", "left").withColumns({

@@ -6,7 +6,7 @@ column pruning and filters reach the raw scans through these projections.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occrisk.functions import ages, codes, text
@@ -79,6 +79,19 @@ def fact_rais(raw: Layer) -> DataFrame:
     )
 
 
+def age_dates() -> list[Column]:
+    """Dates of accident and birth, parsed once ahead of ``with_age``."""
+    return [
+        ages.day_month_year(F.col("data_acidente")).alias("_event"),
+        ages.day_month_year(F.col("data_nascimento")).alias("_birth"),
+    ]
+
+
+def with_age(df: DataFrame) -> DataFrame:
+    """Whole years from birth to accident as ``_age``."""
+    return df.withColumn("_age", ages.whole_years_between(F.col("_event"), F.col("_birth"))).drop("_event", "_birth")
+
+
 def fact_cat(raw: Layer) -> DataFrame:
     """Work-accident notices, one row per notice.
 
@@ -105,10 +118,10 @@ def fact_cat(raw: Layer) -> DataFrame:
                 text.placeholder_to_null(F.col(name)).alias(name)
                 for name in ("natureza_lesao", "parte_corpo", "agente_causador")
             ],
-            ages.age_at_event(F.col("data_acidente"), F.col("data_nascimento")).alias("_age"),
+            *age_dates(),
         )
     )
-    return typed.withColumn("faixa_etaria", ages.age_band(F.col("_age"))).drop("_age")
+    return with_age(typed).withColumn("faixa_etaria", ages.age_band(F.col("_age"))).drop("_age")
 
 
 def fact_sim(raw: Layer) -> DataFrame:

@@ -18,7 +18,7 @@ from occrisk.operators.expand import explode_codes
 from occrisk.plans import loads, marts, quality
 from occrisk.plans.layers import Layer
 from occrisk.plans.marts import MARTS
-from occrisk.plans.staging import STAGING, staging_layer
+from occrisk.plans.staging import STAGING, age_dates, staging_layer, with_age
 from occrisk.sources import dictionaries, landing, notices, profile
 from occrisk.sources.adapter import raw_layer
 
@@ -181,7 +181,7 @@ def distinct_on_first(raw: Layer, stg: Layer) -> DataFrame:
     seen = stg["stg_fact_cat"].filter(F.col("cbo_codigo").isNotNull() & F.col("ano").isNotNull())
     columns = ["ano", "mes", "cnae_cod_4"]
     return keyed.first_per_key(
-        seen.select("cbo_codigo", *columns).distinct(), ["cbo_codigo"], [F.col("ano"), F.col("mes")], columns
+        seen, ["cbo_codigo"], [F.col("ano"), F.col("mes")], columns
     )
 
 
@@ -292,8 +292,8 @@ def cid_normalisers(raw: Layer, stg: Layer) -> DataFrame:
 @_register
 def age_and_bands(raw: Layer, stg: Layer) -> DataFrame:
     """Notices per age at the accident and age band."""
-    age = ages.age_at_event(F.col("data_acidente"), F.col("data_nascimento"))
-    counted = raw["cat_microdados"].groupBy(age.alias("idade")).agg(F.count(F.lit(1)).alias("avisos"))
+    aged = with_age(raw["cat_microdados"].select(*age_dates()))
+    counted = aged.groupBy(F.col("_age").alias("idade")).agg(F.count(F.lit(1)).alias("avisos"))
     return counted.withColumn("faixa_etaria", ages.age_band(F.col("idade")))
 
 

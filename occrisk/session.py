@@ -11,7 +11,12 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # The JVM interprets, and never compiles, methods beyond 8000 bytes of byte
+    # code.  Wide projections fused into one such method run several times
+    # slower than unfused ones, whose expressions are split into small methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

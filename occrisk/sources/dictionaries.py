@@ -38,4 +38,4 @@ def diagnosis_dictionary(subcategories: DataFrame, categories: DataFrame) -> Dat
     entries = _entries(subcategories, "SUBCAT", "DESCRICAO", 0, codes.dictionary_code).unionByName(
         _entries(categories, "CAT", "DESCRICAO", 1, lambda code: code)
     )
-    return first_per_key(entries.distinct(), ["cid_codigo"], [F.col("_priority")], ["cid_descricao"])
+    return first_per_key(entries, ["cid_codigo"], [F.col("_priority")], ["cid_descricao"])
