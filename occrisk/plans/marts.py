@@ -76,27 +76,21 @@ def bonds_by_class(stg: Layer) -> DataFrame:
     return stg["stg_fact_rais"].groupBy("cnae_classe").agg(F.sum("quantidade_vinculos").alias("total_vinculos"))
 
 
-def bonds_by_class_year(stg: Layer) -> DataFrame:
-    return stg["stg_fact_rais"].groupBy("cnae_classe", "ano").agg(F.sum("quantidade_vinculos").alias("total_vinculos"))
+def common_years(stg: Layer) -> Column:
+    """Condition on ``ano``: inside the years covered by notices and by bonds.
 
+    Scalar subqueries over the year column alone; as a filter on a fact stored
+    by year they prune its partitions at run time.
+    """
+    return F.col("ano").between(*relations.year_intersection(stg["stg_fact_cat"], stg["stg_fact_rais"]))
+
+
+def _at_work() -> Column:
+    return F.col("tipo_acidente").isin(*L.WORK_ACCIDENT_TYPES)
 
-def notices_by_prefix_year(stg: Layer) -> DataFrame:
-    """Accident counts per activity prefix and year: the only scan of the
-    notices that the score and its complement need."""
-    kind, died = F.col("tipo_acidente"), F.col("obito")
-    at_work = kind.isin(*L.WORK_ACCIDENT_TYPES)
-    return (
-        stg["stg_fact_cat"]
-        .filter(F.col("cnae_cod_4").isNotNull())
-        .groupBy("cnae_cod_4", "ano")
-        .agg(
-            F.count(F.lit(1)).alias("total_cat"),
-            _count_if(at_work).alias("acidentes_trabalho"),
-            _count_if(kind == L.COMMUTE_ACCIDENT_TYPE).alias("acidentes_trajeto"),
-            _count_if(died).alias("obitos"),
-            _count_if(died & at_work).alias("obitos_trabalho"),
-        )
-    )
+
+def _commuting() -> Column:
+    return F.col("tipo_acidente") == L.COMMUTE_ACCIDENT_TYPE
 
 
 # --- accident notices ------------------------------------------------------------
@@ -475,19 +469,25 @@ def score_risco_cnae(stg: Layer) -> DataFrame:
     Accidents and bonds are restricted to the years that both sources cover.
     Rates are rounded to parts per million before they meet the limits.
     """
-    notices, bonds = notices_by_prefix_year(stg), bonds_by_class_year(stg)
-    first, last = relations.year_intersection(notices, bonds)
-    counts = ["acidentes_trabalho", "acidentes_trajeto", "obitos", "obitos_trabalho"]
+    first, last = relations.year_intersection(stg["stg_fact_cat"], stg["stg_fact_rais"])
+    in_window = F.col("ano").between(first, last)
+    died = F.col("obito")
     accidents = (
-        notices.filter(F.col("ano").between(first, last))
+        stg["stg_fact_cat"]
+        .filter(F.col("cnae_cod_4").isNotNull() & in_window)
         .groupBy("cnae_cod_4")
-        .agg(*[F.sum(c).alias(c) for c in counts])
+        .agg(
+            _count_if(_at_work()).alias("acidentes_trabalho"),
+            _count_if(_commuting()).alias("acidentes_trajeto"),
+            _count_if(died).alias("obitos"),
+            _count_if(died & _at_work()).alias("obitos_trabalho"),
+        )
         .filter(F.col("acidentes_trabalho") > 0)
     )
     exposure = (
-        bonds.filter(F.col("ano").between(first, last))
+        stg["stg_fact_rais"].filter(in_window)
         .groupBy(_prefix().alias("cnae_cod_4"))
-        .agg(F.sum("total_vinculos").alias("total_vinculos"))
+        .agg(F.sum("quantidade_vinculos").alias("total_vinculos"))
     )
     classes = keyed.first_per_key(
         _with_prefix(stg["stg_dim_cnae"]),
@@ -499,8 +499,8 @@ def score_risco_cnae(stg: Layer) -> DataFrame:
     })
     rate, fatality = F.col("_rate"), F.col("_fatality")
     return rows.select(
-        "cnae_classe", "cnae_descricao_classe", first.alias("ano_inicio"), last.alias("ano_fim"), *counts,
-        "total_vinculos",
+        "cnae_classe", "cnae_descricao_classe", first.alias("ano_inicio"), last.alias("ano_fim"),
+        "acidentes_trabalho", "acidentes_trajeto", "obitos", "obitos_trabalho", "total_vinculos",
         rates.from_ppm(rate).alias("taxa_acidente"),
         rates.from_ppm(fatality).alias("taxa_obito"),
         rates.base_score(rate).alias("score_base"),
@@ -512,18 +512,26 @@ def score_risco_cnae(stg: Layer) -> DataFrame:
 def cnae_sem_score(stg: Layer, score: DataFrame | None = None) -> DataFrame:
     """Classes without a score, with the evidence why.
 
-    Counts here use all years, unlike the score.  ``score`` may be the stored
-    score table; by default its plan is derived again.
+    The evidence counts all years, unlike the score.  With the stored score
+    table this is its null-aware complement.  Without it, a class has no score
+    exactly when its prefix has no work accident in the common years, which
+    the scan that collects the evidence can count along.
     """
-    score = score_risco_cnae(stg) if score is None else score
-    evidence = notices_by_prefix_year(stg).groupBy("cnae_cod_4").agg(
-        *[F.sum(c).alias(c) for c in ("total_cat", "acidentes_trabalho", "acidentes_trajeto")]
-    )
-    bonds = bonds_by_class_year(stg).groupBy("cnae_classe").agg(F.sum("total_vinculos").alias("total_vinculos"))
-    scored = score.select(_prefix().alias("_scored")).distinct()
+    counts = [
+        F.count(F.lit(1)).alias("total_cat"),
+        _count_if(_at_work()).alias("acidentes_trabalho"),
+        _count_if(_commuting()).alias("acidentes_trajeto"),
+    ]
     classes = _with_prefix(_classes(stg, ["cnae_classe", "cnae_descricao_classe"]))
-    rows = relations.null_aware_anti(classes, F.col("cnae_cod_4"), scored, "_scored")
-    rows = rows.join(evidence, "cnae_cod_4", "left").join(bonds, "cnae_classe", "left")
+    if score is None:
+        counts.append(_count_if(_at_work() & common_years(stg)).alias("_scored"))
+    else:
+        scored = score.select(_prefix().alias("_scored")).distinct()
+        classes = relations.null_aware_anti(classes, F.col("cnae_cod_4"), scored, "_scored")
+    evidence = stg["stg_fact_cat"].filter(F.col("cnae_cod_4").isNotNull()).groupBy("cnae_cod_4").agg(*counts)
+    rows = classes.join(evidence, "cnae_cod_4", "left").join(bonds_by_class(stg), "cnae_classe", "left")
+    if score is None:
+        rows = rows.filter(F.col("cnae_cod_4").isNotNull() & (F.coalesce("_scored", F.lit(0)) == 0))
     return rows.select(
         "cnae_classe", "cnae_descricao_classe",
         *[
