@@ -146,8 +146,8 @@ def flag_quarantine(unified: DataFrame) -> DataFrame:
 
 
 def split_quarantine(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantined) rows."""
-    bad = F.col("em_quarentena")
+    """(good, quarantined) rows; the flag may be a partition column read back as text."""
+    bad = F.col("em_quarentena").cast("boolean")
     return flagged.filter(~bad).drop("em_quarentena"), flagged.filter(bad).drop("em_quarentena")
 
 
