@@ -63,13 +63,15 @@ def create_ledger(spark: SparkSession, path: str) -> None:
     spark.createDataFrame([], LEDGER_SCHEMA).write.mode("ignore").parquet(path)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
+def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Drop the old contents and write the new ones."""
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
 def load_table(
-    spark: SparkSession, ledger: str, table: str, label: str, build: Callable[[], DataFrame], target: str, force: bool = False
+    spark: SparkSession, ledger: str, table: str, label: str, build: Callable[[], DataFrame], target: str,
+    force: bool = False, partition_by: str | None = None,
 ) -> str:
     """Replace ``target`` with ``build()`` unless the same label was loaded before.
 
@@ -87,7 +89,7 @@ def load_table(
     }
     _append(spark, ledger, status=RUNNING, **event)
     try:
-        replace_table(build(), target)
+        replace_table(build(), target, partition_by)
         loaded = spark.read.parquet(target).count()
     except Exception as exc:
         _append(

@@ -14,15 +14,22 @@ STORED_STAGING = (
     "stg_dim_cnae", "stg_dim_cbo", "stg_dim_grau_risco", "stg_dim_cid",
     "stg_fact_rais", "stg_fact_cat", "stg_fact_sim",
 )
+# Facts partitioned by year: the score's year window then prunes at run time.
+STORED_BY_YEAR = ("stg_fact_rais", "stg_fact_cat", "stg_fact_sim")
+
+
+def stored_layer(stored: Layer, raw: Layer) -> Layer:
+    """Stored relations where there are any, views over raw for the rest."""
+    return Layer(lambda name: stored[name] if name in STORED_STAGING else STAGING[name](raw))
 
 
 def store_staging(spark: SparkSession, raw: Layer, root: str) -> Layer:
     """Write the shared staging relations; the layer returned reads them back."""
     views = staging_layer(raw)
     for name in STORED_STAGING:
-        views[name].write.mode("overwrite").parquet(f"{root}/{name}")
-    stored = Layer.of_parquet(spark, root)
-    return Layer(lambda name: stored[name] if name in STORED_STAGING else STAGING[name](raw))
+        writer = views[name].write.mode("overwrite")
+        (writer.partitionBy("ano") if name in STORED_BY_YEAR else writer).parquet(f"{root}/{name}")
+    return stored_layer(Layer.of_parquet(spark, root), raw)
 
 
 def build_mart(name: str, stg: Layer, marts: Layer) -> DataFrame:

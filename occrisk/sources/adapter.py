@@ -281,7 +281,8 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> Layer:
         if name == "dim_cbo":
             table, key, where, code, columns = OCCUPATION
             keys = driver_table(spark, sf_dir, table).filter(where).groupBy(F.expr(code).alias("_c"))
-            return keys.agg(F.min(key).alias(key)).selectExpr(*[f"{e} as {c}" for c, e in columns.items()])
+            rows = keys.agg(F.min(key).alias(key)).selectExpr(*[f"{e} as {c}" for c, e in columns.items()])
+            return microdata.dimension(rows, name)
         table, where, distinct, columns = PROJECTIONS[name]
         source = driver_table(spark, sf_dir, table)
         rows = (source.filter(where) if where else source).selectExpr(*[f"{e} as {c}" for c, e in columns.items()])

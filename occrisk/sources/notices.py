@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -151,10 +153,14 @@ def split_quarantine(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flagged.filter(~bad).drop("em_quarentena"), flagged.filter(bad).drop("em_quarentena")
 
 
-def read_notices(spark: SparkSession, directory: str, first_year: int, last_year: int) -> tuple[DataFrame, DataFrame]:
+def read_notices(
+    spark: SparkSession, directory: str, first_year: int, last_year: int, manifest_path: str
+) -> tuple[DataFrame, DataFrame]:
     """(flagged rows, file status) of a landing directory.
 
-    Unreadable files only show in the status; the job fails when none loads.
+    The manifest is written to ``manifest_path`` and read back: headers are
+    taken from the files once, and Spark knows its size.  Unreadable files only
+    show in the status; the job fails when none loads.
     """
     chosen = landing.prune_files(landing.listing(spark, directory), first_year, last_year)
     # File metadata, as Spark's own file index holds it: one short row per file.
@@ -170,31 +176,28 @@ def read_notices(spark: SparkSession, directory: str, first_year: int, last_year
     if zipped:
         archives = spark.read.format("binaryFile").load(zipped)
         heads.append(landing.binary_headers(archives))
-        records.append(landing.binary_records(archives))
-    headers = heads[0] if len(heads) == 1 else heads[0].unionByName(heads[1])
-    cells = records[0] if len(records) == 1 else records[0].unionByName(records[1])
-    found = chosen.select("path").join(headers, "path", "left")
-    files = manifest(
-        found.withColumn("error", F.when(F.col("header").isNull(), F.coalesce("error", F.lit("no header found"))).otherwise(F.col("error")))
-    )
+        records.append(landing.binary_records(archives).select("path", "cells"))
+    found = chosen.select("path").join(reduce(DataFrame.unionByName, heads), "path", "left")
+    unknown = F.when(F.col("header").isNull(), F.coalesce("error", F.lit("no header found")))
+    manifest(found.withColumn("error", F.coalesce(unknown, "error"))).write.mode("overwrite").parquet(manifest_path)
+    files = spark.read.parquet(manifest_path)
     status = files.select(
         "path", "_source_file", "layout", F.when(F.col("error").isNull(), "ok").otherwise("error").alias("status"), "error"
     )
     if status.filter(F.col("status") == "ok").isEmpty():
         raise RuntimeError("no notice file could be read")
+    cells = reduce(DataFrame.unionByName, records)
     return flag_quarantine(unify(cells, files, len(names))), status
 
 
 def land_notices(spark: SparkSession, directory: str, target: str, first_year: int, last_year: int, run_date: str) -> DataFrame:
     """Replace ``target/rows`` with the landing's rows and store its bad rows.
 
-    The files are read once: good and bad rows are written by the same job into
-    two partitions, and the quarantine copy is made from the stored one.
-    Returns the good rows.
+    Good and bad rows are written by one job into two partitions, and the
+    quarantine copy is made from the stored one.  Returns the good rows.
     """
-    flagged, status = read_notices(spark, directory, first_year, last_year)
+    flagged, _ = read_notices(spark, directory, first_year, last_year, f"{target}/manifest")
     flagged.write.mode("overwrite").partitionBy("em_quarentena").parquet(f"{target}/rows")
-    status.write.mode("overwrite").parquet(f"{target}/status")
     good, bad = split_quarantine(spark.read.parquet(f"{target}/rows"))
     write_quarantine(bad, f"{target}/quarantine", run_date)
     return good

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,5 +35,17 @@ def profile(tables: Layer, names: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(n) for n in names])
 
 
+def readable(tables: Layer, names: list[str]) -> tuple[list[str], dict[str, str]]:
+    """Names whose schema resolves, and the error of those whose does not."""
+    good, errors = [], {}
+    for name in names:
+        try:
+            tables[name].schema  # noqa: B018 - resolves the source
+            good.append(name)
+        except AnalysisException as exc:
+            errors[name] = str(exc)
+    return good, errors
+
+
 def sample(df: DataFrame) -> DataFrame:
     return df.limit(SAMPLE_ROWS)
