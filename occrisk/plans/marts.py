@@ -322,7 +322,9 @@ def risco_doenca(stg: Layer) -> DataFrame:
         F.sum("total_obitos").alias("total_obitos_com_condicao")
     )
     # An occupation has exactly one class, so (occupation, line) is the group
-    # of (class, occupation, line): at most one row per diagnosis code.
+    # of (class, occupation, line).  After the count a group has one row per
+    # code, and line codes have three to six characters, so its size is bounded
+    # by the diagnosis dictionary, however hot the occupation.
     group = Window.partitionBy("cbo_codigo", "fonte_linha")
     measured = _attributed(counted, stg).withColumns({
         "total_obitos_na_fonte": F.sum("total_obitos_com_condicao").over(group),
@@ -400,7 +402,7 @@ def comorbidades_por_cnae(stg: Layer) -> DataFrame:
         F.sum("_n").alias("total_obitos_com_comorbidade")
     )
     ranked = ranking.rank_in_group(
-        by_class, ["cnae_classe"], [F.desc("total_obitos_com_comorbidade"), F.asc("cid_comorbidade")], "rank_comorbidade"
+        by_class, ["cnae_classe"], "total_obitos_com_comorbidade", "cid_comorbidade", "rank_comorbidade"
     )
     base_by_occupation = with_part_two.groupBy("cbo_codigo").agg(F.sum("total_obitos").alias("_n"))
     base = _attributed(base_by_occupation, stg).groupBy("cnae_classe").agg(
@@ -439,12 +441,10 @@ def causas_externas_por_cnae(stg: Layer) -> DataFrame:
     by_class = _attributed(by_occupation, stg).groupBy("cnae_classe", "cid_causa").agg(
         F.sum("_n").alias("total_obitos"), F.sum("_w").alias("total_obitos_trabalho")
     )
-    # One row per diagnosis code in each class: both windows share one exchange.
-    group = Window.partitionBy("cnae_classe")
-    measured = by_class.withColumns({
-        "total_obitos_causa_ext_cnae": F.sum("total_obitos").over(group),
-        "rank_causa": F.row_number().over(group.orderBy(F.desc("total_obitos"), F.asc("cid_causa"))).cast("bigint"),
-    })
+    totals = by_class.groupBy("cnae_classe").agg(F.sum("total_obitos").alias("total_obitos_causa_ext_cnae"))
+    measured = ranking.rank_in_group(by_class, ["cnae_classe"], "total_obitos", "cid_causa", "rank_causa").join(
+        totals, "cnae_classe"
+    )
     rows = _graded(measured, stg).join(_classes(stg), "cnae_classe", "left").withColumns({
         "capitulo": codes.chapter(F.col("cid_causa")),
         "cid_categoria": codes.category(F.col("cid_causa")),

@@ -67,6 +67,20 @@ def test_global_rank_shares_ties_and_leaves_gaps(spark):
     assert rows(ranking.global_rank(df, "v", "r").select("k", "r")) == [("a", 2), ("b", 1), ("c", 2), ("d", 4)]
 
 
+def test_rank_in_group_of_a_hot_group(spark):
+    """Ties, equal category prefixes and short codes in one group of many codes."""
+    rng = random.Random(3)
+    codes = sorted({"".join(rng.choice("ABC01.") for _ in range(rng.randrange(1, 7))) for _ in range(900)})
+    data = [("hot", c, rng.choice([1, 1, 1, 2, 3, 50])) for c in codes] + [("cold", "A", 1), ("cold", "AA", 1)]
+    df = spark.createDataFrame(data, "k string, code string, n bigint")
+    got = {(r["k"], r["code"]): r["r"] for r in ranking.rank_in_group(df, ["k"], "n", "code", "r").collect()}
+    want = {}
+    for key in ("hot", "cold"):
+        group = sorted((-n, c) for k, c, n in data if k == key)
+        want |= {(key, c): i for i, (_, c) in enumerate(group, 1)}
+    assert got == want
+
+
 def test_nested_top_n(spark, bonds):
     cells = Counter((k, p, w) for k, p, w in bonds)
     data = [(p, k, str(w), n) for (k, p, w), n in cells.items()]
