@@ -1,6 +1,6 @@
 """Batch jobs: ingest, build, check, export, reload deaths.
 
-    spark-submit --py-files occrisk.zip -m occrisk.jobs build --root s3://...
+    spark-submit --py-files occrisk.zip occrisk/jobs.py build --root s3a://...
 
 Each job reads and writes below one root folder: ``raw``, ``stg``, ``mart``,
 ``ledger``, ``export``.  Sources are two folders: Parquet microdata tables and

@@ -27,33 +27,23 @@ def rank_in_group(df: DataFrame, keys: Sequence[str], measure: str, code: str, r
     """Number the rows of each group 1..n by ``measure`` descending, then ``code``.
 
     ``df`` holds one row per (keys, code).  Codes are free text, so a hot group
-    may hold any number of them and must not be sorted in one task.  Its rows
-    are cut into steps, one per measure and leading characters of the code, and
-    a row's number is the sum of
-
-    * the rows of the group with a greater measure,
-    * the rows of equal measure whose code starts earlier,
-    * its position inside the step.
-
-    Windows run over counted steps and inside single steps.  Counts that add up
-    to N have at most sqrt(2N) distinct values, which bounds the first ladder.
+    may hold any number of them and is not sorted in one task.  Its rows are
+    cut into steps, one per measure and leading characters of the code; a row's
+    number is its position inside its step plus the rows of all steps ahead.
+    The step window spreads a group over as many tasks as it has steps; the
+    other one only runs over counted steps.
     """
     start = F.left(code, F.lit(STEP_CHARACTERS)).alias("_start")
-    steps = df.groupBy(*keys, measure, start).agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys, measure).orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    greater = Window.partitionBy(*keys).orderBy(F.desc(measure)).rowsBetween(Window.unboundedPreceding, -1)
-    within = steps.withColumn("_earlier", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    above = (
-        steps.groupBy(*keys, measure)
-        .agg(F.sum("_n").alias("_n"))
-        .select(*keys, measure, F.coalesce(F.sum("_n").over(greater), F.lit(0)).alias("_above"))
-    )
-    step = Window.partitionBy(*keys, measure, "_start").orderBy(code)
-    rows = df.withColumn("_start", start).withColumn("_at", F.row_number().over(step))
-    placed = rows.join(within, [*keys, measure, "_start"]).join(above, [*keys, measure])
-    return placed.withColumn(rank, F.col("_above") + F.col("_earlier") + F.col("_at")).drop(
-        "_start", "_at", "_earlier", "_above"
+    ahead = Window.partitionBy(*keys).orderBy(F.desc(measure), "_start").rowsBetween(Window.unboundedPreceding, -1)
+    steps = (
+        df.groupBy(*keys, measure, start)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
+        .drop("_n")
     )
+    step = [*keys, measure, "_start"]
+    rows = df.withColumn("_start", start).withColumn("_at", F.row_number().over(Window.partitionBy(*step).orderBy(code)))
+    return rows.join(steps, step).withColumn(rank, F.col("_ahead") + F.col("_at")).drop("_start", "_at", "_ahead")
 
 
 def global_rank(df: DataFrame, value: str, rank: str) -> DataFrame:

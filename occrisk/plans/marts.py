@@ -428,18 +428,17 @@ def comorbidades_por_cnae(stg: Layer) -> DataFrame:
 
 def causas_externas_por_cnae(stg: Layer) -> DataFrame:
     """External causes of death by activity."""
-    deaths = F.col("total_obitos")
+    # The work flag is a key, not a second sum: a branch that does not need it
+    # would drop such a sum and then no longer share this shuffle.
     by_occupation = (
         stg["stg_fact_sim"]
         .filter(codes.chapter(F.col("cid_10_causa")).isin(*L.EXTERNAL_CAUSE_LABEL))
-        .groupBy("cbo_codigo", F.col("cid_10_causa").alias("cid_causa"))
-        .agg(
-            F.sum(deaths).alias("_n"),
-            F.sum(F.when(F.col("acidente_trabalho") == "Sim", deaths).otherwise(0)).alias("_w"),
-        )
+        .groupBy("cbo_codigo", F.col("cid_10_causa").alias("cid_causa"), (F.col("acidente_trabalho") == "Sim").alias("_work"))
+        .agg(F.sum("total_obitos").alias("_n"))
     )
     by_class = _attributed(by_occupation, stg).groupBy("cnae_classe", "cid_causa").agg(
-        F.sum("_n").alias("total_obitos"), F.sum("_w").alias("total_obitos_trabalho")
+        F.sum("_n").alias("total_obitos"),
+        F.sum(F.when(F.col("_work"), F.col("_n")).otherwise(0)).alias("total_obitos_trabalho"),
     )
     totals = by_class.groupBy("cnae_classe").agg(F.sum("total_obitos").alias("total_obitos_causa_ext_cnae"))
     measured = ranking.rank_in_group(by_class, ["cnae_classe"], "total_obitos", "cid_causa", "rank_causa").join(
