@@ -23,24 +23,26 @@ def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, r
     return df.withColumn(rank, numbered).filter(F.col(rank) <= n).withColumn(rank, F.col(rank).cast("bigint"))
 
 
-def rank_in_group(df: DataFrame, keys: Sequence[str], measure: str, code: str, rank: str) -> DataFrame:
+def rank_in_group(
+    df: DataFrame, keys: Sequence[str], measure: str, code: str, rank: str, total: str | None = None
+) -> DataFrame:
     """Number the rows of each group 1..n by ``measure`` descending, then ``code``.
 
+    With ``total``, the group's sum of the measure is added under that name.
+
     ``df`` holds one row per (keys, code).  Codes are free text, so a hot group
     may hold any number of them and is not sorted in one task.  Its rows are
     cut into steps, one per measure and leading characters of the code; a row's
     number is its position inside its step plus the rows of all steps ahead.
     The step window spreads a group over as many tasks as it has steps; the
-    other one only runs over counted steps.
+    others only run over counted steps.
     """
     start = F.left(code, F.lit(STEP_CHARACTERS)).alias("_start")
     ahead = Window.partitionBy(*keys).orderBy(F.desc(measure), "_start").rowsBetween(Window.unboundedPreceding, -1)
-    steps = (
-        df.groupBy(*keys, measure, start)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_ahead", F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
-        .drop("_n")
-    )
+    added = {"_ahead": F.coalesce(F.sum("_n").over(ahead), F.lit(0))}
+    if total:
+        added[total] = F.sum(F.col(measure) * F.col("_n")).over(Window.partitionBy(*keys))
+    steps = df.groupBy(*keys, measure, start).agg(F.count(F.lit(1)).alias("_n")).withColumns(added).drop("_n")
     step = [*keys, measure, "_start"]
     rows = df.withColumn("_start", start).withColumn("_at", F.row_number().over(Window.partitionBy(*step).orderBy(code)))
     return rows.join(steps, step).withColumn(rank, F.col("_ahead") + F.col("_at")).drop("_start", "_at", "_ahead")

@@ -440,9 +440,8 @@ def causas_externas_por_cnae(stg: Layer) -> DataFrame:
         F.sum("_n").alias("total_obitos"),
         F.sum(F.when(F.col("_work"), F.col("_n")).otherwise(0)).alias("total_obitos_trabalho"),
     )
-    totals = by_class.groupBy("cnae_classe").agg(F.sum("total_obitos").alias("total_obitos_causa_ext_cnae"))
-    measured = ranking.rank_in_group(by_class, ["cnae_classe"], "total_obitos", "cid_causa", "rank_causa").join(
-        totals, "cnae_classe"
+    measured = ranking.rank_in_group(
+        by_class, ["cnae_classe"], "total_obitos", "cid_causa", "rank_causa", total="total_obitos_causa_ext_cnae"
     )
     rows = _graded(measured, stg).join(_classes(stg), "cnae_classe", "left").withColumns({
         "capitulo": codes.chapter(F.col("cid_causa")),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from occrisk.plans.layers import Layer
 from occrisk.sources import dictionaries, microdata, notices
@@ -240,8 +241,15 @@ OCCUPATION = ("supplier", "s_suppkey", "s_suppkey%23<>22", cbo("s_suppkey"), {
 })
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Driver table; its schema is inferred (a job of its own) only once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _landed_headers(spark: SparkSession, landed: DataFrame) -> DataFrame:
@@ -280,13 +288,14 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> Layer:
             return dictionaries.diagnosis_dictionary(layer["dim_cid_subcat"], layer["dim_cid_cat"])
         if name == "dim_cbo":
             table, key, where, code, columns = OCCUPATION
-            keys = driver_table(spark, sf_dir, table).filter(where).groupBy(F.expr(code).alias("_c"))
+            keys = tables[table].filter(where).groupBy(F.expr(code).alias("_c"))
             rows = keys.agg(F.min(key).alias(key)).selectExpr(*[f"{e} as {c}" for c, e in columns.items()])
             return microdata.dimension(rows, name)
         table, where, distinct, columns = PROJECTIONS[name]
-        source = driver_table(spark, sf_dir, table)
+        source = tables[table]
         rows = (source.filter(where) if where else source).selectExpr(*[f"{e} as {c}" for c, e in columns.items()])
         return rows.distinct() if distinct else rows
 
+    tables = Layer(lambda name: driver_table(spark, sf_dir, name))
     layer = Layer(build)
     return layer

@@ -73,7 +73,9 @@ def test_rank_in_group_of_a_hot_group(spark):
     codes = sorted({"".join(rng.choice("ABC01.") for _ in range(rng.randrange(1, 7))) for _ in range(900)})
     data = [("hot", c, rng.choice([1, 1, 1, 2, 3, 50])) for c in codes] + [("cold", "A", 1), ("cold", "AA", 1)]
     df = spark.createDataFrame(data, "k string, code string, n bigint")
-    got = {(r["k"], r["code"]): r["r"] for r in ranking.rank_in_group(df, ["k"], "n", "code", "r").collect()}
+    ranked = ranking.rank_in_group(df, ["k"], "n", "code", "r", total="t").collect()
+    got = {(r["k"], r["code"]): r["r"] for r in ranked}
+    assert {(r["k"], r["t"]) for r in ranked} == {(k, sum(n for g, _, n in data if g == k)) for k in ("hot", "cold")}
     want = {}
     for key in ("hot", "cold"):
         group = sorted((-n, c) for k, c, n in data if k == key)
