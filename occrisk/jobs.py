@@ -49,7 +49,9 @@ def _diagnoses(spark: SparkSession, files: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, source: str, files: str, root: str, config: LoadConfig) -> dict[str, tuple[str, Callable[[], DataFrame]]]:
+def raw_tables(
+    spark: SparkSession, source: str, files: str, root: str, config: LoadConfig
+) -> dict[str, tuple[str, Callable[[], DataFrame]]]:
     """Raw table -> (source label, builder); the label decides what counts as loaded."""
     tables = {
         name: (f"microdata:{MICRODATA[name]}", lambda n=name: microdata.dimension(spark.read.parquet(f"{source}/{MICRODATA[n]}"), n))

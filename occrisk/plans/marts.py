@@ -59,10 +59,6 @@ def _with_diagnosis(df: DataFrame, stg: Layer, code: str | Column, out: str) ->
     return df.join(cid, key == F.col("_cid"), "left").drop("_cid")
 
 
-def _count_if(cond: Column) -> Column:
-    return F.count_if(F.coalesce(cond, F.lit(False)))
-
-
 def dominant_class(stg: Layer, mode: str = "max_row") -> DataFrame:
     """Occupation -> activity class that employs it most."""
     return keyed.dominant_key(stg["stg_fact_rais"], "cbo_codigo", "cnae_classe", "quantidade_vinculos", mode)
@@ -102,7 +98,7 @@ def cat_cnae_cbo_mes(stg: Layer) -> DataFrame:
     """
     keys = ["ano", "mes", "uf_empregador", "cnae_cod_4", "cbo_codigo", "tipo_acidente", "cid_10"]
     counted = stg["stg_fact_cat"].groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_acidentes"), _count_if(F.col("obito")).alias("total_obitos")
+        F.count(F.lit(1)).alias("total_acidentes"), F.count_if(F.col("obito")).alias("total_obitos")
     )
     classes = _with_prefix(_classes(stg, ["cnae_classe", "cnae_descricao_classe", "cnae_descricao_secao"]))
     rows = _with_occupation(counted.join(classes, "cnae_cod_4", "left"), stg)
@@ -123,7 +119,7 @@ def risco_acidente(stg: Layer) -> DataFrame:
         "agente_causador", "cid_10", "sexo", "faixa_etaria",
     ]
     counted = stg["stg_fact_cat"].filter(F.col("cnae_cod_4").isNotNull()).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_acidentes"), _count_if(F.col("obito")).alias("total_obitos_acidente")
+        F.count(F.lit(1)).alias("total_acidentes"), F.count_if(F.col("obito")).alias("total_obitos_acidente")
     )
     described = keyed.first_per_key(
         stg["stg_dim_cnae"].filter(F.col("cnae_classe").isNotNull()),
@@ -191,9 +187,9 @@ def perfil_risco_cnae(stg: Layer) -> DataFrame:
         .groupBy("cnae_cod_4", "cbo_codigo", "cid_10")
         .agg(
             F.count(F.lit(1)).alias("acidentes_cid"),
-            _count_if(F.col("obito")).alias("obitos_cid"),
-            _count_if(sex == "M").alias("acidentes_cid_m"),
-            _count_if(sex == "F").alias("acidentes_cid_f"),
+            F.count_if(F.col("obito")).alias("obitos_cid"),
+            F.count_if(sex == "M").alias("acidentes_cid_m"),
+            F.count_if(sex == "F").alias("acidentes_cid_f"),
         )
     )
     occupations = (
@@ -241,7 +237,7 @@ def perfil_risco_cnae(stg: Layer) -> DataFrame:
 def risco_teorico_vs_observado(stg: Layer) -> DataFrame:
     """Statutory grade against observed accidents, per graded class."""
     notices = stg["stg_fact_cat"].groupBy("cnae_cod_4").agg(
-        F.count(F.lit(1)).alias("_a"), _count_if(F.col("obito")).alias("_d")
+        F.count(F.lit(1)).alias("_a"), F.count_if(F.col("obito")).alias("_d")
     )
     classes = _classes(stg, ["cnae_classe", "cnae_descricao_classe", "cnae_descricao_secao"])
     described = classes.select(_prefix().alias("cnae_cod_4"), "cnae_descricao_classe", "cnae_descricao_secao")
@@ -475,10 +471,10 @@ def score_risco_cnae(stg: Layer) -> DataFrame:
         .filter(F.col("cnae_cod_4").isNotNull() & in_window)
         .groupBy("cnae_cod_4")
         .agg(
-            _count_if(_at_work()).alias("acidentes_trabalho"),
-            _count_if(_commuting()).alias("acidentes_trajeto"),
-            _count_if(died).alias("obitos"),
-            _count_if(died & _at_work()).alias("obitos_trabalho"),
+            F.count_if(_at_work()).alias("acidentes_trabalho"),
+            F.count_if(_commuting()).alias("acidentes_trajeto"),
+            F.count_if(died).alias("obitos"),
+            F.count_if(died & _at_work()).alias("obitos_trabalho"),
         )
         .filter(F.col("acidentes_trabalho") > 0)
     )
@@ -517,12 +513,12 @@ def cnae_sem_score(stg: Layer, score: DataFrame | None = None) -> DataFrame:
     """
     counts = [
         F.count(F.lit(1)).alias("total_cat"),
-        _count_if(_at_work()).alias("acidentes_trabalho"),
-        _count_if(_commuting()).alias("acidentes_trajeto"),
+        F.count_if(_at_work()).alias("acidentes_trabalho"),
+        F.count_if(_commuting()).alias("acidentes_trajeto"),
     ]
     classes = _with_prefix(_classes(stg, ["cnae_classe", "cnae_descricao_classe"]))
     if score is None:
-        counts.append(_count_if(_at_work() & common_years(stg)).alias("_scored"))
+        counts.append(F.count_if(_at_work() & common_years(stg)).alias("_scored"))
     else:
         scored = score.select(_prefix().alias("_scored")).distinct()
         classes = relations.null_aware_anti(classes, F.col("cnae_cod_4"), scored, "_scored")

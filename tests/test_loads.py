@@ -108,6 +108,8 @@ def test_stored_marts_equal_the_plans(spark, tmp_path):
     views = staging_layer(raw)
     for name, build in MARTS.items():
         assert rows(marts[name]) == rows(build(views)), name
+    plan = MARTS["mart_score_risco_cnae"](stg)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano" in plan  # the common years prune both facts
     results = quality.report(quality.tables_of(stg, marts))
     assert results.count() == len(quality.CHECKS) == 33
     assert rows(quality.summary(results)) == [(32, 1, 0)]
