@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from occrisk.llm import op3_quality
+from occrisk.llm import op1_license, op3_quality
 
 QUERIES = {
+    "op1_license_scan": op1_license.query,
     "op3_quality_rules": op3_quality.query,
 }
 
