@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Give the executors this package (as --py-files would), once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = os.path.join(tempfile.mkdtemp(prefix="code-"), f"{package.name}.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+    return spark
+
+
 # Odd 64-bit multipliers of a well-known finaliser (splitmix64).
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
 _MIX_B = np.uint64(0x94D049BB133111EB)

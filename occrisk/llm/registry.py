@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from occrisk.llm import op1_license, op3_quality
+from occrisk.llm import op1_license, op3_quality, op4_tokens
 
 QUERIES = {
     "op1_license_scan": op1_license.query,
     "op3_quality_rules": op3_quality.query,
+    "op4_token_output": op4_tokens.query,
 }
 
 SQL: dict[str, str] = {}
