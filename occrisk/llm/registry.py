@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from occrisk.llm import op1_license, op3_quality, op4_tokens
+from occrisk.llm import op1_license, op3_quality, op4_tokens, op8_packing, op9_chat
 
 QUERIES = {
     "op1_license_scan": op1_license.query,
     "op3_quality_rules": op3_quality.query,
     "op4_token_output": op4_tokens.query,
+    "op8_best_fit_packing": op8_packing.query,
+    "op9_chat_formatting": op9_chat.query,
 }
 
 SQL: dict[str, str] = {}
