@@ -53,10 +53,10 @@ def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix64((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words of a byte array."""
+def word_spans(data: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a byte array; `gap` tells the bytes between words."""
     inside = np.zeros(data.size + 2, np.int8)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~gap[data]
     steps = np.diff(inside)
     return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
 
@@ -73,10 +73,10 @@ def chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[tuple[int, i
         yield begin, len(texts)
 
 
-def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def words_of(texts: list[bytes], gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts in a row, and the number of words of each text."""
     data = np.frombuffer(b" ".join(texts), np.uint8)
-    starts, ends = word_spans(data)
+    starts, ends = word_spans(data, gap)
     lengths = np.array([len(t) for t in texts], np.int64)
     firsts = np.concatenate([[0], np.cumsum(lengths[:-1] + 1)]) if len(texts) else np.empty(0, np.int64)
     counts = np.diff(np.searchsorted(starts, np.concatenate([firsts, [data.size + 1]])))
