@@ -9,9 +9,8 @@ import pandas as pd
 
 from occrisk.llm.common import mix64
 
-# An odd multiplier and its inverse modulo 2^64.
+# An odd multiplier.
 _BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64))
@@ -25,31 +24,35 @@ def powers(n: int, base: int = _BASE) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+# A second, independent hash: another base and another value for each byte.
+_BASES = (_BASE, 0xD6E8FEB86659FD93)
+_BYTES = (_BYTE, mix64(_BYTE + np.uint64(0x1234567)))
+
+
 class _Powers:
-    """Powers of the base and of its inverse, grown on demand."""
+    """Powers of a base and of its inverse, grown on demand."""
 
-    up = powers(1 << 16)
-    down = powers(1 << 16, _INVERSE)
+    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     @classmethod
-    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > cls.up.size:
-            size = 1 << (n - 1).bit_length()
-            cls.up, cls.down = powers(size), powers(size, _INVERSE)
-        return cls.up, cls.down
+    def of(cls, n: int, kind: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        if kind not in cls.known or n > cls.known[kind][0].size:
+            size = max(1 << 16, 1 << (n - 1).bit_length())
+            cls.known[kind] = powers(size, _BASES[kind]), powers(size, pow(_BASES[kind], -1, 1 << 64))
+        return cls.known[kind]
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
+def prefix_hash(data: np.ndarray, kind: int = 0) -> np.ndarray:
     """H with H[j] - H[i] = hash of data[i:j] times base^i."""
-    up, _ = _Powers.of(data.size + 1)
+    up, _ = _Powers.of(data.size + 1, kind)
     out = np.zeros(data.size + 1, np.uint64)
-    np.cumsum(_BYTE[data] * up[: data.size], out=out[1:])
+    np.cumsum(_BYTES[kind][data] * up[: data.size], out=out[1:])
     return out
 
 
-def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: int = 0) -> np.ndarray:
     """Hashes of spans that depend on their bytes only."""
-    _, down = _Powers.of(prefix.size)
+    _, down = _Powers.of(prefix.size, kind)
     return mix64((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
