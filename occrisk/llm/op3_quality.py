@@ -144,7 +144,7 @@ def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
         share("n_dup_lines", "n_lines").alias("dup_line_share"),
         share("n_repeat_words", "n_words").alias("repeat_word_share"),
     ]
-    return rows.select("_row", F.struct(*metrics).alias("_m"))
+    return rows.select("_row", F.struct(*metrics).alias("_m"), F.spark_partition_id().alias("_part"))
 
 
 def compiled(rules: tuple[Rule, ...], metrics: Column) -> Column:
@@ -164,14 +164,19 @@ def base_failed(metrics: Column) -> Column:
 
 
 def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """`_row`, metrics `_m`, `base_failed` and `kept` for every row."""
+    """`_row`, metrics `_m`, `_part`, `base_failed` and `kept` for every row."""
     rows = with_metrics(docs, text).withColumn("base_failed", base_failed(F.col("_m")))
     return rows.withColumn("kept", ~F.col("base_failed") & compiled(rules, F.col("_m")))
 
 
 def filter_quality(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The rows that pass, with the input's own columns."""
-    return judged(docs, rules, text).where("kept").select("_row.*")
+    """The rows that pass, with the input's own columns.
+
+    The condition also names `_part`, which is not deterministic: else the filter
+    would be pushed below the stacked projections and compute every array anew
+    at each of its uses.
+    """
+    return judged(docs, rules, text).where(F.col("kept") & (F.col("_part") >= 0)).select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
