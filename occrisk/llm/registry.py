@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from occrisk.llm import op1_license, op3_quality, op4_tokens, op5_suffix, op7_jaccard, op8_packing, op9_chat, op10_decontamination
+from occrisk.llm import op1_license, op3_quality, op4_tokens, op5_suffix, op6_html, op7_jaccard, op8_packing, op9_chat, op10_decontamination
 
 QUERIES = {
     "op1_license_scan": op1_license.query,
     "op3_quality_rules": op3_quality.query,
     "op4_token_output": op4_tokens.query,
     "op5_suffix_array_dedup": op5_suffix.query,
+    "op6_html_extraction": op6_html.query,
     "op7_ngram_jaccard_join": op7_jaccard.query,
     "op8_best_fit_packing": op8_packing.query,
     "op9_chat_formatting": op9_chat.query,
