@@ -22,10 +22,10 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or os.path.join(tempfile.gettempdir(), f"llm-shared-{os.getpid()}")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """Write the rows to the shared folder and read them back: cuts lineage, survives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

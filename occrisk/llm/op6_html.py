@@ -197,11 +197,12 @@ def _protected(root: Node) -> set[int]:
             if isinstance(p, Node):
                 above[id(p)] = id(node)
                 todo.append((p, inside))
+    holders: set[int] = set()
     for n in region:
-        while n in above and above[n] not in out:
+        while n in above and above[n] not in holders:
             n = above[n]
-            out.add(n)
-    return out
+            holders.add(n)
+    return out | holders
 
 
 def template_candidates(html: str) -> set[int]:
