@@ -48,9 +48,9 @@ _KEY_SCHEMA = "_id bigint, _h bigint"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """`docs` with `_id`, `_h`, `_text`: rows of one key have the same text."""
+    """`docs` packed in `_row`, with `_id`, `_h`, `_text`: rows of one key have the same text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), F.xxhash64(text).alias("_h"), text.alias("_text"))
+    return docs.select(F.struct("*").alias("_row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), F.xxhash64(text).alias("_h"), text.alias("_text"))
 
 
 # ---------------------------------------------------------------- anchors (numpy, on many texts at once)
@@ -308,12 +308,12 @@ def summary(docs: DataFrame) -> DataFrame:
 def _cutter(position: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            windows = batch.column(batch.num_columns - 1).to_pylist()
-            texts = batch.column(position).to_pylist()
+            row, windows = batch.column(0), batch.column(1).to_pylist()
+            columns = row.flatten()
             # bytes of a character that was cut through go with it
-            left = [t if w is None else cut(t.encode("utf-8", "surrogatepass"), w)[0].decode("utf-8", "ignore") for t, w in zip(texts, windows)]
-            columns = [pa.array(left, pa.string()) if n == position else c for n, c in enumerate(batch.columns[:-1])]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            left = [t if w is None else cut(t.encode("utf-8", "surrogatepass"), w)[0].decode("utf-8", "ignore") for t, w in zip(columns[position].to_pylist(), windows)]
+            columns[position] = pa.array(left, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in row.type])
 
     return apply
 
@@ -323,8 +323,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     shipped(docs.sparkSession)
     rows = keyed(docs)
     _, ranges = removed_ranges(rows, stored(sampled(rows), "sampled"))
-    names = [f"`{c}`" for c in docs.columns]
-    joined = rows.join(ranges, KEY, "left").select(*names, F.col("windows").alias("_windows"))
+    joined = rows.join(ranges, KEY, "left").select("_row", "windows")
     return joined.mapInArrow(_cutter(docs.columns.index("text")), docs.schema)
 
 

@@ -332,14 +332,13 @@ def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lowest = lowest.where("doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"))
     twice = docs.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.count("*").alias("n")).where("n > 1").select("_id", F.lit(True).alias("_twice"))
     kept = lowest.join(twice, "_id", "left").select("_id", "_node", F.coalesce("_twice", F.lit(False)).alias("_twice"))
-    names = [F.col(f"r.`{c}`") for c in docs.columns]
-    rows = docs.select("*", node_key(F.col("text")).alias("_key")).alias("r")
-    free = rows.where(F.col("_key").isNull() | F.col("r.doc_id").isNull()).select(*names)
-    same = (F.col("r.doc_id").cast("long") == F.col("_id")) & (F.col("_key") == F.col("_node"))
-    chosen = rows.join(kept, same)
-    once = chosen.where(~F.col("_twice")).select(*names)
+    # the row is one struct here, so none of its columns can clash with a helper's
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_own"), node_key(F.col("text")).alias("_key"))
+    free = rows.where(F.col("_key").isNull() | F.col("_own").isNull()).select("_row.*")
+    chosen = rows.join(kept, (F.col("_own") == F.col("_id")) & (F.col("_key") == F.col("_node")))
+    once = chosen.where(~F.col("_twice")).select("_row.*")
     # rows that repeat an id and a text: one of them
-    repeated = chosen.where("_twice").dropDuplicates(["_id", "_node"]).select(*names)
+    repeated = chosen.where("_twice").dropDuplicates(["_id", "_node"]).select("_row.*")
     return once.unionByName(repeated).unionByName(free)
 
 
