@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BYTE_ORDER_MARK = "\ufeff"
-# Largest result written as one file; beyond it the export keeps many parts.
-SINGLE_FILE_ROWS = 1_000_000
 
 
 def _order(*keys: str) -> list[Column]:
@@ -53,15 +51,15 @@ def presented(name: str, df: DataFrame) -> DataFrame:
     return df.orderBy(*_order(*keys)) if keys else df
 
 
-def export_csv(name: str, df: DataFrame, directory: str, single_file_rows: int = SINGLE_FILE_ROWS) -> None:
-    """Write ``directory/name`` as CSV with a header and a byte order mark.
+def export_csv(name: str, df: DataFrame, directory: str, one_file: bool = False) -> None:
+    """Write ``directory/name`` as CSV parts with a header and a byte order mark.
 
-    ``df`` should be a stored mart: it is counted first, and only a result
-    known to be small goes through one task into one file.
+    Parts follow each other in presentation order.  ``one_file`` is the caller's
+    choice for a result that one task can write; it never depends on a count.
     """
     first, *rest = df.columns
     out = presented(name, df).withColumnRenamed(first, BYTE_ORDER_MARK + first)
-    if df.count() <= single_file_rows:
+    if one_file:
         out = out.coalesce(1)
     (
         out.write.mode("overwrite")

@@ -30,7 +30,10 @@ def classe(p: str) -> str:
 
 
 def subclasse(p: str) -> str:
-    return f"{classe(p)} || lpad(cast(cast(floor(({p})/300) as bigint) as string),2,'0')"
+    part = f"cast(floor(({p})/300) as bigint)"
+    text = f"cast({part} as string)"
+    # two digits at least; lpad alone would cut longer numbers
+    return f"{classe(p)} || case when {part} < 100 then lpad({text},2,'0') else {text} end"
 
 
 def cbo(s: str) -> str:
@@ -179,7 +182,7 @@ PROJECTIONS: dict[str, tuple[str, str | None, bool, dict[str, str]]] = {
     "grau_risco_sheet": ("part", None, False, {
         "nivel": "case when p_partkey%5=4 then 'Classe' else 'Subclasse' end",
         "codigo": f"left({classe('p_partkey')},2) || '.' || substr({classe('p_partkey')},3,2) || '-'"
-        f" || substr({classe('p_partkey')},5,1) || '/' || right({subclasse('p_partkey')},2)",
+        f" || substr({classe('p_partkey')},5,1) || '/' || substr({subclasse('p_partkey')},6)",
         "gr": "case when p_partkey%17=0 then null else ' ' || cast(1+p_partkey%4 as string) end",
         "linha": "p_partkey",
     }),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +44,6 @@ OCCUPATION, DIAGNOSIS = "CBO", "CID-10"
 SECOND_OCCUPATION = "CBO.1"
 DATE, SECOND_DATE, THIRD_DATE = "Data Acidente", "Data Acidente.1", "Data Acidente.2"
 DEATH_FLAG_OLD, DEATH_FLAG = "Indica acidente", "Indica Óbito Acidente"
-# A manifest row is about 300 bytes: 100 000 files make some 30 MB.
-BROADCAST_FILES = 100_000
 
 REQUIRED_HEADERS = (OCCUPATION, DIAGNOSIS)
 REQUIRED_VALUES = ("cnae_empregador_cod", "data_acidente")
@@ -100,21 +96,17 @@ def manifest(headers: DataFrame) -> DataFrame:
         "layout",
         "error",
         F.size("header").alias("n_header"),
+        *([F.col("open")] if "open" in headers.columns else []),
         F.struct(*[col.alias(name) for name, col in places.items()]).alias("at"),
     )
 
 
-def unify(records: DataFrame, files: DataFrame, n_files: int) -> DataFrame:
+def unify(records: DataFrame, files: DataFrame) -> DataFrame:
     """Records of any layout as the 24 unified columns plus ``malformed``.
 
-    ``files`` holds one short row per file.  Its counted number decides whether
-    it is broadcast, which spares the records a shuffle; with more files than
-    ``BROADCAST_FILES`` the join is left to AQE.
+    ``files`` holds one short row per file; Spark knows its size and picks the join.
     """
-    readable = files.filter(F.col("error").isNull())
-    if n_files <= BROADCAST_FILES:
-        readable = F.broadcast(readable)
-    rows = records.join(readable, "path", "inner")
+    rows = records.join(files.filter(F.col("error").isNull()), "path", "inner")
     layout = F.col("layout")
 
     def value(name: str) -> Column:
@@ -158,36 +150,42 @@ def read_notices(
 ) -> tuple[DataFrame, DataFrame]:
     """(flagged rows, file status) of a landing directory.
 
-    The manifest is written to ``manifest_path`` and read back: headers are
-    taken from the files once, and Spark knows its size.  Unreadable files only
-    show in the status; the job fails when none loads.
+    The manifest is written to ``manifest_path`` and read back, and so are the
+    archives' cells beside it: files are decoded once, and Spark knows the
+    sizes.  Unreadable files only show in the status; the job fails when none
+    loads.  Paths stay in relations; only the width of the widest header and two
+    flags reach the driver.
     """
-    chosen = landing.prune_files(landing.listing(spark, directory), first_year, last_year)
-    # File metadata, as Spark's own file index holds it: one short row per file.
-    names = [(r["path"], r["formato"]) for r in chosen.select("path", "formato").toLocalIterator()]
-    if not names:
-        raise ValueError(f"no notice files for {first_year}-{last_year} in {directory}")
-    plain = [p for p, kind in names if kind == "CSV"]
-    zipped = [p for p, kind in names if kind == "ZIP"]
-    heads, records = [], []
-    if plain:
-        heads.append(landing.plain_headers(spark, plain, OCCUPATION))
-        records.append(landing.plain_records(spark, plain))
-    if zipped:
-        archives = spark.read.format("binaryFile").load(zipped)
-        heads.append(landing.binary_headers(archives))
-        records.append(landing.binary_records(archives).select("path", "cells"))
-    found = chosen.select("path").join(reduce(DataFrame.unionByName, heads), "path", "left")
+    chosen = landing.prune_files(landing.listing(spark, directory), first_year, last_year).select("path", "formato")
+    zipped = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[zZ][iI][pP]").load(directory)
+    archives_path = f"{manifest_path}-archives"
+    landing.parsed(zipped.join(chosen.select("path"), "path", "left_semi")).write.mode("overwrite").parquet(archives_path)
+    archives = spark.read.parquet(archives_path)
+    heads = landing.plain_headers(spark, directory, OCCUPATION).unionByName(
+        landing.headers_of(archives).withColumn("open", F.lit(False))
+    )
+    found = chosen.select("path").join(heads, "path", "left")
     unknown = F.when(F.col("header").isNull(), F.coalesce("error", F.lit("no header found")))
     manifest(found.withColumn("error", F.coalesce(unknown, "error"))).write.mode("overwrite").parquet(manifest_path)
     files = spark.read.parquet(manifest_path)
     status = files.select(
         "path", "_source_file", "layout", F.when(F.col("error").isNull(), "ok").otherwise("error").alias("status"), "error"
     )
-    if status.filter(F.col("status") == "ok").isEmpty():
+    good = F.col("error").isNull()
+    known = files.agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(good).alias("good"), F.max(F.when(good, F.col("n_header"))).alias("width"),
+        F.bool_or(good & F.coalesce("open", F.lit(False))).alias("open"),
+    ).first()
+    if not known["files"]:
+        raise ValueError(f"no notice files for {first_year}-{last_year} in {directory}")
+    if not known["good"]:
         raise RuntimeError("no notice file could be read")
-    cells = reduce(DataFrame.unionByName, records)
-    return flag_quarantine(unify(cells, files, len(names))), status
+    is_open = F.coalesce("open", F.lit(False))
+    plain = unify(landing.plain_records(spark, directory, known["width"]), files.filter(~is_open))
+    rows = plain.unionByName(unify(landing.records_of(archives), files))
+    if known["open"]:
+        rows = rows.unionByName(unify(landing.plain_records(spark, directory, known["width"], whole=True), files.filter(is_open)))
+    return flag_quarantine(rows), status
 
 
 def land_notices(spark: SparkSession, directory: str, target: str, first_year: int, last_year: int, run_date: str) -> DataFrame:
@@ -204,14 +202,9 @@ def land_notices(spark: SparkSession, directory: str, target: str, first_year: i
 
 
 def write_quarantine(bad: DataFrame, directory: str, run_date: str) -> None:
-    """Store the bad rows under one folder per source file and run date.
+    """Store the bad rows under one folder per run date and source file.
 
-    Only the folders written to are replaced, so a repeated run leaves no copies.
+    A run replaces its date as a whole, so a repeated run leaves neither copies
+    nor rows of a file that has been repaired since.
     """
-    (
-        bad.withColumn("run_date", F.lit(run_date))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_source_file", "run_date")
-        .parquet(directory)
-    )
+    bad.write.mode("overwrite").partitionBy("_source_file").parquet(f"{directory}/run_date={run_date}")

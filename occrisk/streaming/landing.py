@@ -52,9 +52,11 @@ def land_new_files(
         )
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        files = notices.manifest(landing.binary_headers(batch))
-        n_files = batch.select("path").count()
-        rows = notices.unify(landing.binary_records(batch), files, n_files)
+        cells = f"{target}/cells/batch={batch_id}"
+        landing.parsed(batch).write.mode("overwrite").parquet(cells)  # each file is decoded once
+        read = batch.sparkSession.read.parquet(cells)
+        files = notices.manifest(landing.headers_of(read))
+        rows = notices.unify(landing.records_of(read), files)
         store(notices.flag_quarantine(rows), "rows", batch_id, "em_quarentena")
         store(files.select("_source_file", "layout", "error"), "status", batch_id)
 

@@ -147,12 +147,49 @@ def test_large_plain_file_is_split_and_loses_nothing(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
     try:
         flagged, _ = notices.read_notices(spark, str(tmp_path), 2023, 2023, str(tmp_path / "manifest"))
-        assert landing.plain_records(spark, [str(tmp_path / "cat-2023.csv")]).rdd.getNumPartitions() > 3
+        assert landing.plain_records(spark, str(tmp_path), 8).rdd.getNumPartitions() > 3
         assert flagged.filter(~F.col("em_quarentena")).select("cbo").distinct().count() == 5000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+WIDE = 70
+TWINS = {
+    # bytes that some line splitters take for line ends, quoted breaks, an inner quote, more columns than any fixed number
+    "controls": "515105;Pon\x85to \x0b\x0c\x1c\x1d\x1e fim;B34.2;x;8630;Saúde;Sim;05/06/2023",
+    "quoted_break": '515106;"Duas\nlinhas; com ""aspas""";B34.2;x;8630;Saúde;Sim;05/06/2023\n515107;A;B34.2;x;8630;Saúde;Sim;06/06/2023',
+    "inner_quote": '515108;5" cano;B34.2;x;8630;Saúde;Sim;05/06/2023\n515109;6" cano;B34.2;x;;Saúde;Sim;05/06/2023',
+    "crlf": "515110;A;B34.2;x;8630;Saúde;Sim;05/06/2023\r\n515111;B;B34.2;x;8630;Saúde;Sim;05/06/2023\r",
+    "wide": "515112;A;B34.2;x;8630;Saúde;Sim;05/06/2023;" + ";".join(f"v{n}" for n in range(WIDE - 8)),
+    "too_wide": "515113;A;B34.2;x;8630;Saúde;Sim;05/06/2023;" + ";".join(f"v{n}" for n in range(WIDE - 7)),
+}
+
+
+@pytest.mark.parametrize("kind", TWINS)
+def test_plain_and_zipped_twins_are_equal(spark, tmp_path, kind):
+    header = LAYOUT_C[0] + ";" + ";".join(f"Extra {n}" for n in range(WIDE - 8)) if "wide" in kind else LAYOUT_C[0]
+    content = f"{header}\n{TWINS[kind]}\n".encode("latin-1")
+    (tmp_path / "cat-2023.csv").write_bytes(content)
+    (tmp_path / "cat-2022.CSV").write_bytes(text_of(LAYOUT_C))
+    zip_to(tmp_path / "D.SDA.PDA.005.CAT.202306.ZIP", "CAT.CSV", content)
+    flagged, status = notices.read_notices(spark, str(tmp_path), 2023, 2023, str(tmp_path / "manifest"))
+    assert {r["status"] for r in status.collect()} == {"ok"}
+    columns = [c for c in flagged.columns if c != "_source_file"]
+    plain = rows(flagged.filter("_source_file like '%.csv'").select(columns))
+    assert plain == rows(flagged.filter("_source_file like '%.ZIP'").select(columns))
+    assert len(plain) == {"quoted_break": 2, "inner_quote": 2, "crlf": 2}.get(kind, 1)
+    assert [r[-1] for r in plain].count(True) == {"inner_quote": 1, "too_wide": 1}.get(kind, 0)
+
+
+def test_a_repaired_file_leaves_quarantine(spark, directory, tmp_path):
+    target = str(tmp_path / "out")
+    notices.land_notices(spark, directory, target, 2018, 2025, "2024-01-31")
+    header, lines = LAYOUT_A
+    (tmp_path / "landing" / "cat2018-comp01-2019.csv").write_bytes(text_of((header, lines[:2] + [lines[3]])))
+    notices.land_notices(spark, directory, target, 2018, 2025, "2024-01-31")
+    assert spark.read.parquet(f"{target}/quarantine").count() == 1
+
+
 def test_diagnosis_files_in_windows_encoding(spark, tmp_path):
     sub = "SUBCAT;CLASSIF;DESCRICAO\nA000;;Cólera – “clássica” \nA0001;;Outra\nB34;;Curta\nX;;\n;;Sem código\n"
     cat = "CAT;CLASSIF;DESCRICAO\nA00;;Cólera\nB34;;Categoria\n"

@@ -82,14 +82,14 @@ def test_export_is_ordered_and_marked(spark, tmp_path):
     df = spark.createDataFrame(
         [("b", 'di"z', 1), ("a", None, 2), ("c", "", None)], "cnae_classe string, texto string, n int"
     )
-    export.export_csv("mart_cnae_sem_score", df, str(tmp_path))
-    (part,) = (tmp_path / "mart_cnae_sem_score").glob("*.csv")
+    export.export_csv("mart_cnae_sem_score", df, str(tmp_path / "one"), one_file=True)
+    (part,) = (tmp_path / "one" / "mart_cnae_sem_score").glob("*.csv")
     assert part.read_bytes().startswith(b"\xef\xbb\xbfcnae_classe,texto,n")
     assert part.read_text("utf-8-sig").splitlines() == ["cnae_classe,texto,n", "a,,2", 'b,"di""z",1', "c,,"]
-    export.export_csv("mart_cnae_sem_score", df.repartition(3), str(tmp_path / "many"), single_file_rows=2)
+    export.export_csv("mart_cnae_sem_score", df.repartition(3), str(tmp_path / "many"))
     parts = sorted((tmp_path / "many" / "mart_cnae_sem_score").glob("*.csv"))
     assert all(p.read_bytes().startswith(b"\xef\xbb\xbf") for p in parts)
-    assert sum(len(p.read_text("utf-8-sig").splitlines()) - 1 for p in parts) == 3
+    assert [line for p in parts for line in p.read_text("utf-8-sig").splitlines()[1:]] == ["a,,2", 'b,"di""z",1', "c,,"]
 
 
 def test_presentation_order_covers_the_marts():

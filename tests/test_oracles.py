@@ -5,8 +5,10 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import DRIVER_TABLES, SF_DIR, rows
+from occrisk.queries import all_queries
+from oracles import all_statements
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_statements()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +21,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
