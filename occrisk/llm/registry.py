@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from occrisk.llm import op1_license, op3_quality, op4_tokens, op5_suffix, op6_html, op7_jaccard, op8_packing, op9_chat, op10_decontamination
+from occrisk.llm import op1_license, op2_lm, op3_quality, op4_tokens, op5_suffix, op6_html, op7_jaccard, op8_packing, op9_chat, op10_decontamination
+from occrisk.llm.sql import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 QUERIES = {
     "op1_license_scan": op1_license.query,
+    "op2_language_model": op2_lm.query,
     "op3_quality_rules": op3_quality.query,
     "op4_token_output": op4_tokens.query,
     "op5_suffix_array_dedup": op5_suffix.query,
@@ -15,5 +19,3 @@ QUERIES = {
     "op9_chat_formatting": op9_chat.query,
     "op10_decontamination": op10_decontamination.query,
 }
-
-SQL: dict[str, str] = {}
