@@ -22,7 +22,7 @@ def _licenses() -> str:
         for label, phrase in op1_license.PHRASES
     )
     blocks = " union all ".join(
-        f"select doc_id, '{label}' as label, len(list_filter([{_quoted(sorted(set(words.split())))}], t -> list_contains(b, t))) / {float(len(set(words.split())))} as share from blocks"
+        f"select doc_id, '{label}' as label, len(list_filter([{_quoted(sorted(set(words.split())))}], lambda t: list_contains(b, t))) / {float(len(set(words.split())))} as share from blocks"
         for label, words in op1_license.TEMPLATES
     )
     return f"""
@@ -66,7 +66,7 @@ def _quality() -> str:
     ]
     return f"""
 with texts as (select doc_id, coalesce(text, '') as t from documents),
-worded as (select doc_id, t, regexp_extract_all(t, '{word}') as words, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{word}')) as lines from texts),
+worded as (select doc_id, t, regexp_extract_all(t, '{word}') as words, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{word}')) as lines from texts),
 numbered as (select doc_id, unnest(words) as w, unnest(range(1, len(words) + 1)) as i from worded),
 windows as (
   select doc_id, i, w, lag(w) over o as before, case when lead(w, 7) over o is not null then
@@ -77,19 +77,19 @@ marked as (select doc_id, i, w, before, max(start) over (partition by doc_id ord
 repeated as (select doc_id, count(*) filter (where latest > i - 8) as n_repeat_words, count(*) filter (where before = w) as n_echo,
   count(*) filter (where lower(rtrim(w, '.,;:!?')) in ({_quoted(op3_quality.STOP_WORDS)})) as n_stop from marked group by doc_id),
 sizes as (
-  select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(list_sum(list_transform(words, x -> length(x))), 0) as bigint) as word_chars,
+  select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) as bigint) as word_chars,
     cast(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) as bigint) as n_symbols, length(regexp_replace(t, '[^!?]+', '', 'g')) as n_marks,
     length(regexp_replace(t, '[^A-Z]+', '', 'g')) as n_capitals, length(regexp_replace(t, '[^A-Za-z]+', '', 'g')) as n_letters,
     len(lines) as n_lines, cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines
   from worded),
-both as (select s.*, cast(coalesce(r.n_repeat_words, 0) as bigint) as n_repeat_words, coalesce(r.n_echo, 0) as n_echo, coalesce(r.n_stop, 0) as n_stop from sizes s left join repeated r using (doc_id))
+joined as (select s.*, cast(coalesce(r.n_repeat_words, 0) as bigint) as n_repeat_words, coalesce(r.n_echo, 0) as n_echo, coalesce(r.n_stop, 0) as n_stop from sizes s left join repeated r using (doc_id))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
   not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and {" and ".join(sides)} as kept,
   round(coalesce({metric["mean_word_chars"]}, 0), 6) as mean_word_chars,
   round(coalesce({metric["symbols_per_word"]}, 0), 6) as symbols_per_word,
   round(coalesce({metric["stop_word_share"]}, 0), 6) as stop_word_share
-from both
+from joined
 """
 
 
