@@ -2,8 +2,9 @@
 
 Top-N windows are planned with WindowGroupLimit: each task keeps N rows per
 group before the shuffle, so a hot group never gathers in one task.  Full ranks
-are taken on aggregated rows only, whose number per group is bounded by the
-size of the code dictionary, not by the data.
+sort the aggregated rows into ranges that Spark draws from the data, number them
+inside each range, and add what lies ahead from one count per range: groups of
+any size and shape spread over all tasks.
 """
 
 from __future__ import annotations
@@ -13,9 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-# Leading characters of a code that cut a group into steps: a CID-10 category.
-STEP_CHARACTERS = 3
+from occrisk.operators.stored import stored
 
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str) -> DataFrame:
@@ -30,39 +29,44 @@ def rank_in_group(
 
     With ``total``, the group's sum of the measure is added under that name.
 
-    ``df`` holds one row per (keys, code).  Codes are free text, so a hot group
-    may hold any number of them and is not sorted in one task.  Its rows are
-    cut into steps, one per measure and leading characters of the code; a row's
-    number is its position inside its step plus the rows of all steps ahead.
-    The step window spreads a group over as many tasks as it has steps; the
-    others only run over counted steps.
+    ``df`` holds one row per (keys, code); its rows are ranged by group,
+    measure and code, so a hot group is cut wherever it is long.  A row's number
+    is its place in its range plus the group's rows in the ranges ahead.
     """
-    start = F.left(code, F.lit(STEP_CHARACTERS)).alias("_start")
-    ahead = Window.partitionBy(*keys).orderBy(F.desc(measure), "_start").rowsBetween(Window.unboundedPreceding, -1)
+    rows = _ranged(df, [*keys, F.desc(measure), code])
+    counts = rows.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.sum(measure).alias("_sum"))
+    # at most one row per group and range
+    ahead = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     added = {"_ahead": F.coalesce(F.sum("_n").over(ahead), F.lit(0))}
     if total:
-        added[total] = F.sum(F.col(measure) * F.col("_n")).over(Window.partitionBy(*keys))
-    steps = df.groupBy(*keys, measure, start).agg(F.count(F.lit(1)).alias("_n")).withColumns(added).drop("_n")
-    step = [*keys, measure, "_start"]
-    rows = df.withColumn("_start", start).withColumn("_at", F.row_number().over(Window.partitionBy(*step).orderBy(code)))
-    return rows.join(steps, step).withColumn(rank, F.col("_ahead") + F.col("_at")).drop("_start", "_at", "_ahead")
+        added[total] = F.sum("_sum").over(Window.partitionBy(*keys))
+    counts = counts.withColumns(added).drop("_n", "_sum")
+    inside = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(F.desc(measure), code))
+    numbered = rows.withColumn("_at", inside).join(counts, [*keys, "_part"])
+    return numbered.withColumn(rank, F.col("_ahead") + F.col("_at")).drop("_part", "_at", "_ahead")
+
+
+def _ranged(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    """Rows in ranges of similar size by ``order``, told by ``_part``; stored, so that all uses see the same ranges."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "ranged")
 
 
 def global_rank(df: DataFrame, value: str, rank: str) -> DataFrame:
     """Rank (ties share, gaps follow) over the whole relation.
 
-    The rank of a value is one plus the number of rows above it.  Only the
-    distinct values meet in the one-partition window (counts that add up to N
-    have at most sqrt(2N) distinct values); rows get their rank back by an
-    equi-join, so the relation itself is never gathered.
+    The rank of a value is one plus the number of rows above it: those above it
+    in its range of distinct values, and those of the ranges ahead.  The only
+    window without a key runs over one count per range.  ``df`` should be a
+    reduced relation; it is stored, so that its sources are read once.
     """
-    above = Window.orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
-        df.groupBy(value)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(value, (F.lit(1) + F.coalesce(F.sum("_n").over(above), F.lit(0))).alias(rank))
-    )
-    return df.join(ranks, value, "left")
+    kept = stored(df, "measured")
+    levels = _ranged(kept.groupBy(value).agg(F.count(F.lit(1)).alias("_n")), [F.desc(value)])
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = levels.groupBy("_part").agg(F.sum("_n").alias("_n")).select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    above = Window.partitionBy("_part").orderBy(F.desc(value)).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = levels.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0))).join(before, "_part")
+    return kept.join(ranks.select(value, (F.lit(1) + F.col("_ahead") + F.col("_above")).alias(rank)), value, "left")
 
 
 def nested_top_n(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +72,31 @@ def match_rate(counted: DataFrame, code: str, weight: str, parent: DataFrame, pa
     )
 
 
+def match_rates(df: DataFrame, parents: dict[str, DataFrame], name: str) -> DataFrame:
+    """``match_rate`` of several code columns of one relation, from a single scan.
+
+    ``parents`` maps each column to its dictionary of one column; ``name`` is
+    the output column that tells them apart.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("code")) for c in parents]))
+    counted = df.select(cells.alias("_c")).groupBy("_c.column", "_c.code").agg(F.count(F.lit(1)).alias("_w"))
+    known = reduce(
+        DataFrame.unionByName,
+        [p.select(F.lit(c).alias("column"), F.col(p.columns[0]).alias("code")) for c, p in parents.items()],
+    ).distinct()
+    w = F.col("_w")
+    return (
+        counted.join(known.withColumn("_hit", F.lit(True)), ["column", "code"], "left")
+        .groupBy(F.col("column").alias(name))
+        .agg(
+            F.sum(w).alias("total"),
+            F.coalesce(F.sum(F.when(F.col("code").isNotNull(), w)), F.lit(0)).alias("preenchidos"),
+            F.coalesce(F.sum(F.when(F.col("_hit"), w)), F.lit(0)).alias("casados"),
+        )
+        .withColumn("pct_casados", share_pct(F.col("casados"), F.col("preenchidos"), 2))
+    )
+
+
 def null_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """NULL count and share per column, one row each, from a single pass."""
     counts = df.agg(

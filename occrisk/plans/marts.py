@@ -10,7 +10,7 @@ export (see ``export.PRESENTATION_ORDER``).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occrisk.functions import codes, rates
@@ -18,6 +18,7 @@ from occrisk.functions import labels as L
 from occrisk.functions.text import lookup
 from occrisk.operators import keyed, ranking, relations
 from occrisk.operators.expand import explode_codes
+from occrisk.operators.stored import stored
 from occrisk.plans.layers import Layer
 from occrisk.plans.staging import classify_codes, death_lines
 
@@ -318,16 +319,11 @@ def risco_doenca(stg: Layer) -> DataFrame:
         F.sum("total_obitos").alias("total_obitos_com_condicao")
     )
     # An occupation has exactly one class, so (occupation, line) is the group
-    # of (class, occupation, line).  After the count a group has one row per
-    # code, and line codes have three to six characters, so its size is bounded
-    # by the diagnosis dictionary, however hot the occupation.
-    group = Window.partitionBy("cbo_codigo", "fonte_linha")
-    measured = _attributed(counted, stg).withColumns({
-        "total_obitos_na_fonte": F.sum("total_obitos_com_condicao").over(group),
-        "rank_na_fonte": F.row_number()
-        .over(group.orderBy(F.desc("total_obitos_com_condicao"), F.asc("cid_normalizado")))
-        .cast("bigint"),
-    })
+    # of (class, occupation, line).
+    measured = ranking.rank_in_group(
+        _attributed(counted, stg), ["cbo_codigo", "fonte_linha"], "total_obitos_com_condicao", "cid_normalizado",
+        "rank_na_fonte", total="total_obitos_na_fonte",
+    )
     rows = _graded(classify_codes(measured, "cid_normalizado"), stg).join(_classes(stg), "cnae_classe", "left")
     rows = _with_diagnosis(_with_occupation(rows, stg), stg, "cid_normalizado", "cid_descricao")
     rows = _with_diagnosis(rows, stg, "cid_categoria", "categoria_descricao")
@@ -361,8 +357,13 @@ def mortalidade_por_cnae(stg: Layer) -> DataFrame:
             F.sum(F.when(F.col("acidente_trabalho") == "Sim", deaths).otherwise(0)).alias("obitos_acidente_trabalho"),
         )
     )
-    exposure = bonds_by_class(stg)
-    rows = _graded(_attributed(counted, stg, "sum"), stg)
+    # one reduced relation of the bonds gives both the dominant class and the exposure
+    bonds = stored(
+        stg["stg_fact_rais"].groupBy("cbo_codigo", "cnae_classe").agg(F.sum("quantidade_vinculos").alias("vinculos")), "bonds"
+    )
+    dominant = keyed.dominant_key(bonds, "cbo_codigo", "cnae_classe", "vinculos", "sum")
+    exposure = bonds.groupBy("cnae_classe").agg(F.sum("vinculos").alias("total_vinculos"))
+    rows = _graded(keyed.attribute(counted, dominant, "cbo_codigo", "cnae_classe"), stg)
     rows = rows.join(_classes(stg), "cnae_classe", "inner").join(exposure, "cnae_classe", "left")
     return rows.select(
         "grau_risco", "grau_risco_descricao", "cnae_classe",
@@ -424,17 +425,15 @@ def comorbidades_por_cnae(stg: Layer) -> DataFrame:
 
 def causas_externas_por_cnae(stg: Layer) -> DataFrame:
     """External causes of death by activity."""
-    # The work flag is a key, not a second sum: a branch that does not need it
-    # would drop such a sum and then no longer share this shuffle.
+    deaths = F.col("total_obitos")
     by_occupation = (
         stg["stg_fact_sim"]
         .filter(codes.chapter(F.col("cid_10_causa")).isin(*L.EXTERNAL_CAUSE_LABEL))
-        .groupBy("cbo_codigo", F.col("cid_10_causa").alias("cid_causa"), (F.col("acidente_trabalho") == "Sim").alias("_work"))
-        .agg(F.sum("total_obitos").alias("_n"))
+        .groupBy("cbo_codigo", F.col("cid_10_causa").alias("cid_causa"))
+        .agg(F.sum(deaths).alias("_n"), F.sum(F.when(F.col("acidente_trabalho") == "Sim", deaths).otherwise(0)).alias("_work"))
     )
     by_class = _attributed(by_occupation, stg).groupBy("cnae_classe", "cid_causa").agg(
-        F.sum("_n").alias("total_obitos"),
-        F.sum(F.when(F.col("_work"), F.col("_n")).otherwise(0)).alias("total_obitos_trabalho"),
+        F.sum("_n").alias("total_obitos"), F.sum("_work").alias("total_obitos_trabalho")
     )
     measured = ranking.rank_in_group(
         by_class, ["cnae_classe"], "total_obitos", "cid_causa", "rank_causa", total="total_obitos_causa_ext_cnae"
@@ -506,26 +505,18 @@ def score_risco_cnae(stg: Layer) -> DataFrame:
 def cnae_sem_score(stg: Layer, score: DataFrame | None = None) -> DataFrame:
     """Classes without a score, with the evidence why.
 
-    The evidence counts all years, unlike the score.  With the stored score
-    table this is its null-aware complement.  Without it, a class has no score
-    exactly when its prefix has no work accident in the common years, which
-    the scan that collects the evidence can count along.
+    The evidence counts all years, unlike the score.  This is the null-aware
+    complement of the score table, which is taken as stored or built here.
     """
-    counts = [
+    scored = (score_risco_cnae(stg) if score is None else score).select(_prefix().alias("_scored")).distinct()
+    classes = _with_prefix(_classes(stg, ["cnae_classe", "cnae_descricao_classe"]))
+    classes = relations.null_aware_anti(classes, F.col("cnae_cod_4"), scored, "_scored")
+    evidence = stg["stg_fact_cat"].filter(F.col("cnae_cod_4").isNotNull()).groupBy("cnae_cod_4").agg(
         F.count(F.lit(1)).alias("total_cat"),
         F.count_if(_at_work()).alias("acidentes_trabalho"),
         F.count_if(_commuting()).alias("acidentes_trajeto"),
-    ]
-    classes = _with_prefix(_classes(stg, ["cnae_classe", "cnae_descricao_classe"]))
-    if score is None:
-        counts.append(F.count_if(_at_work() & common_years(stg)).alias("_scored"))
-    else:
-        scored = score.select(_prefix().alias("_scored")).distinct()
-        classes = relations.null_aware_anti(classes, F.col("cnae_cod_4"), scored, "_scored")
-    evidence = stg["stg_fact_cat"].filter(F.col("cnae_cod_4").isNotNull()).groupBy("cnae_cod_4").agg(*counts)
+    )
     rows = classes.join(evidence, "cnae_cod_4", "left").join(bonds_by_class(stg), "cnae_classe", "left")
-    if score is None:
-        rows = rows.filter(F.col("cnae_cod_4").isNotNull() & (F.coalesce("_scored", F.lit(0)) == 0))
     return rows.select(
         "cnae_classe", "cnae_descricao_classe",
         *[

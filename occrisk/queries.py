@@ -272,10 +272,8 @@ def explode_lines(raw: Layer, stg: Layer) -> DataFrame:
 @_register
 def cid_normalisers(raw: Layer, stg: Layer) -> DataFrame:
     """Every spelling of a basic cause or a line under the four normalisers."""
-    spelled = reduce(
-        DataFrame.unionByName,
-        [raw["fact_sim"].select(F.col(c).alias("texto")) for c in ("cid_10_causa", "linha_a", "linha_ii")],
-    )
+    columns = ["cid_10_causa", "linha_a", "linha_b", "linha_c", "linha_d", "linha_ii"]
+    spelled = raw["fact_sim"].select(F.explode(F.array(*columns)).alias("texto"))
     found = spelled.filter(F.col("texto").isNotNull()).groupBy("texto").agg(F.count(F.lit(1)).alias("linhas"))
     code = F.col("texto")
     return found.select(
@@ -340,11 +338,7 @@ def match_rate(raw: Layer, stg: Layer) -> DataFrame:
         ("cbo_codigo", "stg_dim_cbo", "cbo_codigo"),
         ("municipio_id_6", "stg_dim_municipio", "municipio_id_6"),
     ]
-    parts = [
-        relations.match_rate(_code_counts(stg["stg_fact_cat"], code), code, "n", stg[dim], key).withColumn("coluna", F.lit(code))
-        for code, dim, key in pairs
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return relations.match_rates(stg["stg_fact_cat"], {code: stg[dim].select(key) for code, dim, key in pairs}, "coluna")
 
 
 @_register

@@ -216,7 +216,7 @@ from stg_fact_rais r, years where r.ano >= y0 and r.ano <= y1 group by r.ano""",
 select fonte_linha, cid_raw, cast(sum(total_obitos) as bigint) as ocorrencias from sim_tokens group by all""",
     "cid_normalisers": """
 with spelled as (
-  select t as texto, count(*) as linhas from (select unnest([cid_10_causa, linha_a, linha_ii]) as t from fact_sim)
+  select t as texto, count(*) as linhas from (select unnest([cid_10_causa, linha_a, linha_b, linha_c, linha_d, linha_ii]) as t from fact_sim)
   where t is not null group by t
 ), parts as (
   select *, trim(texto) as t, upper(trim(texto)) as u, ltrim(trim(texto), '*') as b from spelled

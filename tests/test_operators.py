@@ -83,6 +83,16 @@ def test_rank_in_group_of_a_hot_group(spark):
     assert got == want
 
 
+def test_ranks_spread_any_group(spark):
+    """One group, one count, one prefix: the rows still lie in ranges of similar size."""
+    df = spark.range(40_000).selectExpr("'k' as k", "'J18' || lpad(cast(id as string), 6, '0') as code", "1 as n")
+    sizes = [r["count"] for r in ranking._ranged(df, ["k", F.desc("n"), "code"]).groupBy("_part").count().collect()]
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 2 * min(sizes)
+    ranked = ranking.rank_in_group(df, ["k"], "n", "code", "r", total="t")
+    assert ranked.filter("r <> cast(substr(code, 4) as bigint) + 1 or t <> 40000").isEmpty()
+    assert ranking.global_rank(spark.range(10_000), "id", "r").filter("r <> 10000 - id").isEmpty()
+
+
 def test_nested_top_n(spark, bonds):
     cells = Counter((k, p, w) for k, p, w in bonds)
     data = [(p, k, str(w), n) for (k, p, w), n in cells.items()]
