@@ -21,6 +21,10 @@ HEADLINE = [
     "sim_aggregate",
     "stg_fact_cat",
     "stg_sim_linhas",
+    "layout_unify",
+    "quarantine_split",
+    "match_rate",
+    "dq_summary",
     "dominant_max_row",
     "mart_cat_cnae_cbo_mes",
     "mart_risco_teorico_vs_observado",

@@ -74,6 +74,7 @@ def competence_part(col: Column, part: int) -> Column:
 def year_of_file(name: Column) -> Column:
     """Competence year told by a landing file's name; NULL when it tells none.
 
+    FIXED VALUES: the patterns below are those of the published files.
     ``.CAT.YYYYMM.`` wins, then the last run of four digits in the base name,
     then the one legacy file whose name carries no year (2021).
     """

@@ -89,8 +89,9 @@ _CAT = {
 }
 
 _SIM = {
-    "ano": "cast(1995+event_id%7 as int)",
-    "sigla_uf": "'SP'",
+    # some years before the range and some other states: the source must drop them
+    "ano": "cast(1995+event_id%7-case when event_id%19=0 then 100 else 0 end as int)",
+    "sigla_uf": "case when event_id%13=0 then 'RJ' when event_id%17=0 then 'MG' else 'SP' end",
     "id_municipio_residencia": "cast(3500000+(event_id%25)*10+(event_id%25)%7 as string)",
     "ocupacao": f"case when event_id%33=0 then null else {cbo('cast(floor(user_id*2/3) as bigint)')} end",
     "causa_basica": pool("event_id"),
@@ -127,6 +128,14 @@ _LANDED = {
     "c_kind": _CAT["tipo_acidente"],
     "c_uf": _CAT["uf_empregador"],
     "c_birth": _CAT["data_nascimento"],
+    "c_issuer": "'Emitente ' || cast(o_orderkey%4 as string)",
+    "c_benefit": "case when o_orderkey%7=0 then 'NaN' else 'Pa ' || cast(o_orderkey%5 as string) end",
+    "c_affiliation": "'Filiado ' || cast(o_custkey%3 as string)",
+    "c_origin": "'Origem ' || cast(o_orderkey%2 as string) || ' '",
+    "c_uf_accident": "'UF ' || cast(o_custkey%5 as string)",
+    "c_granted": "'Despacho ' || cast(o_orderkey%28 as string)",
+    "c_issued": "'Emissao ' || cast(o_orderkey%27 as string)",
+    "c_employer": "cast(10000+o_custkey as string)",
     "c_extra": "case when o_orderkey%113=0 then 'x' else null end",
 }
 
@@ -136,6 +145,9 @@ _MIDDLE = [
     ("CNAE2.0 Empregador", "c_cnae"), ("CNAE2.0 Empregador", "c_cnae_text"), ("Munic Empr", "c_munic"),
     ("Natureza da Lesão", "c_lesion"), ("Parte Corpo Atingida", "c_part"), ("Sexo", "c_sex"),
     ("Tipo do Acidente", "c_kind"), ("UF Munic. Empregador", "c_uf"), ("Data Nascimento", "c_birth"),
+    ("Emitente CAT", "c_issuer"), ("Espécie do benefício", "c_benefit"), ("Filiação Segurado", "c_affiliation"),
+    ("Origem de Cadastramento CAT", "c_origin"), ("UF  Munic.  Acidente", "c_uf_accident"),
+    ("Data Despacho Benefício", "c_granted"), ("Data Emissão CAT", "c_issued"), ("CNPJ/CEI Empregador", "c_employer"),
 ]
 LAYOUT_CELLS = {
     "A": _FIRST + [("Data Acidente", "c_ym"), ("CBO", "c_occ"), ("CBO", "c_occ_text"), ("CID-10", "c_diag"),
@@ -161,8 +173,7 @@ _URL = (
 
 # raw table -> (driver table, filter, distinct, columns)
 PROJECTIONS: dict[str, tuple[str, str | None, bool, dict[str, str]]] = {
-    # One row per subclass: the subclass suffix has two digits, so part keys
-    # beyond 30 000 repeat rows.
+    # One row per subclass.
     "dim_cnae": ("part", None, True, {
         "subclasse": subclasse("p_partkey"),
         "descricao_subclasse": f"' Sub ' || {subclasse('p_partkey')}",
@@ -203,7 +214,7 @@ PROJECTIONS: dict[str, tuple[str, str | None, bool, dict[str, str]]] = {
         "DESCRICAO": f"'Categoria ' || left({pool('event_id')},3)",
     }),
     "rais_microdados": ("lineitem", None, False, {
-        "ano": "cast(year(l_shipdate) as int)",
+        "ano": "cast(year(l_shipdate)+case when l_orderkey%29=0 then 200 else 0 end as int)",
         "sigla_uf": "case l_returnflag when 'A' then ' sp' when 'N' then 'RJ' else 'MG' end",
         "cnae_2_subclasse": f"case when l_orderkey%211=0 then '9999999' else {subclasse('l_partkey')} end",
         "cbo_2002": cbo("l_suppkey"),

@@ -19,12 +19,12 @@ select {_cell('c_agent')} as agente_causador,
   case when layout = 'B' then trim(split_part({_cell("c_occ || '-' || c_occ_text")}, '-', 1)) else {_cell('c_occ')} end as cbo,
   case when layout = 'B' then split_part({_cell("c_diag || ' ' || c_diag_text")}, ' ', 1) else {_cell('c_diag')} end as cid_10,
   {_cell('c_cnae')} as cnae_empregador_cod, {_cell('c_cnae_text')} as cnae_empregador_desc,
-  null::varchar as emitente, null::varchar as especie_beneficio, null::varchar as filiacao,
+  {_cell('c_issuer')} as emitente, {_cell('c_benefit')} as especie_beneficio, {_cell('c_affiliation')} as filiacao,
   {_cell('c_flag')} as indica_obito, {_cell('c_munic')} as munic_empregador, {_cell('c_lesion')} as natureza_lesao,
-  null::varchar as origem_cadastro, {_cell('c_part')} as parte_corpo, {_cell('c_sex')} as sexo,
-  {_cell('c_kind')} as tipo_acidente, null::varchar as uf_acidente, {_cell('c_uf')} as uf_empregador,
-  null::varchar as data_despacho, {_cell('c_birth')} as data_nascimento, null::varchar as data_emissao,
-  null::varchar as cnpj_empregador, split_part(path, '/', 2) as _source_file, c_extra is not null as malformed
+  {_cell('c_origin')} as origem_cadastro, {_cell('c_part')} as parte_corpo, {_cell('c_sex')} as sexo,
+  {_cell('c_kind')} as tipo_acidente, {_cell('c_uf_accident')} as uf_acidente, {_cell('c_uf')} as uf_empregador,
+  {_cell('c_granted')} as data_despacho, {_cell('c_birth')} as data_nascimento, {_cell('c_issued')} as data_emissao,
+  {_cell('c_employer')} as cnpj_empregador, split_part(path, '/', 2) as _source_file, c_extra is not null as malformed
 from landed_notices"""
 
 _STATE = "if(f = 0, 'PASS', if(s = 'warn', 'WARN', 'ERROR'))"
@@ -128,7 +128,7 @@ from (
 )""",
     "layout_detection": """
 select distinct split_part(path, '/', 2) as _source_file, layout,
-  cast(case layout when 'A' then 17 when 'B' then 16 else 16 end as integer) as n_header
+  cast(case layout when 'A' then 25 when 'B' then 24 else 24 end as integer) as n_header
 from landed_notices""",
     "layout_unify": _UNIFIED,
     "quarantine_split": f"""

@@ -30,12 +30,12 @@ RAW["dim_cbo"] = _occupations()
 RAW["rais_vinculos"] = f"""
 select ano, sigla_uf, cnae_2_subclasse, cbo_2002, cast(sum({A.BONDS_PER_LINE}) as bigint) as quantidade_vinculos
 from rais_microdados
-where vinculo_ativo_3112 = '1' and cnae_2_subclasse is not null and cbo_2002 is not null
+where ano >= {A.FIRST_YEAR} and ano <= {A.LAST_YEAR} and vinculo_ativo_3112 = '1' and cnae_2_subclasse is not null and cbo_2002 is not null
 group by all"""
-RAW["fact_sim"] = """
+RAW["fact_sim"] = f"""
 select ano, sigla_uf, id_municipio_residencia as id_municipio, ocupacao as cbo_2002, causa_basica as cid_10_causa,
   acidente_trabalho, sexo, idade, linha_a, linha_b, linha_c, linha_d, linha_ii, count(*) as total_obitos
-from sim_microdados where sigla_uf = 'SP' and ocupacao is not null
+from sim_microdados where sigla_uf = 'SP' and ano >= {A.FIRST_YEAR} and ano <= {A.LAST_YEAR} and ocupacao is not null
 group by all"""
 RAW["dim_cid"] = """
 select distinct on (code) code as cid_codigo, label as cid_descricao

@@ -18,9 +18,8 @@ def no_mark(col: str) -> str:
     return f"case when trim({col}) not like '{{%' then trim({col}) end"
 
 
-_AGE_CAT = """case when y is null or y < 0 then null when y >= 65 then '65+'
-  else list_extract(['0-17','18-24','25-34','35-44','45-54','55-64'],
-    case when y <= 17 then 1 when y <= 24 then 2 when y <= 34 then 3 when y <= 44 then 4 when y <= 54 then 5 else 6 end) end"""
+_AGE_CAT = """case when y is null or y < 0 then null when y <= 17 then '0-17' when y <= 24 then '18-24'
+  when y <= 34 then '25-34' when y <= 44 then '35-44' when y <= 54 then '45-54' when y <= 64 then '55-64' else '65+' end"""
 
 STAGING: dict[str, str] = {
     "stg_dim_cnae": f"select {_trimmed(_CNAE)} from dim_cnae where subclasse is not null",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from occrisk.operators import keyed, ranking, relations
 from occrisk.operators.expand import explode_codes
+from occrisk.sources import notices
 
 
 @pytest.fixture(scope="module")
@@ -164,3 +165,21 @@ def test_explode_codes(spark):
     )
     got = rows(explode_codes(df, {"a": "A", "b": "B"}, {"m": "M"}, "*", "line", "code", ["id"]))
     assert got == [(1, "A", "*A00"), (1, "M", "E149"), (1, "M", "I10X"), (2, "B", "*B")]
+
+
+def test_fixture_fails_every_source_predicate(layers):
+    """Each predicate of the sources drops rows that all others keep, and every notice column is filled."""
+    raw, _ = layers
+    deaths, bonds = raw["sim_microdados"], raw["rais_microdados"]
+    known, years = "ocupacao is not null", "ano between 1900 and 2100"
+    for others, broken in [
+        (f"{known} and {years}", "sigla_uf <> 'SP'"),
+        (f"sigla_uf = 'SP' and {known}", f"not ({years})"),
+        (f"sigla_uf = 'SP' and {years}", f"not ({known})"),
+    ]:
+        assert not deaths.filter(others).filter(broken).isEmpty()
+    for others, broken in [("vinculo_ativo_3112 = '1'", f"not ({years})"), (years, "vinculo_ativo_3112 <> '1'")]:
+        assert not bonds.filter(others).filter(broken).isEmpty()
+    unified = notices.unify(raw["landed_records"], notices.manifest(raw["landed_headers"]))
+    filled = unified.groupBy().agg(*[F.count(c).alias(c) for c in notices.NOTICE_COLUMNS]).first()
+    assert all(filled[c] > 0 for c in notices.NOTICE_COLUMNS)
