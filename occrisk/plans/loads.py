@@ -116,6 +116,16 @@ def pending_years(table: DataFrame, first_year: int, last_year: int, marker: str
     return wanted.join(done, "ano", "left_anti")
 
 
+def replaced(table: DataFrame, fresh: DataFrame, todo: DataFrame, year: str = "ano") -> DataFrame:
+    """What ``replace_years`` leaves, as a set operation: fresh rows of the years to do, else the table's own.
+
+    A year to do without fresh rows keeps what it has.
+    """
+    taken = fresh.join(todo, year, "left_semi")
+    kept = table.join(taken.select(year).distinct(), year, "left_anti")
+    return kept.unionByName(taken, allowMissingColumns=True)
+
+
 def replace_years(df: DataFrame, path: str, year: str = "ano") -> None:
     """Replace exactly the years present in ``df``; other partitions stay untouched."""
     (

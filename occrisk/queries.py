@@ -95,9 +95,9 @@ def quarantine_split(raw: Layer, stg: Layer) -> DataFrame:
 
 @_register
 def source_profile(raw: Layer, stg: Layer) -> DataFrame:
-    """Columns, row counts and filled cells of the raw tables."""
+    """Columns, types, row counts, filled cells and first cells of the raw tables."""
     names = ["dim_cnae", "dim_cbo", "dim_municipio", "rais_microdados", "sim_microdados"]
-    return profile.profile(raw, names).drop("tipo")
+    return profile.profile(raw, names)
 
 
 # --- loads -----------------------------------------------------------------------
@@ -131,6 +131,18 @@ def schema_evolution(raw: Layer, stg: Layer) -> DataFrame:
     return _evolved(raw).groupBy("ano").agg(F.count(F.lit(1)).alias("linhas"), *filled)
 
 
+@_register
+def year_replacement(raw: Layer, stg: Layer) -> DataFrame:
+    """Rows, deaths and filled lines per year after the pending years are loaded anew.
+
+    The fresh deaths count double, and lack one pending year, to tell them apart.
+    """
+    old, fresh = _evolved(raw), raw["fact_sim"].filter("ano <> 1996").withColumn("total_obitos", F.col("total_obitos") * 2)
+    after = loads.replaced(old, fresh, loads.pending_years(old, 1994, 2003))
+    filled = [F.count(c).alias(c) for c in (*loads.LATER_COLUMNS, "linha_ii")]
+    return after.groupBy("ano").agg(F.count(F.lit(1)).alias("linhas"), F.sum("total_obitos").alias("obitos"), *filled)
+
+
 @_register
 def pending_years(raw: Layer, stg: Layer) -> DataFrame:
     return loads.pending_years(_evolved(raw), 1994, 2003)

@@ -12,25 +12,35 @@ from occrisk.plans.layers import Layer
 
 SAMPLE_ROWS = 3
 
+# Neutral names of column types; the rest keeps Spark's name.
+TYPE_NAMES = {"string": "texto", "int": "inteiro", "bigint": "inteiro", "double": "decimal", "date": "data", "timestamp": "instante"}
+
 
 def profile(tables: Layer, names: list[str]) -> DataFrame:
-    """One row per column of every table: position, type, table rows, filled cells."""
+    """One row per column of every table: position, type, table rows, filled cells, sample.
+
+    The sample joins the cells of the table's first rows, in the order of all
+    its columns; each task keeps that many rows only.
+    """
 
     def one(name: str) -> DataFrame:
         df = tables[name]
         counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count(F.col(f.name)).alias(f.name) for f in df.schema])
+        first = df.orderBy(*df.columns).limit(SAMPLE_ROWS).agg(F.array_sort(F.collect_list(F.struct(*df.columns))).alias("_first"))
         columns = [
             F.struct(
                 F.lit(name).alias("tabela"),
                 F.lit(i).alias("posicao"),
                 F.lit(f.name).alias("coluna"),
-                F.lit(f.dataType.simpleString()).alias("tipo"),
+                F.lit(TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())).alias("tipo"),
                 F.col("_rows").alias("linhas"),
                 F.col(f.name).alias("preenchidas"),
+                F.array_join(F.col("_first").getField(f.name).cast("array<string>"), " | ").alias("amostra"),
             )
             for i, f in enumerate(df.schema, start=1)
         ]
-        return counts.select(F.inline(F.array(*columns)))
+        # both sides are one aggregated row
+        return counts.withColumn("_one", F.lit(1)).join(first.withColumn("_one", F.lit(1)), "_one").select(F.inline(F.array(*columns)))
 
     return reduce(DataFrame.unionByName, [one(n) for n in names])
 
@@ -46,6 +56,3 @@ def readable(tables: Layer, names: list[str]) -> tuple[list[str], dict[str, str]
             errors[name] = str(exc)
     return good, errors
 
-
-def sample(df: DataFrame) -> DataFrame:
-    return df.limit(SAMPLE_ROWS)

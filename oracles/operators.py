@@ -104,6 +104,12 @@ _PROFILED = {
                        "idade", "linha_a", "linha_b", "linha_c", "linha_d", "linha_ii"],
 }
 
+
+
+def _first(columns) -> str:
+    return ", ".join(f"{c} asc nulls first" for c in columns)
+
+
 _LINES = "if(ano < 1998, null, {c})"
 
 OPERATORS: dict[str, str] = {
@@ -136,7 +142,9 @@ select _source_file, if(malformed or ifnull(cnae_empregador_cod, '') = '' or ifn
   'quarentena', 'aceito') as destino, count(*) as linhas
 from ({_UNIFIED}) group by all""",
     "source_profile": " union all ".join(
-        f"select '{t}' as tabela, {i} as posicao, '{c}' as coluna, count(*) as linhas, count({c}) as preenchidas from {t}"
+        f"select '{t}' as tabela, {i} as posicao, '{c}' as coluna, '{'inteiro' if c == 'ano' else 'decimal' if c == 'idade' else 'texto'}' as tipo, "
+        f"count(*) as linhas, count({c}) as preenchidas, (select coalesce(string_agg(cast({c} as varchar), ' | ' order by {_first(cols)}), '') "
+        f"from (select * from {t} order by {_first(cols)} limit 3)) as amostra from {t}"
         for t, cols in _PROFILED.items() for i, c in enumerate(cols, start=1)
     ),
     "ledger_skip": """
@@ -145,6 +153,10 @@ where source_file not in (select file_name from load_events where status = 'succ
     "ledger_states": """
 select id, file_name, md5(file_name) as checksum, ifnull(max(status) filter (finished_at is not null), 'running') as status
 from load_events group by id, file_name""",
+    "year_replacement": f"""
+select ano, count(*) as linhas, cast(sum(case when ano in (1995, 1997) then 2 else 1 end * total_obitos) as bigint) as obitos,
+  {', '.join(f"count(case when ano in (1995, 1997) or ano >= 1998 then {c} end) as {c}" for c in ('linha_a', 'linha_b', 'linha_c', 'linha_d'))}, count(linha_ii) as linha_ii
+from fact_sim group by ano""",
     "schema_evolution": f"""
 select ano, count(*) as linhas, count({_LINES.format(c='linha_a')}) as linha_a, count({_LINES.format(c='linha_b')}) as linha_b,
   count({_LINES.format(c='linha_c')}) as linha_c, count({_LINES.format(c='linha_d')}) as linha_d, count(linha_ii) as linha_ii
