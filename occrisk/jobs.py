@@ -1,4 +1,4 @@
-"""Batch jobs: ingest, build, check, export, reload deaths.
+"""Batch jobs: ingest, land new files, build, check, export, reload deaths.
 
     spark-submit --py-files occrisk.zip occrisk/jobs.py build --root s3a://...
 
@@ -17,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occrisk.config import LoadConfig
+from occrisk.operators.stored import stored
 from occrisk.plans import export, loads, quality, warehouse
 from occrisk.plans.layers import Layer
 from occrisk.sources import dictionaries, landing, microdata, notices
+from occrisk.streaming.landing import checkpoint_dir, land_new_files
 
 # Folders below the microdata source.
 MICRODATA = {
@@ -116,7 +118,7 @@ def reload_deaths(spark: SparkSession, source: str, root: str, config: LoadConfi
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=["ingest", "build", "check", "export", "reload-deaths"])
+    parser.add_argument("job", choices=["ingest", "land-new", "build", "check", "export", "reload-deaths"])
     parser.add_argument("--root", required=True)
     parser.add_argument("--source", help="folder of Parquet microdata tables")
     parser.add_argument("--files", help="folder of landed files")
@@ -126,10 +128,12 @@ def main(argv: list[str] | None = None) -> int:
     if args.job == "ingest":
         for name, outcome in ingest(spark, args.source, args.files, args.root, config, args.force).items():
             print(name, outcome)
+    elif args.job == "land-new":
+        land_new_files(spark, f"{args.files}/CAT", f"{args.root}/stream", checkpoint_dir(spark, "notices", f"{args.root}/checkpoints"))
     elif args.job == "build":
         build(spark, args.root)
     elif args.job == "check":
-        results = check(spark, args.root)
+        results = stored(check(spark, args.root), "checks")  # listed and summed from one run
         results.filter(F.col("falhas") > 0).show(100, truncate=False)
         totals = quality.summary(results).first()
         print(f"PASS={totals['pass']} WARN={totals['warn']} ERROR={totals['error']}")

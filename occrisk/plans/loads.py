@@ -64,9 +64,15 @@ def create_ledger(spark: SparkSession, path: str) -> None:
 
 
 def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Drop the old contents and write the new ones."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    """Drop the old contents and write the new ones.
+
+    Rows are first brought together by partition; Spark splits large partitions
+    by their measured size, so files are neither tiny nor written by one task.
+    """
+    if partition_by:
+        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
 
 
 def load_table(
@@ -129,7 +135,8 @@ def replaced(table: DataFrame, fresh: DataFrame, todo: DataFrame, year: str = "a
 def replace_years(df: DataFrame, path: str, year: str = "ano") -> None:
     """Replace exactly the years present in ``df``; other partitions stay untouched."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", year)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(year)
         .parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from occrisk.plans import loads
 from occrisk.plans.layers import Layer
 from occrisk.plans.marts import MARTS, cnae_sem_score
 from occrisk.plans.staging import STAGING, staging_layer
@@ -27,8 +28,7 @@ def store_staging(spark: SparkSession, raw: Layer, root: str) -> Layer:
     """Write the shared staging relations; the layer returned reads them back."""
     views = staging_layer(raw)
     for name in STORED_STAGING:
-        writer = views[name].write.mode("overwrite")
-        (writer.partitionBy("ano") if name in STORED_BY_YEAR else writer).parquet(f"{root}/{name}")
+        loads.replace_table(views[name], f"{root}/{name}", "ano" if name in STORED_BY_YEAR else None)
     return stored_layer(Layer.of_parquet(spark, root), raw)
 
 

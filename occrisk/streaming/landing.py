@@ -21,11 +21,18 @@ def checkpoint_dir(spark: SparkSession, name: str, default: str | None = None) -
     return f"{shared.rstrip('/')}/{name}"
 
 
-def land_new_files(
-    spark: SparkSession, directory: str, target: str, first_year: int, last_year: int, checkpoint: str
-) -> None:
+def landed(spark: SparkSession, target: str, first_year: int, last_year: int) -> DataFrame:
+    """Landed rows, flagged, of the files whose name tells a year in the range."""
+    rows = spark.read.parquet(f"{target}/rows")
+    return rows.filter(text.year_of_file(F.col("_source_file")).between(first_year, last_year)).drop("batch")
+
+
+def land_new_files(spark: SparkSession, directory: str, target: str, checkpoint: str) -> None:
     """Unify every new file of ``directory`` into ``target`` and stop.
 
+    Files of all years are landed: the checkpoint remembers what it has taken,
+    so a range applied here could never be widened.  ``landed`` applies it.
+
     Writes ``target/rows`` (good and quarantined rows in partitions of their
     own) and ``target/status``, partitioned by micro-batch.  A batch repeated
     after a failure overwrites its own partitions, so files are neither lost
@@ -39,7 +46,7 @@ def land_new_files(
     )
     name = F.substring_index("path", "/", -1)
     chosen = stream.filter(
-        text.file_format(name).isin("CSV", "ZIP") & text.year_of_file(name).between(first_year, last_year)
+        text.file_format(name).isin("CSV", "ZIP") & text.year_of_file(name).isNotNull()
     )
 
     def store(part: DataFrame, folder: str, batch_id: int, *more: str) -> None:

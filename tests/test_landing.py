@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from occrisk.sources import dictionaries, landing, notices
-from occrisk.streaming.landing import checkpoint_dir, land_new_files
+from occrisk.streaming.landing import checkpoint_dir, land_new_files, landed
 
 LAYOUT_A = (
     "Agente  Causador  Acidente;Data Acidente;CBO;CBO;CID-10;CID-10;CNAE2.0 Empregador;CNAE2.0 Empregador;"
@@ -218,13 +218,15 @@ def test_first_per_url(spark):
 
 def test_streaming_landing_takes_each_file_once(spark, directory, tmp_path):
     target, checkpoint = str(tmp_path / "out"), checkpoint_dir(spark, "notices", str(tmp_path / "cp"))
-    good = lambda: notices.split_quarantine(spark.read.parquet(f"{target}/rows"))[0]
-    land_new_files(spark, directory, target, 2018, 2025, checkpoint)
+    good = lambda first=2018: notices.split_quarantine(landed(spark, target, first, 2025))[0]
+    land_new_files(spark, directory, target, checkpoint)
     assert rows(good().select(SHOWN)) == sorted(EXPECTED_GOOD, key=key)
-    land_new_files(spark, directory, target, 2018, 2025, checkpoint)
+    land_new_files(spark, directory, target, checkpoint)
     assert good().count() == len(EXPECTED_GOOD)
     zip_to(tmp_path / "landing" / "D.SDA.PDA.005.CAT.202401.ZIP", "CAT.CSV", text_of(LAYOUT_C))
-    land_new_files(spark, directory, target, 2018, 2025, checkpoint)
+    land_new_files(spark, directory, target, checkpoint)
     assert good().count() == len(EXPECTED_GOOD) + 2
+    # a wider range finds the file of 2010, which an earlier run has taken
+    assert good(2010).count() == len(EXPECTED_GOOD) + 4
     errors = {r[0] for r in spark.read.parquet(f"{target}/status").filter("error is not null").select("_source_file").collect()}
     assert errors == {"D.SDA.PDA.005.CAT.202307.ZIP", "cat-2020.csv"}
