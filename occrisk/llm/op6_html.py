@@ -9,7 +9,9 @@
 
 Templates of a host are at most (subtrees per page) / MIN_SHARE, so a host's
 list stays small however many pages it has; counts are aggregated before they
-are shuffled, and the adaptive join splits a host that holds many of the pages.
+are shuffled.  A host with more than one in PIECES of all pages is cut into
+pieces of about that size before pages meet their host's list; there are at most
+PIECES such hosts.
 
 Text: blocks in page order, white space inside a block is one space, empty
 blocks are left out, one line feed between blocks.  A <br> is white space.
@@ -31,10 +33,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occrisk.llm.common import shipped, table
+from occrisk.llm.common import shipped, stored, table
 
 MIN_PAGES = 3
 MIN_SHARE = 0.3
+PIECES = 1000
 
 # Names of elements, roles and class or id words.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -280,11 +283,14 @@ def with_host(pages: DataFrame) -> DataFrame:
     )
 
 
-def templates(pages: DataFrame) -> DataFrame:
+def host_sizes(pages: DataFrame) -> DataFrame:
+    return stored(with_host(pages).where("host is not null").groupBy("host").agg(F.count("*").alias("pages")), "hosts")
+
+
+def templates(pages: DataFrame, sizes: DataFrame) -> DataFrame:
     """(host, templates): subtrees that recur over many pages of the host."""
-    sited = with_host(pages).where("host is not null")
-    sizes = sited.groupBy("host").agg(F.count("*").alias("pages"))
-    found = sited.where("html is not null").select("host", "html").mapInArrow(_find, "host string, subtree bigint")
+    sited = with_host(pages).where("host is not null and html is not null")
+    found = sited.select("host", "html").mapInArrow(_find, "host string, subtree bigint")
     counts = found.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
     recurring = counts.join(sizes, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
     return recurring.groupBy("host").agg(F.collect_set("subtree").alias("templates"))
@@ -293,7 +299,15 @@ def templates(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every page."""
     shipped(pages.sparkSession)
-    rows = with_host(pages).join(templates(pages), "host", "left")
+    sizes = host_sizes(pages)
+    total = sizes.agg(F.sum("pages").alias("n")).first()["n"] or 0
+    large = sizes.where(F.col("pages") * PIECES > total).select("host", F.ceil(F.col("pages") * PIECES / F.lit(max(1, total))).alias("pieces"))
+    large = F.broadcast(large)  # at most PIECES rows
+    number = F.coalesce("pieces", F.lit(1).cast("long"))
+    listed = templates(pages, sizes).join(large, "host", "left")
+    listed = listed.select("host", "templates", F.explode(F.sequence(F.lit(0).cast("long"), number - 1)).alias("piece"))
+    own = F.pmod(F.xxhash64("page_id", "url"), F.when(F.col("host").isNull(), F.lit(PIECES).cast("long")).otherwise(number))
+    rows = with_host(pages).join(large, "host", "left").withColumn("piece", own).join(listed, ["host", "piece"], "left")
     return rows.select("page_id", "url", "html", "templates").mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
 
 
