@@ -151,7 +151,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, tex
     found = matches(docs, templates, threshold, text).groupBy("_md5").agg(
         F.collect_set("label").alias("_found"),  # as many as the template list has labels
         F.max("containment").alias("_best"),
-        F.count("*").alias("n_blocks"),
+        F.count_distinct("block", "label").alias("n_blocks"),  # equal texts match at the same blocks
     )
     rows = base(docs, text).join(found, "_md5", "left")
     labels = F.array_sort(F.array_union("_base_labels", F.coalesce("_found", F.array().cast("array<string>"))))

@@ -150,3 +150,9 @@ def test_shard_random_access():
         assert (shard.ids(a, b) == whole[a:b]).all()
     with pytest.raises(ValueError):
         op4_tokens.ShardReader(blob[:-1] + b"\x00" + blob[-1:])
+
+
+def test_licenses_count_blocks_of_equal_texts_once(spark):
+    text = "All rights reserved.\nReleased under the MIT License."
+    rows = op1_license.scan(spark.createDataFrame([(1, text), (2, text), (3, text + "\n" + text)], "doc_id bigint, text string"))
+    assert {r["_row"]["doc_id"]: r["n_blocks"] for r in rows.collect()} == {1: 2, 2: 2, 3: 4}
