@@ -156,3 +156,31 @@ def test_licenses_count_blocks_of_equal_texts_once(spark):
     text = "All rights reserved.\nReleased under the MIT License."
     rows = op1_license.scan(spark.createDataFrame([(1, text), (2, text), (3, text + "\n" + text)], "doc_id bigint, text string"))
     assert {r["_row"]["doc_id"]: r["n_blocks"] for r in rows.collect()} == {1: 2, 2: 2, 3: 4}
+
+
+def test_attention_learns_from_every_training_text(spark):
+    """Texts that a sample of one in 16 by hash would leave out teach the order of their words."""
+    from pyspark.sql import functions as F
+
+    rows = spark.createDataFrame([(n, "red blue " * 9000) for n in range(40)], "doc_id bigint, text string")
+    rows = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(16)) != 0).limit(6)
+    got = op2_lm.scores(rows).collect()
+    assert len(got) == 6 and all(r["score"] / r["n_tokens"] > -0.2 for r in got)  # -0.3 without the order
+
+
+def test_training_passes_once_over_all_batches(monkeypatch):
+    """Windows seen are those of all texts, whatever a task holds at a time."""
+    import pyarrow as pa
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    texts = [" ".join(f"w{n % 7}" for n in range(size)) for size in (0, 5, 40, 300, 1000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[a : a + 2])], names=["text"]) for a in (0, 2, 4)]
+    classes = np.full(op2_lm.IDS + 1, op2_lm.END_CLASS)
+    want = len(attention.windows(np.zeros(sum(len(t.split()) + 1 for t in texts), int), np.array([len(t.split()) + 1 for t in texts]))[0])
+    for size in (16, 1 << 17):
+        monkeypatch.setattr(op2_lm, "BUFFER", size)
+        (out,) = op2_lm._train(None, Shared(classes), Shared(attention.initial(op2_lm.CLASSES)))(iter(batches))
+        assert set(out.column(2).to_pylist()) == {float(want)}
