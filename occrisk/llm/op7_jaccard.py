@@ -12,8 +12,10 @@
 Pairs never become rows: a task compares one block of a bucket or cluster with
 another and returns, per node, the number of links and one edge to the least
 node it found.  Buckets and clusters of any size are cut into blocks of BLOCK
-nodes, so no group is held by one task.  A pair at the threshold is missed with
-probability (1 - 0.8^ROWS)^BANDS = 3e-6, less above it.
+nodes, so no group is held by one task.  A pair at a threshold of 0.8 shares no
+band with probability (1 - 0.8^ROWS)^BANDS = 3.2e-6, and is pruned, by steps 3
+and 4 alike, with probability 7.5e-7: it is missed with 4.0e-6 at most, less
+above the threshold.
 
 Defined results: a text of one to four words is one shingle; a NULL or empty
 text, or one of white space, has no words and no links and is a class of its
@@ -41,7 +43,7 @@ THRESHOLD = 0.8
 BANDS = 24
 ROWS = 4
 STEP = 16
-TOLERANCE = 1e-4
+TOLERANCE = 1e-7
 BLOCK = 512
 
 
@@ -189,25 +191,28 @@ def least_of(n: int, left: np.ndarray, right: np.ndarray, order: np.ndarray) ->
         root = best
 
 
-def _bucket_edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    keys, roots = [], []
-    for rows in grouped(batches, ["bucket", "x", "y"]):
-        if len(rows) < 2:
-            continue
-        sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
-        left, right = survivors(sketches, rows["n"].to_numpy(), *block_pairs(rows))
-        if not left.size:
-            continue
-        node = rows["node"].to_numpy()
-        order = np.argsort(np.argsort(node))
-        root = least_of(len(rows), left, right, order)
-        for n in np.flatnonzero(root != np.arange(len(rows))).tolist():
-            keys.append(node[n])
-            roots.append(node[root[n]])
-        if len(keys) > 20_000:
-            yield pd.DataFrame({"a": keys, "b": roots})
-            keys, roots = [], []
-    yield pd.DataFrame({"a": keys, "b": roots})
+def _bucket_edges(threshold: float):
+    def edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, roots = [], []
+        for rows in grouped(batches, ["bucket", "x", "y"]):
+            if len(rows) < 2:
+                continue
+            sketches = np.frombuffer(b"".join(rows["sketch"]), np.uint8).reshape(len(rows), -1)
+            left, right = survivors(sketches, rows["n"].to_numpy(), *block_pairs(rows), threshold)
+            if not left.size:
+                continue
+            node = rows["node"].to_numpy()
+            order = np.argsort(np.argsort(node))
+            root = least_of(len(rows), left, right, order)
+            for n in np.flatnonzero(root != np.arange(len(rows))).tolist():
+                keys.append(node[n])
+                roots.append(node[root[n]])
+            if len(keys) > 20_000:
+                yield pd.DataFrame({"a": keys, "b": roots})
+                keys, roots = [], []
+        yield pd.DataFrame({"a": keys, "b": roots})
+
+    return edges
 
 
 def _exact(shingles: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
@@ -266,18 +271,18 @@ def _verify(threshold: float):
 # ---------------------------------------------------------------- the join
 
 
-def candidate_clusters(found: DataFrame) -> DataFrame:
+def candidate_clusters(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(node, root): nodes tied by pairs that survive the Bayesian comparison."""
     members = found.select("node", F.explode("bands").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     dealt = blocked(members, "bucket", sizes).join(found.select("node", "n", "sketch"), "node")
-    pairs = together(dealt, "bucket").mapInPandas(_bucket_edges, "a binary, b binary")
+    pairs = together(dealt, "bucket").mapInPandas(_bucket_edges(threshold), "a binary, b binary")
     return components(pairs)
 
 
 def links(docs: DataFrame, found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b, texts, links) per compared block: node, least node it reaches, linked texts and their copies."""
-    clusters = stored(candidate_clusters(found), "clusters")
+    clusters = stored(candidate_clusters(found, threshold), "clusters")
     sizes = clusters.groupBy("root").agg(F.count("*").alias("size"))
     wanted = clusters.join(found.select("node", "doc_id", "copies", "n", "sketch"), "node")
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))

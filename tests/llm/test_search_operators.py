@@ -1,11 +1,13 @@
 """Suffix dedup, Jaccard join, decontamination: against plain versions, also on hard rows."""
 
+import math
 import random
 import re
 from collections import Counter
 
 import brute
 import numpy as np
+import pandas as pd
 import pytest
 from hard_rows import SF_DIR, empty, hard  # noqa: F401
 
@@ -190,3 +192,26 @@ def test_leaks_hard(spark, hard, empty, monkeypatch):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r["doc_id"] for r in hard.collect() if r["doc_id"] not in (7, 8))
     assert op10_decontamination.leaks(empty, benchmark).collect() == []
     assert op10_decontamination.leaks(docs, benchmark.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.81, 0.82, 0.9])
+def test_pruning_loses_no_more_than_the_bands(similarity):
+    """Exact probability that a pair is dropped by some step, and that it is missed at all."""
+    step, rows = op7_jaccard.STEP, op7_jaccard.ROWS
+    agree = similarity + (1 - similarity) / 256
+    one = [math.comb(step, n) * agree**n * (1 - agree) ** (step - n) for n in range(step + 1)]
+    stay = np.ones(1)
+    for least in op7_jaccard.least_matches()[1:]:
+        stay = np.convolve(stay, one)
+        stay[:least] = 0
+    pruned, unbanded = 1 - stay.sum(), (1 - 0.8**rows) ** op7_jaccard.BANDS
+    assert pruned <= unbanded and pruned + unbanded <= 4.0e-6
+
+
+def test_buckets_prune_at_the_join_s_threshold():
+    """A pair of similarity 0.5 stays a candidate where the threshold is 0.4."""
+    sketch = np.zeros((2, op7_jaccard.BANDS * op7_jaccard.ROWS), np.uint8)
+    sketch[1, ::2] = 1
+    rows = pd.DataFrame({"bucket": [1, 1], "x": [0, 0], "y": [0, 0], "side": [0, 0], "node": [b"a", b"b"], "n": [50, 50], "sketch": [r.tobytes() for r in sketch]})
+    for threshold, edges in ((0.4, 1), (0.8, 0)):
+        assert sum(len(out) for out in op7_jaccard._bucket_edges(threshold)(iter([rows]))) == edges
