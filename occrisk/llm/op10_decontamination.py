@@ -14,8 +14,12 @@ within floor((1 - SIMILARITY) L) word edits of the item.
   GROWTH, each with its own windows, walks and tables.  After k edits a window
   still holds m of any k + m places of its item.  Only windows that hold m =
   RARE_HELD of the k + m places whose words are rarest in the texts at hand are
-  embedded; whatever counts as rare, this loses nothing.
-* Every candidate is verified by the exact edit distance.
+  embedded; whatever counts as rare, this loses nothing.  Any place may start a
+  window, whatever its word, and up to k places before a document's first word
+  may too: where an item's front is cut or replaced, the walks fall into step
+  from the place where its first word would stand.
+* Every candidate is verified by the exact edit distance; the window may then
+  start up to k words before or after the candidate's start, at a benchmark word.
 
 Items are taken in slices of at most SLICE_WORDS words, so that what a task
 holds is bounded whatever the size of the benchmark; every slice sees all
@@ -103,7 +107,7 @@ class Index:
         sizes = np.array([self.items[n].size + 1 for n in members])
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         keys, owners = [], []
-        for key, valid in self.table_keys(own, words, starts, starts + sizes - 1):
+        for key, valid in self.table_keys(own, words, starts, starts, starts + sizes - 1):
             keys.append(key[valid])
             owners.append(np.asarray(members)[valid])
         own.keys, own.owners = np.concatenate(keys), np.concatenate(owners)
@@ -112,16 +116,17 @@ class Index:
         return own
 
     @staticmethod
-    def table_keys(own: LengthClass, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def table_keys(own: LengthClass, words: np.ndarray, starts: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Per table the sampled words of every window as one key, and whether all of them are benchmark words.
 
-        `words` holds vocabulary places, -1 for other words and at every end.
+        `words` holds vocabulary places, -1 for other words and at every end; places
+        before `begins` are other words.
         """
         for walk in range(WALKS):
             wanted = {int(step) for step in own.samples[walk].ravel()}
             at, seen = starts.copy(), {}
             for step in range(own.bits.shape[1]):
-                word = np.where(at < ends, words[at], -1)
+                word = np.where((at >= begins) & (at < ends), words[at], -1)
                 if step in wanted:
                     seen[step] = word
                 at += own.bits[walk, step][word]  # the last column serves words that are not in the vocabulary
@@ -154,7 +159,10 @@ class Index:
         if not self.vocabulary.size or not texts:
             return []
         words, counts = self._places(texts)
-        begins = np.concatenate([[0], np.cumsum(counts)])
+        front = max(self.edits)  # places before the first text
+        words = np.concatenate([np.full(front, -1, np.int32), words])
+        bounds = front + np.concatenate([[0], np.cumsum(counts)])
+        filled = np.flatnonzero(counts)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         regions = self._regions(words)
         for own in self.classes:
@@ -165,14 +173,19 @@ class Index:
                 np.add.at(marks, high + 1, -1)
             if not marks.any():
                 continue
-            # a best window can always start with a word of its item
-            starts = np.flatnonzero((np.cumsum(marks[:-1]) > 0) & (words >= 0))
+            near = np.cumsum(marks[:-1]) > 0
+            starts = np.flatnonzero(near[:-1])
+            starts = starts[starts >= front]
+            owner = np.searchsorted(bounds, starts, side="right") - 1
+            before = np.arange(1, max(self.edits[n] for n in own.items) + 1)
+            lead = (bounds[filled][:, None] - before[None, :]).ravel()
+            own_lead = np.repeat(filled, before.size)
+            starts, owner = np.concatenate([starts, lead[near[lead]]]), np.concatenate([owner, own_lead[near[lead]]])
             if not starts.size:
                 continue
-            owner = np.searchsorted(begins, starts, side="right") - 1
-            ends = begins[owner + 1]
+            begins, ends = bounds[owner], bounds[owner + 1]
             pairs = []
-            for key, valid in self.table_keys(own, words, starts, ends):
+            for key, valid in self.table_keys(own, words, starts, begins, ends):
                 at = np.flatnonzero(valid)
                 low = np.searchsorted(own.keys, key[at], side="left")
                 number = np.searchsorted(own.keys, key[at], side="right") - low
@@ -180,13 +193,13 @@ class Index:
                 entry = np.repeat(low - np.cumsum(number) + number, number) + np.arange(number.sum())
                 pairs.append(np.repeat(at, number) * len(self.items) + own.owners[entry])
             for n, group in self._by_item(np.unique(np.concatenate(pairs))):
-                group = group[self._shared(n, words, starts[group], ends[group]) >= self.items[n].size - self.edits[n]]
+                group = group[self._shared(n, words, starts[group], begins[group], ends[group]) >= self.items[n].size - self.edits[n]]
                 if not group.size:
                     continue
-                distance, length = self._verify(n, words, starts[group], ends[group])
+                distance, first, length = self._verify(n, words, starts[group], begins[group], ends[group])
                 for k in np.flatnonzero(distance <= self.edits[n]).tolist():
                     where = (int(owner[group[k]]), n)
-                    found = (int(distance[k]), int(starts[group[k]] - begins[where[0]]), int(length[k]))
+                    found = (int(distance[k]), int(first[k] - bounds[where[0]]), int(length[k]))
                     best[where] = min(best.get(where, found), found)
         return [(t, self.names[n], start, length, distance) for (t, n), (distance, start, length) in sorted(best.items())]
 
@@ -222,35 +235,38 @@ class Index:
             if group.size:
                 yield int(item[group[0]]), window[group]
 
-    def _shared(self, n: int, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def _shared(self, n: int, words: np.ndarray, starts: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Words of each window that are words of item n: edits cannot be fewer than the rest."""
         member = np.zeros(self.vocabulary.size + 1, bool)
         member[self.items[n]] = True
         at = starts[:, None] + np.arange(self.items[n].size + self.edits[n])[None, :]
-        return (member[words[np.minimum(at, words.size - 1)]] & (at < ends[:, None])).sum(axis=1)
+        return (member[words[np.minimum(at, words.size - 1)]] & (at >= begins[:, None]) & (at < ends[:, None])).sum(axis=1)
 
-    def _verify(self, n: int, words: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Least edit distance between item n and a window from each start, and that window's length; a band of the table suffices."""
+    def _verify(self, n: int, words: np.ndarray, starts: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Least edit distance between item n and a window that starts at a benchmark word up to k places from each start,
+        and that window's first place and length; a band of the table suffices."""
         item, k = self.items[n], self.edits[n]
-        far = np.int32(1 << 20)
-        # column d of the band stands for window length i + d - k
-        row = np.full((starts.size, 2 * k + 1), far, np.int32)
-        row[:, k:] = np.arange(k + 1)
-        room = ends - starts
+        far = np.int64(1 << 40)
+        shift = np.int64(1 << 20)
+        # a cell is edits * shift + offset of the window's start; column d stands for text place start + i + d - k
+        offsets = np.arange(-k, k + 1)
+        at = starts[:, None] + offsets[None, :]
+        free = (at >= begins[:, None]) & (at < ends[:, None]) & (words[np.clip(at, 0, words.size - 1)] >= 0)
+        row = np.where(free, (offsets + k)[None, :], far).astype(np.int64)
         for i, word in enumerate(item.tolist(), 1):
-            lengths = i + np.arange(-k, k + 1)
-            at = np.minimum(starts[:, None] + lengths[None, :] - 1, words.size - 1)
-            inside = (lengths[None, :] >= 1) & (lengths[None, :] <= room[:, None])
-            same = (words[at] == word) & inside
-            step = np.where(inside, row + ~same, far)
-            down = np.full_like(row, far)
-            down[:, :-1] = row[:, 1:] + 1
-            fresh = np.minimum(step, np.where((lengths[None, :] >= 0) & (lengths[None, :] <= room[:, None]), down, far))
+            place = starts[:, None] + (i + offsets)[None, :]
+            inside = (place > begins[:, None]) & (place <= ends[:, None])
+            same = (words[np.clip(place - 1, 0, words.size - 1)] == word) & inside
+            fresh = np.where(inside, row + np.where(same, 0, shift), far)
+            # the item's word has no counterpart: same place in the text
+            fresh[:, :-1] = np.minimum(fresh[:, :-1], row[:, 1:] + shift)
             for d in range(1, 2 * k + 1):
-                fresh[:, d] = np.where(inside[:, d], np.minimum(fresh[:, d], fresh[:, d - 1] + 1), fresh[:, d])
+                fresh[:, d] = np.where(inside[:, d], np.minimum(fresh[:, d], fresh[:, d - 1] + shift), fresh[:, d])
             row = fresh
         best = row.argmin(axis=1)
-        return row[np.arange(starts.size), best], item.size + best - k
+        value = row[np.arange(starts.size), best]
+        first = starts + value % shift - k
+        return value // shift, first, starts + item.size + best - k - first
 
 
 # ---------------------------------------------------------------- Spark

@@ -215,3 +215,25 @@ def test_buckets_prune_at_the_join_s_threshold():
     rows = pd.DataFrame({"bucket": [1, 1], "x": [0, 0], "y": [0, 0], "side": [0, 0], "node": [b"a", b"b"], "n": [50, 50], "sketch": [r.tobytes() for r in sketch]})
     for threshold, edges in ((0.4, 1), (0.8, 0)):
         assert sum(len(out) for out in op7_jaccard._bucket_edges(threshold)(iter([rows]))) == edges
+
+
+@pytest.mark.parametrize("kind", ["cut", "replaced"])
+@pytest.mark.parametrize("place", ["front", "middle", "end"])
+@pytest.mark.parametrize("opening", [False, True])
+def test_leak_recall_of_gathered_edits_amid_foreign_words(kind, place, opening):
+    """All allowed edits in one place of the item; the words around it stand in no item, or the item opens the text."""
+    rng = random.Random(3)
+    items = [[f"v{rng.randrange(4000)}" for _ in range(size)] for size in (15, 30, 50) for _ in range(20)]
+    index = op10_decontamination.Index(list(range(len(items))), [" ".join(i).encode() for i in items])
+    texts = []
+    for item in items:
+        k = op10_decontamination.edits(len(item))
+        at = {"front": 0, "middle": (len(item) - k) // 2, "end": len(item) - k}[place]
+        new = [f"z{rng.randrange(10**6)}" for _ in range(k if kind == "replaced" else 0)]
+        foreign = [f"y{rng.randrange(10**6)}" for _ in range(40)]
+        texts.append(" ".join([*([] if opening else foreign), *item[:at], *new, *item[at + k :], *foreign]).encode())
+    found = {q: (item, first, length, edits) for q, item, first, length, edits in index.search(texts) if q == item}
+    assert len(found) >= 0.97 * len(items)
+    for q, (item, first, length, edits) in found.items():
+        window = texts[q].decode().split()[first : first + length]
+        assert window[0] in items[item] and brute.edit_distance(items[item], window) == edits
