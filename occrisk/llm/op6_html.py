@@ -1,17 +1,22 @@
 """Main text of web pages; what a site repeats over its pages is found by Spark and removed.
 
-1. Each page becomes a tree.  Every element that holds text, but for the prose
-   of an article, gets a hash of its subtree.
-2. Spark counts the pages of each host that hold a subtree.  One that stands on
-   MIN_PAGES pages and on a share of MIN_SHARE of the host's pages is template.
-3. Pages are walked again without template subtrees, and without elements whose
-   tag, role, class or id names them as menus, notices, adverts, comments, ...
-
-Templates of a host are at most (subtrees per page) / MIN_SHARE, so a host's
-list stays small however many pages it has; counts are aggregated before they
-are shuffled.  A host with more than one in PIECES of all pages is cut into
-pieces of about that size before pages meet their host's list; there are at most
-PIECES such hosts.
+1. Each page is parsed once, to its outline: its text in page order and where the
+   elements begin and end that may prove to be template, with a hash of each one's
+   subtree.  What the page would read with all of them is its content.
+2. Spark counts, per host and subtree, the pages that hold it.  A subtree is template
+   * on MIN_PAGES pages: boxes, lists and tables outside the prose of an article;
+   * on MIN_PAGES and a share of MIN_SHARE of the host's pages: paragraphs, cells
+     and inline elements of pages without an article or main element;
+   * on MIN_PAGES and more than PROSE_SHARE of the host's pages: paragraphs,
+     lists and tables of an article, so that a sentence that half the articles
+     have stays, and a notice that nearly all have goes.
+3. Template subtrees are left out of the outlines, as are elements whose tag, role,
+   class or id names them as menus, notices, adverts, comments, ...
+
+A page meets its own subtrees' counts by (host, subtree); no list of a host's
+templates is held anywhere.  A subtree with more than one in PIECES of all pages
+is cut into pieces of about that size before it is joined; a page adds at most
+its own subtrees to the PIECES shares, which bounds the list of such subtrees.
 
 Text: blocks in page order, white space inside a block is one space, empty
 blocks are left out, one line feed between blocks.  A <br> is white space.
@@ -37,6 +42,7 @@ from occrisk.llm.common import shipped, stored, table
 
 MIN_PAGES = 3
 MIN_SHARE = 0.3
+PROSE_SHARE = 0.5
 PIECES = 1000
 
 # Names of elements, roles and class or id words.
@@ -48,6 +54,8 @@ BLOCKS = set(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 PROSE = set("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd blockquote pre table thead tbody tfoot tr td th caption figure figcaption article main".split())
+WHOLE = set("p ul ol dl table blockquote pre figure".split())  # prose that is judged as a whole in an article
+LAYOUT = (BLOCKS - PROSE) | set("ul ol dl table".split())
 DROPPED_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 DROPPED_WORDS = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner "
@@ -186,91 +194,144 @@ def subtree_hashes(root: Node) -> dict[int, int]:
     return out
 
 
-def _protected(root: Node) -> set[int]:
-    """Elements that are never template: the main region with its prose, and all that holds it."""
+def _kinds(root: Node) -> dict[int, int]:
+    """Of the elements that can be template: 0 boxes, 1 prose of a page without article or main, 2 prose of an article.
+
+    The main region itself, all that holds it, and parts of its prose are none.
+    """
     region = {id(n) for n in _region(root)} - {id(root)}
-    out, above = {id(root)}, {}
+    out, above = {}, {}
     todo: list[tuple[Node, bool]] = [(root, False)]
     while todo:
         node, inside = todo.pop()
         inside = inside or id(node) in region
-        if node.tag in ("html", "body") or (inside and not node.drop and (node.tag in PROSE or node.tag not in BLOCKS)):
-            out.add(id(node))
+        if inside and not node.drop and (node.tag in PROSE or node.tag not in BLOCKS):
+            if node.tag in WHOLE:
+                out[id(node)] = 2
+        elif node is not root and node.tag not in ("html", "body"):
+            out[id(node)] = 0 if region or node.tag in LAYOUT else 1
         for p in node.parts:
             if isinstance(p, Node):
                 above[id(p)] = id(node)
                 todo.append((p, inside))
     holders: set[int] = set()
     for n in region:
+        out.pop(n, None)
         while n in above and above[n] not in holders:
             n = above[n]
             holders.add(n)
-    return out | holders
-
+            out.pop(n, None)
+    return out
 
-def template_candidates(html: str) -> set[int]:
-    root = parse(html)
-    kept = _protected(root)
-    return {h for n, h in subtree_hashes(root).items() if n not in kept}
 
+def outline(html: str) -> tuple[set[int], list[int], list[str]]:
+    """Hashes of all subtrees that can be template, those in the text's way, and the text.
 
-def main_text(html: str, templates: frozenset[int] = frozenset()) -> str:
+    The text is a list: "t" and a run of text, "f" the end of a block, "<", a kind and
+    the place of a hash where such a subtree begins, ">" where it ends.
+    """
     root = parse(html)
-    hashes: dict[int, int] = {}
-    kept: set[int] = set()
-    if templates:
-        hashes, kept = subtree_hashes(root), _protected(root)
+    hashes, kinds = subtree_hashes(root), _kinds(root)
     region = _region(root)
     in_article = region[0].tag in ("article", "main")
-    blocks: list[str] = []
-    run: list[str] = []
-
-    def flush() -> None:
-        text = " ".join("".join(run).split())
-        if text:
-            blocks.append(text)
-        run.clear()
-
+    own: list[int] = []
+    out: list[str] = []
     todo: list = list(reversed(region))
     while todo:
         node = todo.pop()
         if node is None:
-            flush()
+            out.append("f")
+        elif node is Node:
+            out.append(">")
         elif isinstance(node, str):
-            run.append(plain(node))
+            out.append("t" + plain(node))
         elif node.tag == "br":
-            run.append(" ")
+            out.append("t ")
         elif node.drop or (not in_article and node.tag in DROPPED_OUTSIDE):
             if node.tag in BLOCKS:
-                flush()
-        elif hashes.get(id(node)) in templates and id(node) not in kept:
-            flush()
+                out.append("f")
         else:
+            if id(node) in kinds and id(node) in hashes:
+                out.append(f"<{kinds[id(node)]}{len(own)}")
+                own.append(hashes[id(node)])
+                todo.append(Node)
             if node.tag in BLOCKS:
-                flush()
+                out.append("f")
                 todo.append(None)
             todo += reversed(node.parts)
+    return {hashes[n] for n in kinds if n in hashes}, own, out
+
+
+def rendered(own: list[int], pieces: list[str], levels: dict[int, int]) -> str:
+    """The text without the subtrees whose level reaches their kind."""
+    blocks: list[str] = []
+    run: list[str] = []
+
+    def flush() -> None:
+        text = " ".join("".join(run).split())
+        if text:
+            blocks.append(text)
+        run.clear()
+
+    depth = 0  # of open elements inside a left-out one, and that one
+    for piece in pieces:
+        if piece[0] == "<":
+            if depth:
+                depth += 1
+            elif levels and levels.get(own[int(piece[2:])], -1) >= int(piece[1]):
+                flush()
+                depth = 1
+            else:
+                continue
+        elif piece[0] == ">":
+            depth -= depth > 0
+        elif depth:
+            continue
+        elif piece[0] == "f":
+            flush()
+        else:
+            run.append(piece[1:])
     flush()
     return "\n".join(blocks)
 
 
+def template_candidates(html: str) -> set[int]:
+    return outline(html)[0]
+
+
+def main_text(html: str, templates: frozenset[int] = frozenset()) -> str:
+    _, own, pieces = outline(html)
+    return rendered(own, pieces, dict.fromkeys(templates, 2))
+
+
 # ---------------------------------------------------------------- Spark
 
 
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+OUTLINE = "page_id bigint, url string, host string, content bigint, subtrees array<bigint>, own array<bigint>, pieces array<string>"
+
+
+def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, hashes = [], []
-        for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found = template_candidates(html)
-            hosts += [host] * len(found)
-            hashes += found
-        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(hashes, pa.int64())], names=["host", "subtree"])
+        contents, subtrees, owns, texts = [], [], [], []
+        for html in batch.column(3).to_pylist():
+            found, own, pieces = outline(html or "")
+            content = rendered(own, pieces, {}).encode("utf-8", "surrogatepass")
+            contents.append(int.from_bytes(blake2b(content, digest_size=8).digest(), "little", signed=True))
+            subtrees.append(sorted(found))
+            owns.append(own)
+            texts.append(pieces)
+        lists = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), batch.column(2), pa.array(contents, pa.int64()), pa.array(subtrees, lists), pa.array(owns, lists), pa.array(texts, pa.list_(pa.string()))],
+            names=["page_id", "url", "host", "content", "subtrees", "own", "pieces"],
+        )
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        htmls, templates = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-        texts = [main_text(h, frozenset(t or ())) if h else "" for h, t in zip(htmls, templates)]
+        texts = []
+        for own, pieces, marks in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
+            texts.append(rendered(own, pieces, {m["subtree"]: m["level"] for m in marks or ()}))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"]
         )
@@ -279,36 +340,37 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def with_host(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     return pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), F.when(host != "", host).alias("host")
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.when(host != "", host).alias("host"), F.col("html").cast("string").alias("html")
     )
 
 
-def host_sizes(pages: DataFrame) -> DataFrame:
-    return stored(with_host(pages).where("host is not null").groupBy("host").agg(F.count("*").alias("pages")), "hosts")
-
-
-def templates(pages: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(host, templates): subtrees that recur over many pages of the host."""
-    sited = with_host(pages).where("host is not null and html is not null")
-    found = sited.select("host", "html").mapInArrow(_find, "host string, subtree bigint")
-    counts = found.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_PAGES)
-    recurring = counts.join(sizes, "host").where(F.col("n") >= MIN_SHARE * F.col("pages"))
-    return recurring.groupBy("host").agg(F.collect_set("subtree").alias("templates"))
+def subtree_levels(outlines: DataFrame, total: int) -> DataFrame:
+    """(host, subtree, rows, level): template subtrees with the highest kind they are template for, and, without a level, other frequent ones."""
+    sited = outlines.where("host is not null")
+    contents = sited.groupBy("host").agg(F.count("*").alias("contents"))
+    each = sited.select("host", "content", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree", "content").agg(F.count("*").alias("rows"))
+    counts = each.groupBy("host", "subtree").agg(F.sum("rows").alias("n"), F.sum("rows").alias("rows"))
+    counts = counts.where((F.col("n") >= MIN_PAGES) | (F.col("rows") * PIECES > total)).join(contents, "host")
+    level = F.when(F.col("n") > PROSE_SHARE * F.col("contents"), 2).when(F.col("n") >= MIN_SHARE * F.col("contents"), 1).otherwise(0)
+    return counts.select("host", "subtree", "rows", F.when(F.col("n") >= MIN_PAGES, level).alias("level"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every page."""
     shipped(pages.sparkSession)
-    sizes = host_sizes(pages)
-    total = sizes.agg(F.sum("pages").alias("n")).first()["n"] or 0
-    large = sizes.where(F.col("pages") * PIECES > total).select("host", F.ceil(F.col("pages") * PIECES / F.lit(max(1, total))).alias("pieces"))
-    large = F.broadcast(large)  # at most PIECES rows
-    number = F.coalesce("pieces", F.lit(1).cast("long"))
-    listed = templates(pages, sizes).join(large, "host", "left")
-    listed = listed.select("host", "templates", F.explode(F.sequence(F.lit(0).cast("long"), number - 1)).alias("piece"))
-    own = F.pmod(F.xxhash64("page_id", "url"), F.when(F.col("host").isNull(), F.lit(PIECES).cast("long")).otherwise(number))
-    rows = with_host(pages).join(large, "host", "left").withColumn("piece", own).join(listed, ["host", "piece"], "left")
-    return rows.select("page_id", "url", "html", "templates").mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
+    outlines = with_host(pages).mapInArrow(_outlines, OUTLINE).withColumn("row", F.monotonically_increasing_id())
+    outlines = stored(outlines, "outlines")  # keeps the row numbers, too
+    total = outlines.count()
+    levels = stored(subtree_levels(outlines, total), "subtrees")
+    number = F.ceil(F.col("rows") * PIECES / F.lit(max(1, total)))
+    frequent = F.broadcast(levels.where(F.col("rows") * PIECES > total).select("host", "subtree", number.alias("pieces")))
+    held = outlines.where("host is not null").select("row", "host", F.explode(F.array_distinct("own")).alias("subtree"))
+    held = held.join(frequent, ["host", "subtree"], "left").withColumn("piece", F.pmod(F.xxhash64("row"), F.coalesce("pieces", F.lit(1).cast("long")))).drop("pieces")
+    listed = levels.where("level is not null").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(number, F.lit(1)) - 1)))
+    marks = held.join(listed.select("host", "subtree", "piece", "level"), ["host", "subtree", "piece"])
+    marks = marks.groupBy("row").agg(F.collect_list(F.struct("subtree", "level")).alias("marks"))  # at most a page's own
+    rows = outlines.select("row", "page_id", "url", "own", "pieces").join(marks, "row", "left")
+    return rows.select("page_id", "url", "own", "pieces", "marks").mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -187,3 +187,18 @@ def test_pipeline(spark):
         sizes[p["doc_id"]] += p["n_tokens"]
     assert sizes == {d: len(brute.SPACED.findall(after[d])) + 1 for d in set(after) - leaks}
     assert Counter((r["doc_id"], r["start"], r["n_tokens"]) for r in corpus_pipeline.run(spark, SF_DIR).collect()) == Counter((p["doc_id"], p["start"], p["n_tokens"]) for p in pieces)
+
+
+def _texts(spark, rows):
+    return {r["page_id"]: r["text"] for r in op6_html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+
+
+def test_menus_of_a_few_pages_of_a_large_site_go(spark):
+    """A box on four of 60 pages is template; a notice that all articles have goes with it."""
+    rows = []
+    for n in range(60):
+        box = "<div><ul><li>Rivers<li>Lakes</ul></div>" if n < 4 else ""
+        rows.append((n, f"http://large.example/{n}", f"<body><article>{box}<p>Story {n}</p><p>All texts may be shared.</p></article></body>"))
+        rows.append((100 + n, f"http://plain.example/{n}", f"<body>{box}<div><p>Page <b>{n % 9}</b> on thing {n}.</p></div></body>"))
+    got = _texts(spark, rows)
+    assert all(got[n] == f"Story {n}" and got[100 + n] == f"Page {n % 9} on thing {n}." for n in range(60))
