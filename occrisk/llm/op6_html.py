@@ -3,11 +3,12 @@
 1. Each page is parsed once, to its outline: its text in page order and where the
    elements begin and end that may prove to be template, with a hash of each one's
    subtree.  What the page would read with all of them is its content.
-2. Spark counts, per host and subtree, the pages that hold it.  A subtree is template
-   * on MIN_PAGES pages: boxes, lists and tables outside the prose of an article;
-   * on MIN_PAGES and a share of MIN_SHARE of the host's pages: paragraphs, cells
+2. Spark counts, per host and subtree, the different contents among the pages that
+   hold it; copies of a page count once.  A subtree is template
+   * on MIN_PAGES contents: boxes, lists and tables outside the prose of an article;
+   * on MIN_PAGES and a share of MIN_SHARE of the host's contents: paragraphs, cells
      and inline elements of pages without an article or main element;
-   * on MIN_PAGES and more than PROSE_SHARE of the host's pages: paragraphs,
+   * on MIN_PAGES and more than PROSE_SHARE of the host's contents: paragraphs,
      lists and tables of an article, so that a sentence that half the articles
      have stays, and a notice that nearly all have goes.
 3. Template subtrees are left out of the outlines, as are elements whose tag, role,
@@ -23,13 +24,15 @@ blocks are left out, one line feed between blocks.  A <br> is white space.
 
 Defined results: a NULL or empty page has the empty text; pages with a NULL url,
 or one without a host, belong to no site and lose no subtrees as template;
-equal rows give equal results and count as pages each; an empty table gives no
+equal rows give equal results and count as one page; an empty table gives no
 rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import zlib
 from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
@@ -307,7 +310,7 @@ def main_text(html: str, templates: frozenset[int] = frozenset()) -> str:
 # ---------------------------------------------------------------- Spark
 
 
-OUTLINE = "page_id bigint, url string, host string, content bigint, subtrees array<bigint>, own array<bigint>, pieces array<string>"
+OUTLINE = "page_id bigint, url string, host string, content bigint, subtrees array<bigint>, own array<bigint>, pieces binary"
 
 
 def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,10 +322,10 @@ def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             contents.append(int.from_bytes(blake2b(content, digest_size=8).digest(), "little", signed=True))
             subtrees.append(sorted(found))
             owns.append(own)
-            texts.append(pieces)
+            texts.append(zlib.compress(json.dumps(pieces).encode(), 1))
         lists = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), pa.array(contents, pa.int64()), pa.array(subtrees, lists), pa.array(owns, lists), pa.array(texts, pa.list_(pa.string()))],
+            [batch.column(0), batch.column(1), batch.column(2), pa.array(contents, pa.int64()), pa.array(subtrees, lists), pa.array(owns, lists), pa.array(texts, pa.binary())],
             names=["page_id", "url", "host", "content", "subtrees", "own", "pieces"],
         )
 
@@ -331,7 +334,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
         for own, pieces, marks in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
-            texts.append(rendered(own, pieces, {m["subtree"]: m["level"] for m in marks or ()}))
+            texts.append(rendered(own, json.loads(zlib.decompress(pieces)), {m["subtree"]: m["level"] for m in marks or ()}))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"]
         )
@@ -347,9 +350,9 @@ def with_host(pages: DataFrame) -> DataFrame:
 def subtree_levels(outlines: DataFrame, total: int) -> DataFrame:
     """(host, subtree, rows, level): template subtrees with the highest kind they are template for, and, without a level, other frequent ones."""
     sited = outlines.where("host is not null")
-    contents = sited.groupBy("host").agg(F.count("*").alias("contents"))
+    contents = sited.groupBy("host", "content").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("contents"))
     each = sited.select("host", "content", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree", "content").agg(F.count("*").alias("rows"))
-    counts = each.groupBy("host", "subtree").agg(F.sum("rows").alias("n"), F.sum("rows").alias("rows"))
+    counts = each.groupBy("host", "subtree").agg(F.count("*").alias("n"), F.sum("rows").alias("rows"))
     counts = counts.where((F.col("n") >= MIN_PAGES) | (F.col("rows") * PIECES > total)).join(contents, "host")
     level = F.when(F.col("n") > PROSE_SHARE * F.col("contents"), 2).when(F.col("n") >= MIN_SHARE * F.col("contents"), 1).otherwise(0)
     return counts.select("host", "subtree", "rows", F.when(F.col("n") >= MIN_PAGES, level).alias("level"))

@@ -202,3 +202,12 @@ def test_menus_of_a_few_pages_of_a_large_site_go(spark):
         rows.append((100 + n, f"http://plain.example/{n}", f"<body>{box}<div><p>Page <b>{n % 9}</b> on thing {n}.</p></div></body>"))
     got = _texts(spark, rows)
     assert all(got[n] == f"Story {n}" and got[100 + n] == f"Page {n % 9} on thing {n}." for n in range(60))
+
+
+def test_copies_of_a_page_are_one_page(spark):
+    """Copies do not turn their own text into template, with and without an article."""
+    rows = [(n, f"http://small.example/{n}", "<body><div><section><p>The same page.</p><ul><li>one</ul></section></div></body>") for n in range(5)]
+    rows += [(10 + n, f"http://art.example/{n}", "<body><article><div><p>A copied story.</p></div></article></body>") for n in range(4)]
+    rows += [(20, "http://art.example/x", "<body><article><p>Another story.</p></article></body>")]
+    got = _texts(spark, rows)
+    assert {got[n] for n in range(5)} == {"The same page.\none"} and {got[10 + n] for n in range(4)} == {"A copied story."} and got[20] == "Another story."
