@@ -1,7 +1,11 @@
 """License scan: exact set-similarity join between notice templates and text blocks.
 
-A block is a line of a document, a set of words.  A block matches a template
-when at least THRESHOLD of the template's distinct words stand in it.  Template
+A block is a line of a document, or what stands around a line end: a set of words.
+Around a line end are up to twice as many words and further line ends to each side
+as the longest template has words, so a notice may be wrapped at any of its words.
+Only texts that hold a prefix word (below) are looked at that way.  What matches
+around a line end counts where no line it touches matches the same template by
+itself, and matches at adjacent line ends are one block.  A block matches a template when at least THRESHOLD of the template's distinct words stand in it.  Template
 words are ordered by their frequency over all blocks, rarest first.  A match
 must then share one of the first |T| - need + 1 template words (prefix filter),
 hold at least `need` template words (length filter), and have enough words
@@ -17,7 +21,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from occrisk.llm.common import table
@@ -47,6 +51,7 @@ TEMPLATES = (
 )
 
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_GAP_IN_LINE = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 # On text whose capitals are kept, capitals belong to words.
 _WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -127,15 +132,35 @@ def prefix_index(spark: SparkSession, templates, frequency: dict[str, int], thre
     return spark.createDataFrame(entries, schema), order
 
 
-def matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """Every (text, block, label, containment) at or above the threshold."""
-    spark = docs.sparkSession
-    found = blocks(docs, templates, text)
-    index, order = prefix_index(spark, templates, word_frequency(found), threshold)
+def line_ends(docs: DataFrame, templates, prefix_words: list[str], text: str = "text") -> DataFrame:
+    """Distinct template words around every line end: (_md5, block, first, last, hits); `first` and `last` are the lines it touches."""
+    vocabulary = F.array(*map(F.lit, _vocabulary(templates)))
+    reach = 2 * max(len(words.split()) for _, words in templates)
+    edge = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+    some = f"(?:^|{edge})(?:{'|'.join(sorted(prefix_words))})(?:$|{edge})"
+    rows = docs.select(F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")).alias("_md5"), lowered(F.col(text)).alias("_low"))
+    rows = rows.where(F.col("_low").contains("\n") & F.col("_low").rlike(some))
+    rows = rows.select("_md5", F.filter(F.split(F.replace("_low", F.lit("\n"), F.lit(" \n ")), _GAP_IN_LINE, -1), lambda w: w != "").alias("_w"))
+    rows = rows.select("_md5", "_w", F.filter(F.transform("_w", lambda w, i: F.when(w == "\n", i)), lambda i: i.isNotNull()).alias("_ends"))
+
+    def around(at: Column, block: Column) -> Column:
+        start = F.greatest(at + 1 - reach, F.lit(1))
+        before, after = F.slice("_w", start, at + 1 - start), F.slice("_w", at + 2, F.lit(reach))
+        first, last = (F.size(F.filter(side, lambda w: w == "\n")) for side in (before, after))
+        hits = F.array_intersect(F.concat(before, after), vocabulary)
+        return F.struct(block.alias("block"), (block - first).alias("first"), (block + 1 + last).alias("last"), hits.alias("hits"))
+
+    # The sets are made before the line ends become rows, so that no row holds its whole text.
+    return rows.select("_md5", F.transform("_ends", around).alias("_sets")).select("_md5", F.inline("_sets"))
+
+
+def _matched(found: DataFrame, templates, index: DataFrame, order: dict[str, int], threshold: float) -> DataFrame:
+    """`found` with label and containment instead of hits: prefix, length and positional filter, exact check."""
+    kept = [c for c in found.columns if c != "hits"]
     ranked = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
     by_rank = F.transform(F.array_sort(F.transform("hits", lambda w: F.struct(ranked[w].alias("r"), w.alias("w")))), lambda x: x["w"])
     shortest = min(math.ceil(threshold * len(set(words.split())) - 1e-9) for _, words in templates)
-    sides = found.where(F.size("hits") >= shortest).select("_md5", "block", by_rank.alias("hits"))
+    sides = found.where(F.size("hits") >= shortest).select(*kept, by_rank.alias("hits"))
     sides = sides.select("*", F.posexplode("hits").alias("b_place", "word"))
     pairs = sides.join(F.broadcast(index), "word").where(
         (F.size("hits") >= F.col("need"))
@@ -143,15 +168,41 @@ def matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD,
         & ~F.arrays_overlap(F.slice("tokens", F.lit(1), F.col("t_place")), F.col("hits"))
     )
     common = F.size(F.array_intersect("tokens", "hits"))
-    return pairs.where(common >= F.col("need")).select("_md5", "block", "label", (common / F.col("t_size")).alias("containment"))
+    return pairs.where(common >= F.col("need")).select(*kept, "label", (common / F.col("t_size")).alias("containment"))
+
+
+def matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """Every (text, line, label, containment) at or above the threshold."""
+    found = blocks(docs, templates, text)
+    return _matched(found, templates, *prefix_index(docs.sparkSession, templates, word_frequency(found), threshold), threshold)
+
+
+def all_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """(_md5, label, containment, begins): matches of lines, and around line ends clear of those; `begins` is set once a block."""
+    found = blocks(docs, templates, text)
+    index, order = prefix_index(docs.sparkSession, templates, word_frequency(found), threshold)
+    prefix_words = {r["word"] for r in index.select("word").collect()}  # some of the templates' words
+    lines = _matched(found, templates, index, order, threshold).select("*", F.col("block").alias("first"), F.col("block").alias("last"), F.lit(True).alias("line"))
+    ends = _matched(line_ends(docs, templates, sorted(prefix_words), text), templates, index, order, threshold).withColumn("line", F.lit(False))
+    both = lines.unionByName(ends).groupBy("_md5", "label", "block", "line", "first", "last").agg(F.max("containment").alias("containment"))
+    both = both.withColumn("place", 2 * F.col("block") + F.when(F.col("line"), 0).otherwise(1))
+    near = Window.partitionBy("_md5", "label").orderBy("place")
+    line = F.when(F.col("line"), F.col("block"))
+    above = F.max(line).over(near.rowsBetween(Window.unboundedPreceding, 0))
+    below = F.min(line).over(near.rowsBetween(0, Window.unboundedFollowing))
+    both = both.select("*", above.alias("above"), below.alias("below"))
+    clear = F.coalesce(F.col("above") < F.col("first"), F.lit(True)) & F.coalesce(F.col("below") > F.col("last"), F.lit(True))
+    both = both.where(F.col("line") | clear)
+    goes_on = F.coalesce(F.lag("place").over(near) == F.col("place") - 2, F.lit(False))
+    return both.select("_md5", "label", "containment", (F.col("line") | ~goes_on).alias("begins"))
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """Base columns, `labels` and `score` for every row of `docs` (packed in `_row`)."""
-    found = matches(docs, templates, threshold, text).groupBy("_md5").agg(
+    found = all_matches(docs, templates, threshold, text).groupBy("_md5").agg(
         F.collect_set("label").alias("_found"),  # as many as the template list has labels
         F.max("containment").alias("_best"),
-        F.count_distinct("block", "label").alias("n_blocks"),  # equal texts match at the same blocks
+        F.count_if("begins").alias("n_blocks"),  # equal texts match at the same blocks, which stand there once
     )
     rows = base(docs, text).join(found, "_md5", "left")
     labels = F.array_sort(F.array_union("_base_labels", F.coalesce("_found", F.array().cast("array<string>"))))

@@ -184,3 +184,23 @@ def test_training_passes_once_over_all_batches(monkeypatch):
         monkeypatch.setattr(op2_lm, "BUFFER", size)
         (out,) = op2_lm._train(None, Shared(classes), Shared(attention.initial(op2_lm.CLASSES)))(iter(batches))
         assert set(out.column(2).to_pylist()) == {float(want)}
+
+
+def test_wrapped_notices(spark):
+    """A notice broken over lines is labelled, and is one block; a notice on one line stays one block among others."""
+    gpl = "This work is licensed under the GNU General Public License, version 3"
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted"
+    prose = "Some line that stands before or after the notice and says nothing of it."
+    rows = [
+        (1, f"{prose}\n" + gpl.replace("General ", "General\n") + f".\n{prose}"),
+        (2, f"{prose}\n# " + bsd.replace("without ", "without\r\n# ") + f".\n{prose}"),
+        (3, gpl.replace(" ", "\n")),
+        (4, f"{prose}\n{gpl}\n{prose}\n{prose}"),
+        (5, "all rights\n" + f"{prose}\n" * 9 + "reserved"),
+        (6, "licensed under the\napache license,\nversion 2.0" + f"\n{prose}" * 9 + "\nReleased under\nthe MIT license"),
+    ]
+    got = {r["_row"]["doc_id"]: (r["labels"], r["score"], r["n_blocks"]) for r in op1_license.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {
+        1: ("gpl,gpl-3.0", 1.0, 1), 2: ("bsd", 1.0, 1), 3: ("gpl,gpl-3.0", 1.0, 1),
+        4: ("gpl,gpl-3.0", 1.0, 1), 5: ("", 0.0, 0), 6: ("apache-2.0,mit", 1.0, 2),
+    }
