@@ -1,12 +1,12 @@
-"""Exact removal of repeated passages with a logarithmic family of suffix arrays.
+"""Exact removal of repeated passages with a logarithmic family of suffix fingerprints.
 
 A byte goes if some LENGTH-byte string that covers it also starts elsewhere.
 
 * Suffixes are sampled: of the GRAM-byte strings in each LENGTH-byte window the
   one of least hash (the leftmost, on ties) is the window's anchor.  Equal
   windows have equal anchors at equal offsets, so the sample misses no match.
-* Batches of documents arrive one after the other.  A batch gets the sorted
-  array of its sampled suffixes, by fingerprint of their first GRAM bytes; it is
+* Batches of documents arrive one after the other.  A batch gets the table
+  of its sampled suffixes, by fingerprint of their first GRAM bytes; it is
   merged against every level for suffixes met before and becomes a level; two
   levels of equal size merge into one of twice the size (`Family`).
 * Windows around anchors met twice are settled in blocks of BLOCK starts: what
