@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from occrisk.llm import op1_license, op2_lm, op3_quality, op4_tokens, op5_suffix, op6_html, op7_jaccard, op8_packing, op9_chat, op10_decontamination
+from occrisk.llm import op1_license, op2_lm, op3_quality, op4_tokens, op5_suffix, op6_html, op7_jaccard, op8_packing, op9_chat, op10_decontamination, op11_counts, op12_negatives, op13_merkle
 from occrisk.llm.sql import SQL
 
 __all__ = ["QUERIES", "SQL"]
@@ -18,4 +18,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_packing.query,
     "op9_chat_formatting": op9_chat.query,
     "op10_decontamination": op10_decontamination.query,
+    "op11_token_counts": op11_counts.query,
+    "op12_hard_negatives": op12_negatives.query,
+    "op13_merkle_manifest": op13_merkle.query,
 }

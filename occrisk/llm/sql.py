@@ -93,4 +93,69 @@ from joined
 """
 
 
-SQL = {"op1_license_scan": _licenses(), "op3_quality_rules": _quality()}
+_NEGATIVES = """
+with rows as (
+  select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (
+  select a.r as a, a.vec_id as anchor_id, a.label = b.label as same, b.vec_id as id, list_inner_product(a.v, b.v)::bigint as score
+  from rows a join rows b on a.r <> b.r where a.vec_id % 50 = 0),
+positives as (
+  select *, row_number() over (partition by a order by score desc, id) as k from scores where same qualify k <= 5)
+select p.anchor_id, p.id as positive_id, row_number() over (partition by p.a, p.k order by s.score desc, s.id)::integer as rank, s.id as negative_id,
+       p.score as positive_score, s.score as negative_score, p.k as positive_rank
+from positives p join scores s on p.a = s.a and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+qualify rank <= 3
+"""
+
+# The fold of every leaf is written as a recursion over levels, apart from the proofs.
+_MERKLE = """
+with recursive steps as (
+  select list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as tab),
+fields as (
+  select doc_id, lang, coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') as ahead,
+         n_chars, coalesce(strlen(text) || ':' || text, '-') as behind,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::varchar, ''), lambda c: ord(c)::bigint)), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) as crc
+  from documents, steps),
+leaves as (
+  select doc_id, lang, sha256(ahead || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || behind) as leaf,
+         case when crc % 7 = 0 and n_chars is not null then sha256(ahead || strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1) || behind) end as tampered
+  from fields),
+placed as (select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by lang) as size, dense_rank() over (order by lang nulls first) as t from leaves),
+lower as (
+  select 0 as level, t, i, leaf as d, size from placed
+  union all
+  select level + 1, t, i // 2, sha256(string_agg(d, '' order by i)), any_value((size + 1) // 2) from lower where size > 1 group by level, t, i // 2),
+subroots as (select t, d as subroot, level as height from lower where size = 1),
+upper as (
+  select 0 as level, t - 1 as i, subroot as d, (select count(*) from subroots) as size from subroots
+  union all
+  select level + 1, i // 2, sha256(string_agg(d, '' order by i)), any_value((size + 1) // 2) from upper where size > 1 group by level, i // 2),
+nodes as (
+  select t, level, i, d from lower where size > 1
+  union all
+  select s.t, s.height + u.level, u.i, u.d from subroots s, upper u where u.size > 1),
+walked as (
+  select p.t, p.i, p.doc_id, p.leaf, s.height, coalesce(p.tampered, p.leaf) as folded, 0 as level, p.i as node, '' as siblings
+  from placed p join subroots s on p.t = s.t
+  union all
+  select w.t, w.i, w.doc_id, w.leaf, w.height,
+         case when b.d is null then sha256(w.folded) when here % 2 = 0 then sha256(w.folded || b.d) else sha256(b.d || w.folded) end,
+         w.level + 1, here // 2, w.siblings || coalesce(b.d, '')
+  from (select *, case when level = height then t - 1 else node end as here from walked) w
+  join nodes own on own.t = w.t and own.level = w.level and own.i = here
+  left join nodes b on b.t = w.t and b.level = w.level and b.i = xor(here, 1)),
+ends as (select * from walked where level = height + (select max(level) from upper))
+select e.doc_id, e.leaf, s.subroot, r.d as root, sha256(e.siblings) as proof_sha256, e.folded as folded_root, e.folded = r.d as verified
+from ends e join subroots s on e.t = s.t, (select d from upper where size = 1) r
+"""
+
+
+SQL = {
+    "op1_license_scan": _licenses(),
+    "op3_quality_rules": _quality(),
+    "op12_hard_negatives": _NEGATIVES,
+    "op13_merkle_manifest": _MERKLE,
+}

@@ -10,7 +10,8 @@ from occrisk.llm.registry import QUERIES, SQL
 @pytest.mark.parametrize("name", SQL)
 def test_statement(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     got = QUERIES[name](spark, SF_DIR)
     cursor = con.execute(SQL[name])
     columns = [c[0] for c in cursor.description]
@@ -19,4 +20,4 @@ def test_statement(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in QUERIES] == [f"op{n}" for n in range(1, 14)]
