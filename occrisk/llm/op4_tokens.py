@@ -12,7 +12,7 @@ Spark's committer makes the writing safe against lost executors on any file
 system.  The number of documents in a shard follows from SHARD_IDS.
 
 Defined results: a NULL or empty text is the end id alone; rows with a NULL id
-come first; rows with equal ids follow in the order of their texts; an empty
+come first; rows with equal ids follow by a hash of their texts; an empty
 table gives no shards; other columns are ignored.
 """
 
@@ -273,9 +273,9 @@ def _shard_writer(path: str | None, shard_ids: int) -> Callable[[Iterator[pd.Dat
             return pd.DataFrame({"part": [part], "shard": [shard], "first_start": [start], "n_ids": [held], "blob": [pack(names, docs)]})
 
         for batch in batches:
-            for name, text in zip(batch["doc_id"].tolist(), batch["text"]):
+            for name, text in zip(batch["doc_id"], batch["text"]):
                 ids = np.concatenate([own.ids(text), end])
-                names.append(None if name is None or name != name else int(name))
+                names.append(None if name is None else int(name))
                 docs.append(ids)
                 held += ids.size
                 if held >= shard_ids:
@@ -292,8 +292,13 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str | None = None, shar
     spark = shipped(docs.sparkSession)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # ids fall into ranges of similar bytes; the order of shards is the order of ids
-    ranged = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    # ids fall into ranges of similar numbers of rows, which a repeated or NULL id does not stop;
+    # the order of shards is the order of ids
+    order = ["doc_id", "hash", "salt"]
+    rows = rows.withColumns({"hash": F.xxhash64("text"), "salt": F.monotonically_increasing_id()})
+    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # ids pass pandas as strings: beside a NULL it would turn integers into doubles
+    ranged = ranged.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     ranged.mapInPandas(_shard_writer(vocabulary, shard_ids), SHARD_SCHEMA).write.parquet(path)
 
 

@@ -86,7 +86,7 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             rows = batch.iloc[a:b]
             yield pd.DataFrame(
                 {
-                    "doc_id": rows["doc_id"].astype("Int64"),
+                    "doc_id": rows["doc_id"],
                     "node": rows["node"],
                     "n": sizes,
                     "sketch": [row.tobytes() for row in (signature & np.uint32(0xFF)).astype(np.uint8)],
@@ -97,8 +97,11 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def nodes(docs: DataFrame) -> DataFrame:
     """(node, doc_id, copies, n, sketch, bands): one row per distinct word sequence."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), node_key(F.col("text")).alias("node"))
-    sketches = rows.where("node is not null").mapInPandas(_sketch, "doc_id bigint, node binary, n bigint, sketch binary, bands array<bigint>")
+    # ids pass pandas as strings: beside a NULL it would turn integers into doubles
+    own = F.col("doc_id").cast("long")
+    rows = docs.select(own.cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"), node_key(F.col("text")).alias("node"))
+    sketches = rows.where("node is not null").mapInPandas(_sketch, "doc_id string, node binary, n bigint, sketch binary, bands array<bigint>")
+    sketches = sketches.withColumn("doc_id", own)
     # min over a struct keeps one row's values together
     one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "n", "sketch", "bands")).alias("one")
     return sketches.groupBy("node").agg(one, F.count("*").alias("copies")).select("node", "one.doc_id", "copies", "one.n", "one.sketch", "one.bands")

@@ -30,7 +30,8 @@ from occrisk.llm.common import shipped, stored, table
 LENGTHS = (256, 512, 1024, 2048, 4096)
 SHARD_PIECES = 8192
 
-SCHEMA = "shard bigint, bin bigint, capacity int, used int, offset int, doc_id bigint, copy bigint, start bigint, n_tokens int"
+SCHEMA = "shard bigint, bin bigint, capacity int, used int, offset int, doc_id string, copy bigint, start bigint, n_tokens int"
+COPIES = 1 << 16  # copies of one row that one array lists
 
 
 def cost(length: int) -> float:
@@ -78,7 +79,10 @@ def pack(sizes: list[int], lengths: tuple[int, ...] = LENGTHS) -> tuple[list[int
 
 def _pack_shard(lengths: tuple[int, ...]):
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n_tokens", "doc_id", "copy", "start"], ascending=[False, True, True, True], kind="stable", na_position="first")
+        # ids come as strings, as pandas would turn integers beside a NULL into doubles
+        ids = rows["doc_id"].notna()
+        rows = rows.assign(named=ids, number=rows["doc_id"].where(ids, "0").astype("int64"))
+        rows = rows.sort_values(["n_tokens", "named", "number", "copy", "start"], ascending=[False, True, True, True, True], kind="stable")
         places, capacities = pack(rows["n_tokens"].tolist(), lengths)
         offsets, filled = [], [0] * len(capacities)
         for bin_, size in zip(places, rows["n_tokens"].tolist()):
@@ -108,7 +112,10 @@ def pack_documents(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, n_tokens
     cuts = F.ceil(F.col("length") / longest)
     total = sized.agg(F.sum(cuts * F.col("copies")).alias("n")).first()["n"] or 0
     shards = max(1, math.ceil(total / SHARD_PIECES))
-    copies = sized.select("doc_id", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
+    # copies in two steps, so that no array grows with their number
+    runs = sized.select("doc_id", "length", "copies", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES).cast("long"))).alias("first"))
+    runs = runs.repartition("doc_id", "length", "first")
+    copies = runs.select("doc_id", "length", F.explode(F.sequence("first", F.least(F.col("first") + COPIES, "copies") - 1)).alias("copy"))
     pieces = copies.select("doc_id", "length", "copy", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)).alias("cut"))
     pieces = pieces.select(
         F.pmod(F.xxhash64("doc_id", "copy", "cut"), F.lit(shards)).alias("shard"),
@@ -117,7 +124,8 @@ def pack_documents(docs: DataFrame, lengths: tuple[int, ...] = LENGTHS, n_tokens
         (F.col("cut") * longest).alias("start"),
         F.least(F.lit(longest), F.col("length") - F.col("cut") * longest).cast("int").alias("n_tokens"),
     )
-    return pieces.groupBy("shard").applyInPandas(_pack_shard(lengths), SCHEMA)
+    pieces = pieces.withColumn("doc_id", F.col("doc_id").cast("string"))
+    return pieces.groupBy("shard").applyInPandas(_pack_shard(lengths), SCHEMA).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -184,14 +184,14 @@ def canonical(role: str, lines: list[str]) -> str:
     return f"<|{role}|>\n" + "\n".join(lines) + "\n<|end|>\n"
 
 
-TURN = "conv_id bigint, turn bigint, line int, role string, continues boolean, n_lines int, text string"
+TURN = "conv_id string, turn string, line int, role string, continues boolean, n_lines int, text string"
 
 
 def _decoder(model: RoleModel):
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for conv, chunk, lines in zip(batch["conv_id"], batch["chunk"], batch["lines"]):
+            for conv, lines in zip(batch["conv_id"], batch["lines"]):
                 states = model.decode([tuple(x[f] for f in FEATURES) for x in lines])
                 turn: list[str] = []
                 for x, (role, first) in zip(lines, states):
@@ -199,12 +199,12 @@ def _decoder(model: RoleModel):
                         continue
                     if first or not turn:
                         turn = []
-                        out.append([conv, x["turn"], x["line"], role, not first, turn])
+                        out.append([conv, x["name"], x["line"], role, not first, turn])
                     turn.append(x["text"])
             yield pd.DataFrame(
                 {
-                    "conv_id": pd.array([None if r[0] != r[0] else r[0] for r in out], dtype="Int64"),
-                    "turn": pd.array([r[1] for r in out], dtype="Int64"),
+                    "conv_id": [r[0] for r in out],
+                    "turn": [r[1] for r in out],
                     "line": [r[2] for r in out],
                     "role": [r[3] for r in out],
                     "continues": [r[4] for r in out],
@@ -225,14 +225,16 @@ def parse(lines: DataFrame, model: RoleModel) -> DataFrame:
     own = F.when(placed, F.floor(F.col("turn") / CHUNK)).otherwise(F.col("tie"))
     near = F.array_distinct(F.array(*[F.floor((F.col("turn") + m) / CHUNK) for m in (-MARGIN, 0, MARGIN)]))
     chunk = F.explode(F.when(placed, near).otherwise(F.array(F.col("tie"))))
-    line = F.struct("turn", "tie", "line", (F.col("chunk") == F.col("own")).alias("own"), "text", *FEATURES)
+    line = F.struct("turn", "tie", "line", F.col("turn").cast("string").alias("name"), (F.col("chunk") == F.col("own")).alias("own"), "text", *FEATURES)
     chunks = (
         with_features(lines)
         .select("*", placed.alias("placed"), own.alias("own"), chunk.alias("chunk"))
         .groupBy("conv_id", "chunk", "placed")
         .agg(F.array_sort(F.collect_list(line)).alias("lines"))
     )
-    return chunks.select("conv_id", "chunk", "lines").mapInPandas(_decoder(model), TURN)
+    # numbers go as strings: pandas would turn integers beside a NULL into doubles
+    turns = chunks.select(F.col("conv_id").cast("string").alias("conv_id"), "lines").mapInPandas(_decoder(model), TURN)
+    return turns.withColumns({c: F.col(c).cast("long") for c in ("conv_id", "turn")})
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
