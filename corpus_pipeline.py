@@ -5,7 +5,7 @@ folder and is read again, so an executor lost later never costs more than one
 stage.  All stages but the last return the columns of `documents`.
 
 ORACLE_SQL is None: the suffix and packing stages are not expressible in SQL;
-`tests/llm/test_pipeline.py` holds run() against a brute-force version.
+`tests/llm/test_structure_operators.py` holds run() against a brute-force version.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages that start elsewhere too; `n_chars` follows the text."""
-    cut = op5_suffix.deduplicated(docs)
+    """Documents without passages of prose that start elsewhere too; `n_chars` follows the text."""
+    cut = op5_suffix.deduplicated(docs, op5_suffix.PASSAGE, op5_suffix.PASSAGE_GRAM)
     return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
