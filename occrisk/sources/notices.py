@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occrisk.sources import landing
+from occrisk.sources import landing, records
 from occrisk.sources.landing import cell, position_of, rename_repeats
 
 # FIXED VALUES: column order of the unified relation.
@@ -45,6 +47,9 @@ SECOND_OCCUPATION = "CBO.1"
 DATE, SECOND_DATE, THIRD_DATE = "Data Acidente", "Data Acidente.1", "Data Acidente.2"
 DEATH_FLAG_OLD, DEATH_FLAG = "Indica acidente", "Indica Óbito Acidente"
 
+# Where a plain file's header stands.
+HEADER_PLACE = ("head_block", "head_at", "head_pos")
+
 REQUIRED_HEADERS = (OCCUPATION, DIAGNOSIS)
 REQUIRED_VALUES = ("cnae_empregador_cod", "data_acidente")
 
@@ -96,21 +101,23 @@ def manifest(headers: DataFrame) -> DataFrame:
         "layout",
         "error",
         F.size("header").alias("n_header"),
-        *([F.col("open")] if "open" in headers.columns else []),
-        F.struct(*[col.alias(name) for name, col in places.items()]).alias("at"),
+        *[c for c in HEADER_PLACE if c in headers.columns],
+        F.struct(*[col.alias(name) for name, col in places.items()]).alias("places"),
     )
 
 
-def unify(records: DataFrame, files: DataFrame) -> DataFrame:
+def unify(found: DataFrame, files: DataFrame) -> DataFrame:
     """Records of any layout as the 24 unified columns plus ``malformed``.
 
     ``files`` holds one short row per file; Spark knows its size and picks the join.
     """
-    rows = records.join(files.filter(F.col("error").isNull()), "path", "inner")
+    rows = found.join(files.filter(F.col("error").isNull()), "path", "inner")
+    if set(HEADER_PLACE) <= set(files.columns) and "at" in found.columns:  # the header is a record too
+        rows = rows.filter(~(F.struct("block", "at", "pos") == F.struct(*HEADER_PLACE)))
     layout = F.col("layout")
 
     def value(name: str) -> Column:
-        return cell(F.col("cells"), F.col(f"at.{name}"))
+        return cell(F.col("cells"), F.col(f"places.{name}"))
 
     occupation, diagnosis, period = value("cbo"), value("cid_10"), value("data_competencia")
     parts = F.split(period, "/")
@@ -145,56 +152,61 @@ def split_quarantine(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return flagged.filter(~bad).drop("em_quarentena"), flagged.filter(bad).drop("em_quarentena")
 
 
+def plain_headers(lines: DataFrame, states: DataFrame) -> DataFrame:
+    """Header of every plain file, if its first record holds one, and its place."""
+    place = [F.col(c).alias(f"head_{c}") for c in ("block", "at", "pos")]
+    known = F.array_contains("cells", OCCUPATION)
+    return records.first_records(lines, states).select(
+        "path", F.when(known, F.col("cells")).alias("header"), F.when(~known, "no header found").alias("error"), *place
+    )
+
+
 def read_notices(
-    spark: SparkSession, directory: str, first_year: int, last_year: int, manifest_path: str
+    spark: SparkSession, directory: str, first_year: int, last_year: int, work: str, names: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(flagged rows, file status) of a landing directory.
 
-    The manifest is written to ``manifest_path`` and read back, and so are the
-    archives' cells beside it: files are decoded once, and Spark knows the
-    sizes.  Unreadable files only show in the status; the job fails when none
-    loads.  Paths stay in relations; only the width of the widest header and two
-    flags reach the driver.
+    Only files whose name tells a year in the range (and is one of ``names``, if
+    given) are opened.  Lines of plain files, cells of archives and one row per
+    file are written below ``work`` and read back: files are read once, and Spark
+    knows the sizes.  Unreadable files only show in the status; the job fails when
+    none loads.  Paths and widths stay in relations; two counts reach the driver.
     """
-    chosen = landing.prune_files(landing.listing(spark, directory), first_year, last_year).select("path", "formato")
-    zipped = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.[zZ][iI][pP]").load(directory)
-    archives_path = f"{manifest_path}-archives"
-    landing.parsed(zipped.join(chosen.select("path"), "path", "left_semi")).write.mode("overwrite").parquet(archives_path)
-    archives = spark.read.parquet(archives_path)
-    heads = landing.plain_headers(spark, directory, OCCUPATION).unionByName(
-        landing.headers_of(archives).withColumn("open", F.lit(False))
-    )
-    found = chosen.select("path").join(heads, "path", "left")
-    unknown = F.when(F.col("header").isNull(), F.coalesce("error", F.lit("no header found")))
-    manifest(found.withColumn("error", F.coalesce(unknown, "error"))).write.mode("overwrite").parquet(manifest_path)
-    files = spark.read.parquet(manifest_path)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{work}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{work}/{name}")
+
+    inside = landing.chosen(first_year, last_year, names)
+    chosen = landing.listing(spark, directory, inside).select("path")
+    archives = kept(landing.parsed(landing.binary_files(spark, directory, "*.[zZ][iI][pP]").filter(inside)), "archives")
+    lines = kept(records.text_lines(spark, directory, inside, landing.NOTICE_ENCODING), "lines")
+    states = kept(records.block_states(lines), "states")
+    heads = plain_headers(lines, states).unionByName(landing.headers_of(archives), allowMissingColumns=True)
+    found = chosen.join(heads, "path", "left")
+    unknown = F.when(F.col("header").isNull(), F.coalesce("error", F.lit("empty file")))
+    files = kept(manifest(found.withColumn("error", F.coalesce(unknown, "error"))), "manifest")
     status = files.select(
         "path", "_source_file", "layout", F.when(F.col("error").isNull(), "ok").otherwise("error").alias("status"), "error"
     )
-    good = F.col("error").isNull()
-    known = files.agg(
-        F.count(F.lit(1)).alias("files"), F.count_if(good).alias("good"), F.max(F.when(good, F.col("n_header"))).alias("width"),
-        F.bool_or(good & F.coalesce("open", F.lit(False))).alias("open"),
-    ).first()
+    known = files.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("error").isNull()).alias("good")).first()
     if not known["files"]:
         raise ValueError(f"no notice files for {first_year}-{last_year} in {directory}")
     if not known["good"]:
         raise RuntimeError("no notice file could be read")
-    is_open = F.coalesce("open", F.lit(False))
-    plain = unify(landing.plain_records(spark, directory, known["width"]), files.filter(~is_open))
-    rows = plain.unionByName(unify(landing.records_of(archives), files))
-    if known["open"]:
-        rows = rows.unionByName(unify(landing.plain_records(spark, directory, known["width"], whole=True), files.filter(is_open)))
-    return flag_quarantine(rows), status
+    plain = unify(records.records(lines, states), files)
+    return flag_quarantine(plain.unionByName(unify(landing.records_of(archives), files))), status
 
 
-def land_notices(spark: SparkSession, directory: str, target: str, first_year: int, last_year: int, run_date: str) -> DataFrame:
+def land_notices(
+    spark: SparkSession, directory: str, target: str, first_year: int, last_year: int, run_date: str, names: Sequence[str] | None = None
+) -> DataFrame:
     """Replace ``target/rows`` with the landing's rows and store its bad rows.
 
     Good and bad rows are written by one job into two partitions, and the
     quarantine copy is made from the stored one.  Returns the good rows.
     """
-    flagged, _ = read_notices(spark, directory, first_year, last_year, f"{target}/manifest")
+    flagged, _ = read_notices(spark, directory, first_year, last_year, f"{target}/work", names)
     flagged.write.mode("overwrite").partitionBy("em_quarentena").parquet(f"{target}/rows")
     good, bad = split_quarantine(spark.read.parquet(f"{target}/rows"))
     write_quarantine(bad, f"{target}/quarantine", run_date)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from occrisk.sources import dictionaries, landing, notices
+from occrisk.sources import dictionaries, landing, notices, records
 from occrisk.streaming.landing import checkpoint_dir, land_new_files, landed
 
 LAYOUT_A = (
@@ -92,7 +92,7 @@ def key(row):
 
 
 def test_notices_of_all_layouts(spark, directory, tmp_path):
-    flagged, status = notices.read_notices(spark, directory, 2018, 2025, str(tmp_path / "manifest"))
+    flagged, status = notices.read_notices(spark, directory, 2018, 2025, str(tmp_path / "work"))
     good, bad = notices.split_quarantine(flagged)
     assert good.columns == notices.NOTICE_COLUMNS
     assert rows(good.select(SHOWN)) == sorted(EXPECTED_GOOD, key=key)
@@ -114,16 +114,16 @@ def test_landing_job_is_repeatable(spark, directory, tmp_path):
     assert rows(stored.groupBy("_source_file", F.col("run_date").cast("string")).count()) == [
         ("cat2018-comp01-2019.csv", "2024-01-31", 3)
     ]
-    assert spark.read.parquet(f"{target}/manifest").count() == 5
+    assert spark.read.parquet(f"{target}/work/manifest").count() == 5
 
 
 def test_all_files_bad(spark, tmp_path):
     (tmp_path / "D.SDA.PDA.005.CAT.202307.ZIP").write_bytes(b"no archive")
     zip_to(tmp_path / "D.SDA.PDA.005.CAT.202308.ZIP", "other.txt", b"x")
     with pytest.raises(RuntimeError, match="no notice file"):
-        notices.read_notices(spark, str(tmp_path), 2018, 2025, str(tmp_path / "manifest"))
+        notices.read_notices(spark, str(tmp_path), 2018, 2025, str(tmp_path / "work"))
     with pytest.raises(ValueError, match="no notice files"):
-        notices.read_notices(spark, str(tmp_path), 2000, 2001, str(tmp_path / "manifest"))
+        notices.read_notices(spark, str(tmp_path), 2000, 2001, str(tmp_path / "work"))
 
 
 @pytest.mark.parametrize(
@@ -146,8 +146,8 @@ def test_large_plain_file_is_split_and_loses_nothing(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
     try:
-        flagged, _ = notices.read_notices(spark, str(tmp_path), 2023, 2023, str(tmp_path / "manifest"))
-        assert landing.plain_records(spark, str(tmp_path), 8).rdd.getNumPartitions() > 3
+        flagged, _ = notices.read_notices(spark, str(tmp_path), 2023, 2023, str(tmp_path / "work"))
+        assert records.text_lines(spark, str(tmp_path), landing.chosen(2023, 2023), "ISO-8859-1").rdd.getNumPartitions() > 3
         assert flagged.filter(~F.col("em_quarentena")).select("cbo").distinct().count() == 5000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
@@ -172,7 +172,7 @@ def test_plain_and_zipped_twins_are_equal(spark, tmp_path, kind):
     (tmp_path / "cat-2023.csv").write_bytes(content)
     (tmp_path / "cat-2022.CSV").write_bytes(text_of(LAYOUT_C))
     zip_to(tmp_path / "D.SDA.PDA.005.CAT.202306.ZIP", "CAT.CSV", content)
-    flagged, status = notices.read_notices(spark, str(tmp_path), 2023, 2023, str(tmp_path / "manifest"))
+    flagged, status = notices.read_notices(spark, str(tmp_path), 2023, 2023, str(tmp_path / "work"))
     assert {r["status"] for r in status.collect()} == {"ok"}
     columns = [c for c in flagged.columns if c != "_source_file"]
     plain = rows(flagged.filter("_source_file like '%.csv'").select(columns))
