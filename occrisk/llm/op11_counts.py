@@ -7,7 +7,7 @@ agree from there on, until the shorter one comes near its end.
 * White space that follows a character which is certainly no white space always
   begins a piece.  Between two such places stands a *unit*; its tokens do not
   depend on what surrounds it, so a task asks the library once per distinct unit
-  and adds up.  Special strings hold no white space and lie inside one unit.
+  (a plain word is one piece: its merges only) and adds up.  Special strings hold no white space and lie inside one unit.
 * A document above CHUNK bytes is cut into chunks that share OVERLAP bytes, each
   a row of its own, dealt over all tasks.  A chunk reports its tokens, and inside
   both overlaps every byte offset at which a piece begins, with the tokens ahead
@@ -45,13 +45,16 @@ CHUNK = 1 << 14
 OVERLAP = 1 << 9
 LIMIT = 1024
 # A task's table of unit lengths starts anew beyond so many entries; longer units are not kept.
-MEMO_UNITS, MEMO_CHARS = 500_000, 64
+MEMO_UNITS, MEMO_CHARS = 400_000, 64
 
 # Any Unicode version calls the first white space; the second holds all that one may call so.
 _SPACE = r" \t\n\r\x0b\x0c"
 _DOUBTFUL = "".join(f"{chr(a)}-{chr(b)}" for a, b in [(0, 0x20), (0x7F, 0xA0), (0x1680, 0x1680), (0x180E, 0x180E), (0x2000, 0x200F), (0x2028, 0x202F), (0x205F, 0x206F), (0x3000, 0x3000), (0xFEFF, 0xFEFF)])
 UNIT = re.compile(rf"[{_SPACE}]*[^{_SPACE}]*(?:(?<=[{_DOUBTFUL}])[{_SPACE}]+[^{_SPACE}]*)*")
 
+# One piece of Latin letters with at most one blank ahead, and the stops behind it, another piece.
+WORD = re.compile(f"( ?[A-Za-z{chr(0xC0)}-{chr(0xD6)}{chr(0xD8)}-{chr(0xF6)}{chr(0xF8)}-{chr(0x17F)}]+)([.,;:!?]*)")
+
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
     import public_tokenizers
@@ -76,18 +79,38 @@ class Speller:
         self.width = {i: len(s) for s, i in self.library.get_vocab(with_added_tokens=False).items()}
         self.width |= {i: len(t.content.encode()) for i, t in special.items()}
         self.known: dict[str, int] = {"": 0}
-
-    def counts(self, texts: list[str]) -> list[int]:
-        split = [UNIT.findall(t) for t in texts]
+        # how the byte-level vocabulary writes bytes that are no printable sign
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.signs = {b: b for b in printable} | {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in printable)}
+
+    def _piece(self, text: str) -> int:
+        """Tokens of one piece, given to the merges without the splitting rule."""
+        n = self.known.get(text)
+        if n is None:
+            n = self.known[text] = len(self.library.model.tokenize(text.encode().decode("latin-1").translate(self.signs)))
+        return n
+
+    def _unit(self, unit: str) -> int:
+        if word := WORD.fullmatch(unit):
+            return self._piece(word[1]) + (self._piece(word[2]) if word[2] else 0)
+        return len(self.library.encode(unit, add_special_tokens=False))
+
+    def _sum(self, units: list[str]) -> int:
         if len(self.known) > MEMO_UNITS:
             self.known = {"": 0}
-        fresh = list(set().union(*split) - self.known.keys())
-        self.known.update((u, len(e)) for u, e in zip(fresh, self.library.encode_batch(fresh, add_special_tokens=False)))
-        sums = [sum(map(self.known.__getitem__, units)) for units in split]
-        for u in fresh:
-            if len(u) > MEMO_CHARS:
-                del self.known[u]
-        return sums
+        known, long = self.known, []
+        for u in set(units):
+            if u not in known:
+                known[u] = self._unit(u)
+                if len(u) > MEMO_CHARS:
+                    long.append(u)
+        n = sum(map(known.__getitem__, units))
+        for u in long:
+            del known[u]
+        return n
+
+    def counts(self, texts: list[str]) -> list[int]:
+        return [self._sum(UNIT.findall(t)) for t in texts]
 
     def pieces(self, text: str) -> tuple[list[int], list[int], int]:
         """Byte offsets at which pieces begin, the tokens ahead of each, and all tokens."""
@@ -106,24 +129,25 @@ class Speller:
 
         Offsets of the second list count from the chunk's end, backwards.
         """
-        units = UNIT.findall(text)
-        sizes = [len(u.encode()) for u in units]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if units else 0
-        head = int(np.searchsorted(ends, overlap)) + 1  # units that reach into the first overlap
-        tail = int(np.searchsorted(ends, total - overlap, side="right"))
+        units, total = UNIT.findall(text), len(text.encode())
+        head, before, tail, after = 0, 0, len(units), 0
+        while before < overlap and head < len(units):  # units that reach into the first overlap
+            before += len(units[head].encode())
+            head += 1
+        while after < overlap and tail:
+            tail -= 1
+            after += len(units[tail].encode())
         if tail < head:  # one stretch serves both
             offsets, ahead, n = self.pieces(text)
             pairs = list(zip(offsets, ahead))
             return n, [p for p in pairs if p[0] < overlap], [(total - o, a) for o, a in pairs if o >= total - overlap]
         first, first_ahead, first_n = self.pieces("".join(units[:head]))
         last, last_ahead, last_n = self.pieces("".join(units[tail:]))
-        middle = self.counts(["".join(units[head:tail])])[0]
-        begin, before = int(ends[tail - 1]), first_n + middle
+        middle = first_n + self._sum(units[head:tail])
         return (
-            before + last_n,
+            middle + last_n,
             [(o, a) for o, a in zip(first, first_ahead) if o < overlap],
-            [(total - begin - o, before + a) for o, a in zip(last, last_ahead) if begin + o >= total - overlap],
+            [(after - o, middle + a) for o, a in zip(last, last_ahead) if after - o <= overlap],
         )
 
 
@@ -184,8 +208,8 @@ def _cutter(chunk: int, overlap: int):
     return cut
 
 
-_SIDE = pa.list_(pa.struct([("at", pa.int64()), ("ahead", pa.int64())]))
-_ENCODED_SCHEMA = "_id bigint, _h bigint, n_bytes bigint, first bigint, last bigint, n bigint, left array<struct<at: bigint, ahead: bigint>>, right array<struct<at: bigint, ahead: bigint>>"
+_SIDES = ["left", "left_ahead", "right", "right_ahead"]
+_ENCODED_SCHEMA = "_id bigint, _h bigint, n_bytes bigint, first bigint, last bigint, n bigint, " + ", ".join(f"{c} array<bigint>" for c in _SIDES)
 
 
 def _encoder(path: str, overlap: int):
@@ -205,9 +229,9 @@ def _encoder(path: str, overlap: int):
                 [
                     *[batch.column(batch.schema.get_field_index(k)) for k in ("_id", "_h", "n_bytes", "first", "last")],
                     pa.array(totals, pa.int64()),
-                    *[pa.array([[{"at": o, "ahead": a} for o, a in x] for x in side], _SIDE) for side in (lefts, rights)],
+                    *[pa.array([[p[k] for p in x] for x in side], pa.list_(pa.int64())) for side in (lefts, rights) for k in (0, 1)],
                 ],
-                names=["_id", "_h", "n_bytes", "first", "last", "n", "left", "right"],
+                names=["_id", "_h", "n_bytes", "first", "last", "n", *_SIDES],
             )
 
     return encode
@@ -223,14 +247,15 @@ def _encoded(rows: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
 
 def _splices(chunks: DataFrame) -> DataFrame:
     """Per cut between neighbours (numbered by the earlier one's last chunk): what it takes off, NULL if they share no place."""
-    none = F.lit(None).cast("array<struct<at: bigint, ahead: bigint>>")
-    ends = chunks.where(F.col("right").isNotNull()).select(*KEY, F.col("last").alias("cut"), "n", "right", none.alias("left"))
-    begins = chunks.where("first > 0").select(*KEY, (F.col("first") - 1).alias("cut"), F.lit(None).cast("bigint").alias("n"), none.alias("right"), "left")
-    meet = ends.unionByName(begins).groupBy(*KEY, "cut").agg(F.max("n").alias("n"), F.flatten(F.collect_list("right")).alias("right"), F.collect_list("left").alias("lefts"))
-    later = F.map_from_entries(F.array_distinct(F.flatten("lefts")))  # offset -> tokens ahead in the later chunk
-    taken = F.transform("right", lambda p: F.struct(p["at"].alias("at"), (F.col("n") - p["ahead"] + F.col("_later")[p["at"]]).alias("off")))
-    shared = F.filter(taken, lambda p: p["off"].isNotNull())
-    return meet.where(F.size("lefts") > 0).withColumn("_later", later).select(*KEY, "cut", F.array_min(shared)["off"].alias("off"))
+    none = F.lit(None).cast("array<bigint>")
+    ends = chunks.select(*KEY, F.col("last").alias("cut"), "n", "right", "right_ahead", none.alias("left"), none.alias("left_ahead"))
+    begins = chunks.where("first > 0").select(*KEY, (F.col("first") - 1).alias("cut"), F.lit(None).cast("bigint").alias("n"), none.alias("right"), none.alias("right_ahead"), "left", "left_ahead")
+    # two rows at most meet at a cut
+    sides = [F.flatten(F.collect_list(c)).alias(c) for c in _SIDES]
+    meet = ends.unionByName(begins).groupBy(*KEY, "cut").agg(F.max("n").alias("n"), F.count("left").alias("later"), *sides).where("later > 0")
+    at = F.array_min(F.array_intersect("right", "left"))
+    ahead = {c: F.get(f"{c}_ahead", (F.array_position(c, F.col("at")) - 1).cast("int")) for c in ("left", "right")}
+    return meet.withColumn("at", at).select(*KEY, "cut", (F.col("n") - ahead["right"] + ahead["left"]).alias("off"))
 
 
 def _islands(chunks: DataFrame, failed: DataFrame) -> DataFrame:
@@ -272,11 +297,13 @@ def _counter(path: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = speller(path)
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("_text")).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(own.counts(texts), pa.int64())],
-                names=["doc_id", "n_bytes", "n_tokens"],
-            )
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                texts = part.column(part.schema.get_field_index("_text")).to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(part.schema.get_field_index("doc_id")), pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(own.counts(texts), pa.int64())],
+                    names=["doc_id", "n_bytes", "n_tokens"],
+                )
 
     return count
 
