@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occrisk.config import LoadConfig
-from occrisk.operators.stored import stored
+from occrisk.operators.stored import intermediate_tables, stored
 from occrisk.plans import export, loads, quality, warehouse
 from occrisk.plans.layers import Layer
-from occrisk.sources import dictionaries, landing, microdata, notices
+from occrisk.sources import catalogue, dictionaries, landing, microdata, notices
 from occrisk.streaming.landing import checkpoint_dir, land_new_files
 
 # Folders below the microdata source.
@@ -52,7 +52,7 @@ def _diagnoses(spark: SparkSession, files: str) -> DataFrame:
 
 
 def raw_tables(
-    spark: SparkSession, source: str, files: str, root: str, config: LoadConfig
+    spark: SparkSession, source: str, files: str, root: str, config: LoadConfig, listed: str | None = None
 ) -> dict[str, tuple[str, Callable[[], DataFrame]]]:
     """Raw table -> (source label, builder); the label decides what counts as loaded."""
     tables = {
@@ -73,21 +73,27 @@ def raw_tables(
     tables["cat_microdados"] = (
         f"cat.BR.{config.cat_first_year}-{config.cat_last_year}",
         lambda: notices.land_notices(
-            spark, f"{files}/CAT", f"{root}/landed", config.cat_first_year, config.cat_last_year, date.today().isoformat()
+            spark, f"{files}/CAT", f"{root}/landed", config.cat_first_year, config.cat_last_year, date.today().isoformat(),
+            catalogue.file_names(spark, listed, config.cat_first_year, config.cat_last_year) if listed else None,
         ),
     )
     return tables
 
 
-def ingest(spark: SparkSession, source: str, files: str, root: str, config: LoadConfig, force: bool = False) -> dict[str, str]:
-    """Load every raw table that the ledger does not list as loaded."""
+def ingest(
+    spark: SparkSession, source: str, files: str, root: str, config: LoadConfig, force: bool = False, listed: str | None = None
+) -> dict[str, str]:
+    """Load every raw table that the ledger does not list as loaded.
+
+    With ``listed``, a folder of landed catalogues, only notice files that they list are opened.
+    """
     ledger = f"{root}/ledger"
     loads.create_ledger(spark, ledger)
     return {
         name: loads.load_table(
             spark, ledger, name, label, build, f"{root}/raw/{name}", force, STORED_BY_YEAR.get(name)
         )
-        for name, (label, build) in raw_tables(spark, source, files, root, config).items()
+        for name, (label, build) in raw_tables(spark, source, files, root, config, listed).items()
     }
 
 
@@ -122,11 +128,18 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--root", required=True)
     parser.add_argument("--source", help="folder of Parquet microdata tables")
     parser.add_argument("--files", help="folder of landed files")
+    parser.add_argument("--catalogue", help="folder of landed catalogues; only files that they list are opened")
     parser.add_argument("--force", action="store_true")
     args = parser.parse_args(argv)
     spark, config = SparkSession.builder.getOrCreate(), LoadConfig.from_env()
+    with intermediate_tables(spark, f"{args.root}/work"):
+        return run(spark, args, config)
+
+
+def run(spark: SparkSession, args: argparse.Namespace, config: LoadConfig) -> int:
+    """One job; what it stores on the way is removed when it ends."""
     if args.job == "ingest":
-        for name, outcome in ingest(spark, args.source, args.files, args.root, config, args.force).items():
+        for name, outcome in ingest(spark, args.source, args.files, args.root, config, args.force, args.catalogue).items():
             print(name, outcome)
     elif args.job == "land-new":
         land_new_files(spark, f"{args.files}/CAT", f"{args.root}/stream", checkpoint_dir(spark, "notices", f"{args.root}/checkpoints"))

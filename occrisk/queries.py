@@ -6,6 +6,7 @@ each reusable operator at work on the full tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,11 +16,12 @@ from pyspark.sql import functions as F
 from occrisk.functions import ages, codes, rates, text
 from occrisk.operators import keyed, ranking, relations
 from occrisk.operators.expand import explode_codes
-from occrisk.plans import loads, marts, quality
+from occrisk.operators.stored import shared_folder
+from occrisk.plans import export, loads, marts, quality
 from occrisk.plans.layers import Layer
 from occrisk.plans.marts import MARTS
 from occrisk.plans.staging import STAGING, age_dates, staging_layer, with_age
-from occrisk.sources import dictionaries, landing, notices, profile
+from occrisk.sources import catalogue, dictionaries, landing, notices, profile, records
 from occrisk.sources.adapter import raw_layer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,7 +60,7 @@ def grau_risco_build(raw: Layer, stg: Layer) -> DataFrame:
 @_register
 def manifest_dedup(raw: Layer, stg: Layer) -> DataFrame:
     """Catalogue entry kept per URL."""
-    return landing.first_per_url(raw["catalogue"], [F.col("catalogo"), F.col("posicao")])
+    return landing.first_per_url(raw["catalogue"].drop("formato"), [F.col("catalogo"), F.col("posicao")])
 
 
 @_register
@@ -70,6 +72,27 @@ def file_year_pruning(raw: Layer, stg: Layer) -> DataFrame:
     return files.join(kept, "url", "left").withColumn("lido", F.coalesce("lido", F.lit(False)))
 
 
+@_register
+def catalogue_selection(raw: Layer, stg: Layer) -> DataFrame:
+    """Files that the catalogues offer in a wanted format and year."""
+    return catalogue.wanted(raw["catalogue"], 1993, 1997)
+
+
+@_register
+def quoted_records(raw: Layer, stg: Layer) -> DataFrame:
+    """Cells of records with quoted separators, quotes and line breaks, whose files were read in pieces."""
+    lines = raw["typed_lines"]
+    found = records.records(lines, records.block_states(lines))
+    cells = [F.get("cells", F.lit(i)) for i in range(3)]
+    return found.select("path", cells[0].cast("bigint").alias("chave"), cells[1].alias("nota"), cells[2].alias("tipo"), F.size("cells").alias("celulas"))
+
+
+@_register
+def windows_dictionary(raw: Layer, stg: Layer) -> DataFrame:
+    """Entries of dictionary files in the Windows encoding."""
+    return landing.named_records_of(raw["windows_files"], ["SUBCAT", "DESCRICAO"]).drop("record")
+
+
 def _unified(raw: Layer) -> DataFrame:
     return notices.unify(raw["landed_records"], notices.manifest(raw["landed_headers"]))
 
@@ -96,8 +119,9 @@ def quarantine_split(raw: Layer, stg: Layer) -> DataFrame:
 @_register
 def source_profile(raw: Layer, stg: Layer) -> DataFrame:
     """Columns, types, row counts, filled cells and first cells of the raw tables."""
-    names = ["dim_cnae", "dim_cbo", "dim_municipio", "rais_microdados", "sim_microdados"]
-    return profile.profile(raw, names)
+    names = ["dim_cnae", "dim_cbo", "dim_municipio", "tabela_quebrada", "rais_microdados", "sim_microdados"]
+    broken = Layer(lambda name: raw["dim_cbo"].select("coluna_ausente") if name == "tabela_quebrada" else raw[name])
+    return profile.profile(broken, names)
 
 
 # --- loads -----------------------------------------------------------------------
@@ -400,6 +424,30 @@ def dq_summary(raw: Layer, stg: Layer) -> DataFrame:
     return quality.summary(quality.report(_tables(stg)))
 
 
+# --- export and replacement ------------------------------------------------------
+
+@_register
+def csv_export(raw: Layer, stg: Layer) -> DataFrame:
+    """A mart after it went through its CSV file."""
+    mart = MARTS["mart_risco_teorico_vs_observado"](stg)
+    spark = mart.sparkSession
+    folder = f"{shared_folder(spark)}/export-{uuid.uuid4().hex}"
+    export.export_csv("mart_risco_teorico_vs_observado", mart, folder)
+    # every cell of this mart that is empty is NULL
+    read = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(folder)
+    return read.select(*[F.col(f.name).cast(f.dataType) for f in mart.schema])
+
+
+@_register
+def table_replacement(raw: Layer, stg: Layer) -> DataFrame:
+    """A table that was loaded twice: the second load replaces the first as a whole."""
+    target = f"{shared_folder(raw['dim_cnae'].sparkSession)}/replaced-{uuid.uuid4().hex}"
+    loads.replace_table(raw["rais_vinculos"], target, "ano")
+    loads.replace_table(raw["rais_vinculos"].filter("ano >= 1994"), target, "ano")
+    stored = raw["dim_cnae"].sparkSession.read.parquet(target)
+    return stored.groupBy("ano").agg(F.count(F.lit(1)).alias("linhas"), F.sum("quantidade_vinculos").alias("vinculos"))
+
+
 # --- documented reports ----------------------------------------------------------
 
 @_register

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from occrisk.plans.layers import Layer
-from occrisk.sources import dictionaries, microdata, notices
+from occrisk.sources import dictionaries, microdata, notices, records
 
 # Bonds represented by each line of the driver's microdata: spreads the score
 # over all of its bands.
@@ -171,6 +171,21 @@ _URL = (
     f" else {_CAT['_source_file']} end"
 )
 
+# Records as they would be typed: cells with separators, quotes and line breaks.
+_NOTE = (
+    "case o_orderkey%7 when 0 then 'Disse \"ai\" ' || cast(o_orderkey as string) when 1 then 'Duas' || chr(10) || 'linhas; ' || cast(o_orderkey as string)"
+    " when 2 then '5\" cano' when 3 then 'fim' || chr(13) || chr(10) || '\"x\"' when 4 then '' when 5 then 'a' || chr(13) || 'b'"
+    " else 'Texto ' || cast(o_orderkey as string) end"
+)
+_TYPED = {
+    "path": f"'typed/' || {_CAT['_source_file']}",
+    "chave": "o_orderkey",
+    "nota": _NOTE,
+    "tipo": "o_orderpriority",
+    "texto": f"cast(o_orderkey as string) || ';' || case when o_orderkey%7 in (0, 1, 3, 5) then '\"' || replace({_NOTE}, '\"', '\"\"') || '\"'"
+    f" else {_NOTE} end || ';' || o_orderpriority",
+}
+
 # raw table -> (driver table, filter, distinct, columns)
 PROJECTIONS: dict[str, tuple[str, str | None, bool, dict[str, str]]] = {
     # One row per subclass.
@@ -225,11 +240,13 @@ PROJECTIONS: dict[str, tuple[str, str | None, bool, dict[str, str]]] = {
     }),
     "sim_microdados": ("events", None, False, _SIM),
     "landed_notices": ("orders", None, False, _LANDED),
+    "typed_records": ("orders", None, False, _TYPED),
     "catalogue": ("orders", None, False, {
         "url": _URL,
         "catalogo": "cast(1+o_orderkey%2 as int)",
         "posicao": "o_orderkey",
         "nome": "'Arquivo ' || cast(o_orderkey%10 as string)",
+        "formato": "case o_custkey%5 when 0 then 'csv' when 1 then 'Zip' when 2 then 'XLSX' when 3 then null else 'CSV' end",
     }),
     # Load attempts per notice file: started always, finished or failed by key.
     "load_events": ("orders", None, True, {
@@ -285,6 +302,21 @@ def _landed_records(landed: DataFrame) -> DataFrame:
     return landed.select("path", out.alias("cells"))
 
 
+def _typed_lines(typed: DataFrame) -> DataFrame:
+    """Typed records as the lines of their files, in blocks that end anywhere, also inside a record."""
+    lines = typed.select("path", "chave", F.posexplode(F.split("texto", "\n")).alias("n", "text"))
+    at = F.col("chave") * 8 + F.col("n")
+    return records.cut_lines(lines.select("path", F.floor((at + 7) / 64).alias("block"), at.alias("at"), "text"))
+
+
+def _windows_files(entries: DataFrame) -> DataFrame:
+    """One dictionary file per letter, in the Windows encoding, with quotation marks and dashes of its own."""
+    line = F.concat("SUBCAT", F.lit(";\x93"), "DESCRICAO", F.lit("\x94 \x96 ç"))
+    files = entries.groupBy(F.left("SUBCAT", F.lit(1)).alias("path")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    text = F.concat(F.lit("SUBCAT;DESCRICAO\n"), F.array_join("lines", "\n"))
+    return files.select("path", F.encode(text, "ISO-8859-1").alias("content"))
+
+
 def raw_layer(spark: SparkSession, sf_dir: str) -> Layer:
     """Raw layer on top of the driver tables in ``sf_dir``."""
 
@@ -293,6 +325,10 @@ def raw_layer(spark: SparkSession, sf_dir: str) -> Layer:
             return _landed_headers(spark, layer["landed_notices"])
         if name == "landed_records":
             return _landed_records(layer["landed_notices"])
+        if name == "typed_lines":
+            return _typed_lines(layer["typed_records"])
+        if name == "windows_files":
+            return _windows_files(layer["dim_cid_subcat"])
         if name == "rais_vinculos":
             bonds = microdata.aggregate_bonds(layer["rais_microdados"], FIRST_YEAR, LAST_YEAR)
             return bonds.withColumn("quantidade_vinculos", F.col("quantidade_vinculos") * BONDS_PER_LINE)

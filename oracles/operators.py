@@ -132,6 +132,21 @@ from (
       when base like '%copmp%' then '2021' end as integer) as ano
   from (select distinct url, split_part(url, '/', -1) as base from catalogue)
 )""",
+    "catalogue_selection": """
+select * exclude (base) from (
+  select url, catalogo, posicao, nome, formato,
+    cast(case when lower(url) like '%.cat.______.%' then left(split_part(url, '.', -2), 4)
+      when regexp_matches(base, '[0-9]{4}') then regexp_extract(base, '.*([0-9]{4})', 1)
+      when base like '%copmp%' then '2021' end as integer) as ano, base
+  from (select *, split_part(url, '/', -1) as base from catalogue
+    qualify row_number() over (partition by url order by catalogo, posicao) = 1)
+) where lower(formato) in ('csv', 'zip') and ano >= 1993 and ano <= 1997""",
+    "quoted_records": "select path, chave, nota, tipo, 3 as celulas from typed_records",
+    "windows_dictionary": """
+select SUBCAT, chr(8220) || DESCRICAO || chr(8221) || ' ' || chr(8211) || ' ç' as DESCRICAO from dim_cid_subcat""",
+    "csv_export": f"select * from ({MARTS['mart_risco_teorico_vs_observado']})",
+    "table_replacement": """
+select ano, count(*) as linhas, cast(sum(quantidade_vinculos) as bigint) as vinculos from rais_vinculos where ano >= 1994 group by ano""",
     "layout_detection": """
 select distinct split_part(path, '/', 2) as _source_file, layout,
   cast(case layout when 'A' then 25 when 'B' then 24 else 24 end as integer) as n_header
@@ -144,9 +159,10 @@ from ({_UNIFIED}) group by all""",
     "source_profile": " union all ".join(
         f"select '{t}' as tabela, {i} as posicao, '{c}' as coluna, '{'inteiro' if c == 'ano' else 'decimal' if c == 'idade' else 'texto'}' as tipo, "
         f"count(*) as linhas, count({c}) as preenchidas, (select coalesce(string_agg(cast({c} as varchar), ' | ' order by {_first(cols)}), '') "
-        f"from (select * from {t} order by {_first(cols)} limit 3)) as amostra from {t}"
+        f"from (select * from {t} order by {_first(cols)} limit 3)) as amostra, null as erro from {t}"
         for t, cols in _PROFILED.items() for i, c in enumerate(cols, start=1)
-    ),
+    )
+    + " union all select 'tabela_quebrada', 0, null, null, null, null, null, 'UNRESOLVED_COLUMN.WITH_SUGGESTION'",
     "ledger_skip": """
 select distinct 'cat_microdados' as table_name, source_file from stg_fact_cat
 where source_file not in (select file_name from load_events where status = 'success')""",

@@ -73,7 +73,7 @@ def test_jobs_end_to_end(spark, sources, tmp_path):
     assert results.count() == 33 and results.filter("status = 'ERROR'").count() == 0
 
     jobs.export_marts(spark, root)
-    assert len(list((tmp_path / "root" / "export").glob("*/*.csv"))) == 11
+    assert len(list((tmp_path / "root" / "export").glob("*.csv"))) == 11
 
     summary = jobs.reload_deaths(spark, source, root, CONFIG)
     assert summary.first()["pct"] == 100

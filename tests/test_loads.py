@@ -82,14 +82,10 @@ def test_export_is_ordered_and_marked(spark, tmp_path):
     df = spark.createDataFrame(
         [("b", 'di"z', 1), ("a", None, 2), ("c", "", None)], "cnae_classe string, texto string, n int"
     )
-    export.export_csv("mart_cnae_sem_score", df, str(tmp_path / "one"), one_file=True)
-    (part,) = (tmp_path / "one" / "mart_cnae_sem_score").glob("*.csv")
-    assert part.read_bytes().startswith(b"\xef\xbb\xbfcnae_classe,texto,n")
-    assert part.read_text("utf-8-sig").splitlines() == ["cnae_classe,texto,n", "a,,2", 'b,"di""z",1', "c,,"]
-    export.export_csv("mart_cnae_sem_score", df.repartition(3), str(tmp_path / "many"))
-    parts = sorted((tmp_path / "many" / "mart_cnae_sem_score").glob("*.csv"))
-    assert all(p.read_bytes().startswith(b"\xef\xbb\xbf") for p in parts)
-    assert [line for p in parts for line in p.read_text("utf-8-sig").splitlines()[1:]] == ["a,,2", 'b,"di""z",1', "c,,"]
+    export.export_csv("mart_cnae_sem_score", df.repartition(3), str(tmp_path))
+    file = tmp_path / "mart_cnae_sem_score.csv"
+    assert file.read_bytes().startswith(b"\xef\xbb\xbfcnae_classe,texto,n")
+    assert file.read_text("utf-8-sig").splitlines() == ["cnae_classe,texto,n", "a,,2", 'b,"di""z",1', "c,,"]
 
 
 def test_presentation_order_covers_the_marts():
@@ -136,7 +132,9 @@ def test_checks_count_failures(spark):
 
 
 def test_profile_and_sample(spark):
-    layer = Layer({"t": spark.createDataFrame([(1, None), (2, "x"), (3, "y"), (4, "z")], "a int, b string")}.__getitem__)
-    assert rows(profile.profile(layer, ["t"])) == [
-        ("t", 1, "a", "inteiro", 4, 4, "1 | 2 | 3"), ("t", 2, "b", "texto", 4, 3, "x | y")
+    good = spark.createDataFrame([(1, None), (2, "x"), (3, "y"), (4, "z")], "a int, b string")
+    layer = Layer(lambda name: good if name == "t" else spark.read.parquet(f"/no/such/{name}"))
+    assert rows(profile.profile(layer, ["gone", "t"])) == [
+        ("gone", 0, None, None, None, None, None, "PATH_NOT_FOUND"),
+        ("t", 1, "a", "inteiro", 4, 4, "1 | 2 | 3", None), ("t", 2, "b", "texto", 4, 3, "x | y", None),
     ]
