@@ -15,16 +15,17 @@ def null_aware_anti(left: DataFrame, key: Column, right: DataFrame, right_key: s
 
     An empty right side keeps everything; otherwise a NULL on the left drops
     that row and a NULL on the right drops all.  Written as an ordinary
-    ``left_anti`` equi-join plus two scalar facts about the right side, so it
-    does not force the broadcast that a literal NOT IN does.
+    ``left_anti`` equi-join plus one scalar about the right side, so it does not
+    force the broadcast that a literal NOT IN does.  Join and scalar start from
+    the same distinct keys, which a NULL-safe join leaves as they are: their
+    exchange is made once and read twice.
     """
-    facts = right.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(right_key).isNull()).alias("nulls")
-    )
-    n, nulls = facts.select("n").scalar(), facts.select("nulls").scalar()
+    keys = right.select(F.col(right_key).alias("_r")).distinct()
+    # NULL for no keys, else whether one of them is NULL
+    holds_null = keys.agg(F.max(F.col("_r").isNull()).alias("nulls")).scalar()
     probe = left.withColumn("_k", key)
-    rest = probe.join(right.select(F.col(right_key).alias("_r")), F.col("_k") == F.col("_r"), "left_anti")
-    return rest.filter((n == 0) | (F.col("_k").isNotNull() & (nulls == 0))).drop("_k")
+    rest = probe.join(keys, F.col("_k").eqNullSafe(F.col("_r")), "left_anti")
+    return rest.filter(F.coalesce(~holds_null & F.col("_k").isNotNull(), F.lit(True))).drop("_k")
 
 
 def year_intersection(a: DataFrame, b: DataFrame, year: str = "ano") -> tuple[Column, Column]:

@@ -395,15 +395,19 @@ def comorbidades_por_cnae(stg: Layer) -> DataFrame:
         .groupBy("cbo_codigo", "cid_comorbidade")
         .agg(F.sum("total_obitos").alias("_n"))
     )
-    by_class = _attributed(by_occupation, stg).groupBy("cnae_classe", "cid_comorbidade").agg(
-        F.sum("_n").alias("total_obitos_com_comorbidade")
+    # deaths without a code beside them are the base: both are attributed once
+    base_by_occupation = with_part_two.groupBy("cbo_codigo").agg(F.sum("total_obitos").alias("_n"))
+    both = by_occupation.unionByName(base_by_occupation, allowMissingColumns=True)
+    by_class = stored(
+        _attributed(both, stg).groupBy("cnae_classe", "cid_comorbidade").agg(F.sum("_n").alias("total_obitos_com_comorbidade")),
+        "comorbidities",
     )
     ranked = ranking.rank_in_group(
-        by_class, ["cnae_classe"], "total_obitos_com_comorbidade", "cid_comorbidade", "rank_comorbidade"
+        by_class.filter(F.col("cid_comorbidade").isNotNull()), ["cnae_classe"], "total_obitos_com_comorbidade", "cid_comorbidade",
+        "rank_comorbidade",
     )
-    base_by_occupation = with_part_two.groupBy("cbo_codigo").agg(F.sum("total_obitos").alias("_n"))
-    base = _attributed(base_by_occupation, stg).groupBy("cnae_classe").agg(
-        F.sum("_n").alias("total_obitos_com_linhaii")
+    base = by_class.filter(F.col("cid_comorbidade").isNull()).select(
+        "cnae_classe", F.col("total_obitos_com_comorbidade").alias("total_obitos_com_linhaii")
     )
     rows = _graded(ranked, stg).join(_classes(stg), "cnae_classe", "inner").join(base, "cnae_classe", "left")
     rows = rows.withColumn("cid_categoria", codes.category(F.col("cid_comorbidade")))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from occrisk.functions import labels as L
@@ -69,52 +69,54 @@ def _rows(failures: DataFrame, checks: list[Check]) -> DataFrame:
     return failures.select(F.inline(F.array(*rows))).withColumn("status", status)
 
 
-def not_null(tables: Tables, model: str, checks: list[Check]) -> DataFrame:
-    """All not-null checks of a table in one aggregate."""
-    counts = [F.count_if(F.col(c.column).isNull()).alias(f"f{i}") for i, c in enumerate(checks)]
-    return _rows(tables(model).agg(*counts), checks)
+def one_pass(tables: Tables, model: str, checks: list[Check]) -> DataFrame:
+    """All checks of a table from one scan of it.
 
+    Rows are counted by value of the columns whose checks look at values; with
+    them, NULLs of every column that has a not-null check.  A second aggregate over
+    that reduced relation gives one failure count per check:
 
-def unique(tables: Tables, check: Check) -> DataFrame:
-    """Number of values that occur more than once; NULLs do not count."""
-    repeated = (
-        tables(check.model).filter(F.col(check.column).isNotNull())
-        .groupBy(check.column).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    )
-    return _rows(repeated.agg(F.count(F.lit(1)).alias("f0")), [check])
-
-
-def accepted_values(tables: Tables, check: Check) -> DataFrame:
-    """Number of distinct values outside the accepted list; NULLs do not count."""
-    outside = tables(check.model).filter(~F.col(check.column).isin(*check.args)).select(check.column).distinct()
-    return _rows(outside.agg(F.count(F.lit(1)).alias("f0")), [check])
-
-
-def relationships(tables: Tables, check: Check) -> DataFrame:
-    """Number of child rows whose key has no parent; NULL keys do not count.
-
-    Child keys are counted before the anti join, so the join meets one row per
-    distinct key however often a hot key occurs.
+    * not_null: rows without a value;
+    * unique: values that occur more than once, NULLs apart;
+    * accepted_values: values outside the list, NULLs apart;
+    * relationships: rows whose value no parent has, NULLs apart.
     """
-    parent_model, parent_column = check.args
-    keys = tables(check.model).filter(F.col(check.column).isNotNull()).groupBy(check.column).agg(F.count(F.lit(1)).alias("n"))
-    parents = tables(parent_model).select(F.col(parent_column).alias(check.column)).distinct()
-    orphans = keys.join(parents, check.column, "left_anti")
-    return _rows(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("f0")), [check])
-
-
-_SINGLE = {"unique": unique, "accepted_values": accepted_values, "relationships": relationships}
+    df = tables(model)
+    looked_at = list(dict.fromkeys(c.column for c in checks if c.kind != "not_null"))
+    required = list(dict.fromkeys(c.column for c in checks if c.kind == "not_null"))
+    slots = [F.struct(F.lit(i).alias("slot"), F.col(c).cast("string").alias("value")) for i, c in enumerate(looked_at)]
+    if len(slots) > 1:
+        df = df.select(F.explode(F.array(*slots)).alias("_s"), *required).select("_s.*", *[F.col(c).alias(f"r{j}") for j, c in enumerate(required)])
+    else:
+        seen = slots[0] if slots else F.struct(F.lit(0).alias("slot"), F.lit(None).cast("string").alias("value"))
+        df = df.select(seen.alias("_s"), *required).select("_s.*", *[F.col(c).alias(f"r{j}") for j, c in enumerate(required)])
+    missing = [F.count_if((F.col("slot") == 0) & F.col(f"r{j}").isNull()).alias(f"z{j}") for j in range(len(required))]
+    counted = df.groupBy("slot", "value").agg(F.count(F.lit(1)).alias("n"), *missing)
+    parents = [c for c in checks if c.kind == "relationships"]
+    for k, check in enumerate(parents):
+        parent_model, parent_column = check.args
+        known = tables(parent_model).select(F.lit(looked_at.index(check.column)).alias("slot"), F.col(parent_column).cast("string").alias("value")).distinct()
+        counted = counted.join(known.withColumn(f"hit{k}", F.lit(True)), ["slot", "value"], "left")
+
+    def failures(check: Check) -> Column:
+        if check.kind == "not_null":
+            return F.sum(f"z{required.index(check.column)}")
+        here = (F.col("slot") == looked_at.index(check.column)) & F.col("value").isNotNull()
+        if check.kind == "unique":
+            return F.count_if(here & (F.col("n") > 1))
+        if check.kind == "accepted_values":
+            return F.count_if(here & ~F.col("value").isin(*map(str, check.args)))
+        return F.sum(F.when(here & F.col(f"hit{parents.index(check)}").isNull(), F.col("n")))
+
+    totals = [F.coalesce(failures(c), F.lit(0)).alias(f"f{i}") for i, c in enumerate(checks)]
+    return _rows(counted.agg(*totals), checks)
 
 
 def report(tables: Tables, checks: list[Check] = CHECKS, kinds: tuple[str, ...] | None = None) -> DataFrame:
     """Result of every check: model, column, test, severity, failures, status."""
     chosen = [c for c in checks if kinds is None or c.kind in kinds]
-    parts: list[DataFrame] = []
-    nullable = [c for c in chosen if c.kind == "not_null"]
-    for model in dict.fromkeys(c.model for c in nullable):
-        parts.append(not_null(tables, model, [c for c in nullable if c.model == model]))
-    parts += [_SINGLE[c.kind](tables, c) for c in chosen if c.kind != "not_null"]
-    return reduce(DataFrame.unionByName, parts)
+    models = dict.fromkeys(c.model for c in chosen)
+    return reduce(DataFrame.unionByName, [one_pass(tables, m, [c for c in chosen if c.model == m]) for m in models])
 
 
 def summary(results: DataFrame) -> DataFrame:

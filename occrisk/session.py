@@ -15,6 +15,9 @@ RECOMMENDED = {
     # code.  Wide projections fused into one such method run several times
     # slower than unfused ones, whose expressions are split into small methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Without it every column expression notes its place in the code, which
+    # takes longer than planning the query does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
