@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from occrisk.config import LoadConfig
 from occrisk.operators.stored import intermediate_tables, stored
-from occrisk.plans import export, loads, quality, warehouse
+from occrisk.plans import export, loads, quality, versions, warehouse
 from occrisk.plans.layers import Layer
 from occrisk.sources import catalogue, dictionaries, landing, microdata, notices
 from occrisk.streaming.landing import checkpoint_dir, land_new_files
@@ -122,9 +122,15 @@ def reload_deaths(spark: SparkSession, source: str, root: str, config: LoadConfi
     )
 
 
+def clean(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """Remove replaced versions of the tables stored by year; run it when no job reads them."""
+    folders = [f"{root}/raw/{name}" for name in STORED_BY_YEAR] + [f"{root}/stg/{name}" for name in warehouse.STORED_BY_YEAR]
+    return {folder: versions.clean(spark, folder) for folder in folders}
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=["ingest", "land-new", "build", "check", "export", "reload-deaths"])
+    parser.add_argument("job", choices=["ingest", "land-new", "build", "check", "export", "reload-deaths", "clean"])
     parser.add_argument("--root", required=True)
     parser.add_argument("--source", help="folder of Parquet microdata tables")
     parser.add_argument("--files", help="folder of landed files")
@@ -151,6 +157,9 @@ def run(spark: SparkSession, args: argparse.Namespace, config: LoadConfig) -> in
         totals = quality.summary(results).first()
         print(f"PASS={totals['pass']} WARN={totals['warn']} ERROR={totals['error']}")
         return 1 if totals["error"] else 0
+    elif args.job == "clean":
+        for folder, gone in clean(spark, args.root).items():
+            print(folder, len(gone))
     elif args.job == "export":
         export_marts(spark, args.root)
     else:

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from occrisk.plans import versions
+
 
 class Layer:
     """``layer[name]`` builds a DataFrame once and hands out the same plan after.
@@ -25,5 +27,5 @@ class Layer:
 
     @classmethod
     def of_parquet(cls, spark: SparkSession, root: str) -> Layer:
-        """Layer materialised as ``root/<name>`` Parquet directories."""
-        return cls(lambda name: spark.read.parquet(f"{root}/{name}"))
+        """Layer materialised as ``root/<name>``: Parquet folders, or newest snapshots of years."""
+        return cls(lambda name: versions.read(spark, f"{root}/{name}"))

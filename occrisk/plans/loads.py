@@ -1,8 +1,8 @@
 """Idempotent and year-incremental loads.
 
 The ledger is an append-only Parquet table of load events; the newest event of
-a load id is its state.  Parquet has no transaction over several partitions, so
-one year is the unit of atomic replacement.
+a load id is its state.  Tables stored by year are kept as snapshots
+(`plans/versions.py`): the years of one load appear together.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from occrisk.plans import versions
+
 RUNNING, SUCCESS, FAILED = "running", "success", "error"
 MAX_ERROR_TEXT = 2000
 
@@ -68,9 +70,10 @@ def replace_table(df: DataFrame, path: str, partition_by: str | None = None) ->
 
     Rows are first brought together by partition; Spark splits large partitions
     by their measured size, so files are neither tiny nor written by one task.
+    A table stored by year gets a new snapshot instead.
     """
-    if partition_by:
-        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    if partition_by == versions.YEAR:
+        versions.replace_years(df, path, whole=True)
     else:
         df.write.mode("overwrite").parquet(path)
 
@@ -96,7 +99,7 @@ def load_table(
     _append(spark, ledger, status=RUNNING, **event)
     try:
         replace_table(build(), target, partition_by)
-        loaded = spark.read.parquet(target).count()
+        loaded = versions.read(spark, target).count()
     except Exception as exc:
         _append(
             spark, ledger, status=FAILED, finished_at=datetime.now(timezone.utc),
@@ -133,7 +136,10 @@ def replaced(table: DataFrame, fresh: DataFrame, todo: DataFrame, year: str = "a
 
 
 def replace_years(df: DataFrame, path: str, year: str = "ano") -> None:
-    """Replace exactly the years present in ``df``; other partitions stay untouched."""
+    """Replace exactly the years present in ``df`` in an ordinary folder; other partitions stay untouched.
+
+    One year is the unit of atomic replacement here.
+    """
     (
         df.hint("rebalance", year)
         .write.mode("overwrite")
@@ -147,12 +153,18 @@ def reload_pending_years(spark: SparkSession, path: str, fresh: DataFrame, first
     """Replace every pending year of the table at ``path`` with the rows of ``fresh``.
 
     The pending years reach the source as a join key, so a source stored by
-    year is pruned at run time.  All years are written by one job; a year
-    without fresh rows keeps what it has.  Returns the summary of the table.
+    year is pruned at run time.  All years are written by one job, and appear
+    together if the table is one of snapshots; a year without fresh rows keeps
+    what it has.  Returns the summary of the table.
     """
-    table = spark.read.option("mergeSchema", "true").parquet(path)
+    known = versions.snapshots(spark, path)
+    table = versions.read(spark, path) if known else spark.read.option("mergeSchema", "true").parquet(path)
     todo = pending_years(table, first_year, last_year)
-    replace_years(fresh.join(todo, "ano", "left_semi"), path)
+    taken = fresh.join(todo, "ano", "left_semi")
+    if known:
+        versions.replace_years(taken, path)
+        return load_summary(versions.read(spark, path))
+    replace_years(taken, path)
     return load_summary(spark.read.option("mergeSchema", "true").parquet(path))
 
 

@@ -17,7 +17,7 @@ from occrisk.functions import ages, codes, rates, text
 from occrisk.operators import keyed, ranking, relations
 from occrisk.operators.expand import explode_codes
 from occrisk.operators.stored import shared_folder
-from occrisk.plans import export, loads, marts, quality
+from occrisk.plans import export, loads, marts, quality, versions
 from occrisk.plans.layers import Layer
 from occrisk.plans.marts import MARTS
 from occrisk.plans.staging import STAGING, age_dates, staging_layer, with_age
@@ -444,10 +444,22 @@ def table_replacement(raw: Layer, stg: Layer) -> DataFrame:
     target = f"{shared_folder(raw['dim_cnae'].sparkSession)}/replaced-{uuid.uuid4().hex}"
     loads.replace_table(raw["rais_vinculos"], target, "ano")
     loads.replace_table(raw["rais_vinculos"].filter("ano >= 1994"), target, "ano")
-    stored = raw["dim_cnae"].sparkSession.read.parquet(target)
+    stored = versions.read(raw["dim_cnae"].sparkSession, target)
     return stored.groupBy("ano").agg(F.count(F.lit(1)).alias("linhas"), F.sum("quantidade_vinculos").alias("vinculos"))
 
 
+@_register
+def snapshot_replacement(raw: Layer, stg: Layer) -> DataFrame:
+    """The replaced years once more, read back from the table's newest snapshot."""
+    old, fresh = _evolved(raw), raw["fact_sim"].filter("ano <> 1996").withColumn("total_obitos", F.col("total_obitos") * 2)
+    spark = old.sparkSession
+    target = f"{shared_folder(spark)}/snapshots-{uuid.uuid4().hex}"
+    loads.replace_table(old, target, "ano")
+    loads.reload_pending_years(spark, target, fresh, 1994, 2003)
+    filled = [F.count(c).alias(c) for c in (*loads.LATER_COLUMNS, "linha_ii")]
+    return versions.read(spark, target).groupBy("ano").agg(F.count(F.lit(1)).alias("linhas"), F.sum("total_obitos").alias("obitos"), *filled)
+
+
 # --- documented reports ----------------------------------------------------------
 
 @_register

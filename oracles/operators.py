@@ -172,6 +172,10 @@ from load_events group by id, file_name""",
     "year_replacement": f"""
 select ano, count(*) as linhas, cast(sum(case when ano in (1995, 1997) then 2 else 1 end * total_obitos) as bigint) as obitos,
   {', '.join(f"count(case when ano in (1995, 1997) or ano >= 1998 then {c} end) as {c}" for c in ('linha_a', 'linha_b', 'linha_c', 'linha_d'))}, count(linha_ii) as linha_ii
+from fact_sim group by ano""",
+    "snapshot_replacement": f"""
+select ano, count(*) as linhas, cast(sum(if(ano = 1995 or ano = 1997, 2 * total_obitos, total_obitos)) as bigint) as obitos,
+  {', '.join(f"count(if(ano = 1996 or ano < 1995, null, {c})) as {c}" for c in ('linha_a', 'linha_b', 'linha_c', 'linha_d'))}, count(linha_ii) as linha_ii
 from fact_sim group by ano""",
     "schema_evolution": f"""
 select ano, count(*) as linhas, count({_LINES.format(c='linha_a')}) as linha_a, count({_LINES.format(c='linha_b')}) as linha_b,
