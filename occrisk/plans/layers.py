@@ -25,6 +25,14 @@ class Layer:
             self._built[name] = self._build(name)
         return self._built[name]
 
+    def __contains__(self, name: str) -> bool:
+        """Whether the relation has been put or built already."""
+        return name in self._built
+
+    def put(self, name: str, df: DataFrame) -> None:
+        """Hand out ``df`` under a name of its own from now on."""
+        self._built[name] = df
+
     @classmethod
     def of_parquet(cls, spark: SparkSession, root: str) -> Layer:
         """Layer materialised as ``root/<name>``: Parquet folders, or newest snapshots of years."""

@@ -22,6 +22,9 @@ from occrisk.operators.stored import stored
 from occrisk.plans.layers import Layer
 from occrisk.plans.staging import classify_codes, death_lines
 
+# Names of relations that a build stores once and several marts read.
+SHARED_BONDS, SHARED_DOMINANT = "shared_bonds", "shared_dominant_"
+
 TOP_OCCUPATIONS = 10
 TOP_DIAGNOSES = 5
 
@@ -62,15 +65,30 @@ def _with_diagnosis(df: DataFrame, stg: Layer, code: str | Column, out: str) ->
 
 def dominant_class(stg: Layer, mode: str = "max_row") -> DataFrame:
     """Occupation -> activity class that employs it most."""
-    return keyed.dominant_key(stg["stg_fact_rais"], "cbo_codigo", "cnae_classe", "quantidade_vinculos", mode)
+    if f"{SHARED_DOMINANT}{mode}" in stg:
+        return stg[f"{SHARED_DOMINANT}{mode}"]
+    weight = "maior_linha" if mode == "max_row" and SHARED_BONDS in stg else "quantidade_vinculos"
+    return keyed.dominant_key(bonds(stg), "cbo_codigo", "cnae_classe", weight, mode)
 
 
 def _attributed(df: DataFrame, stg: Layer, mode: str = "max_row") -> DataFrame:
     return keyed.attribute(df, dominant_class(stg, mode), "cbo_codigo", "cnae_classe")
 
 
+def bonds(stg: Layer) -> DataFrame:
+    """Bonds by class, occupation and year (columns of the fact), reduced where a build has stored that."""
+    return stg[SHARED_BONDS] if SHARED_BONDS in stg else stg["stg_fact_rais"]
+
+
+def shared_bonds(stg: Layer) -> DataFrame:
+    """The reduced relation that all marts on bonds start from; ``maior_linha`` is the largest single row."""
+    return stg["stg_fact_rais"].groupBy("cnae_classe", "cbo_codigo", "ano").agg(
+        F.sum("quantidade_vinculos").alias("quantidade_vinculos"), F.max("quantidade_vinculos").alias("maior_linha")
+    )
+
+
 def bonds_by_class(stg: Layer) -> DataFrame:
-    return stg["stg_fact_rais"].groupBy("cnae_classe").agg(F.sum("quantidade_vinculos").alias("total_vinculos"))
+    return bonds(stg).groupBy("cnae_classe").agg(F.sum("quantidade_vinculos").alias("total_vinculos"))
 
 
 def common_years(stg: Layer) -> Column:
@@ -79,7 +97,7 @@ def common_years(stg: Layer) -> Column:
     Scalar subqueries over the year column alone; as a filter on a fact stored
     by year they prune its partitions at run time.
     """
-    return F.col("ano").between(*relations.year_intersection(stg["stg_fact_cat"], stg["stg_fact_rais"]))
+    return F.col("ano").between(*relations.year_intersection(stg["stg_fact_cat"], bonds(stg)))
 
 
 def _at_work() -> Column:
@@ -213,7 +231,7 @@ def perfil_risco_cnae(stg: Layer) -> DataFrame:
         [F.desc(diagnosed), F.desc("acidentes_cid"), F.asc("cid_10")], TOP_DIAGNOSES, "rank_cid",
     ).filter(diagnosed)
     exposure = (
-        stg["stg_fact_rais"].groupBy("cnae_classe", "cbo_codigo").agg(F.sum("quantidade_vinculos").alias("_v"))
+        bonds(stg).groupBy("cnae_classe", "cbo_codigo").agg(F.sum("quantidade_vinculos").alias("_v"))
     )
     rows = leaves.join(heads, ["cnae_cod_4", "cbo_codigo"], "inner")
     rows = rows.join(_graded(_with_prefix(_classes(stg)), stg), "cnae_cod_4", "inner")
@@ -269,7 +287,7 @@ def top_cbo_por_cnae(stg: Layer) -> DataFrame:
     The share refers to the whole class, so class totals come from their own
     small aggregate instead of a window that would gather a hot class.
     """
-    pairs = stg["stg_fact_rais"].filter(F.col("cbo_codigo").isNotNull()).groupBy("cnae_classe", "cbo_codigo").agg(
+    pairs = bonds(stg).filter(F.col("cbo_codigo").isNotNull()).groupBy("cnae_classe", "cbo_codigo").agg(
         F.sum("quantidade_vinculos").alias("total_vinculos"),
         F.min("ano").alias("ano_inicio"),
         F.max("ano").alias("ano_fim"),
@@ -358,11 +376,11 @@ def mortalidade_por_cnae(stg: Layer) -> DataFrame:
         )
     )
     # one reduced relation of the bonds gives both the dominant class and the exposure
-    bonds = stored(
-        stg["stg_fact_rais"].groupBy("cbo_codigo", "cnae_classe").agg(F.sum("quantidade_vinculos").alias("vinculos")), "bonds"
+    reduced = stored(
+        bonds(stg).groupBy("cbo_codigo", "cnae_classe").agg(F.sum("quantidade_vinculos").alias("vinculos")), "bonds"
     )
-    dominant = keyed.dominant_key(bonds, "cbo_codigo", "cnae_classe", "vinculos", "sum")
-    exposure = bonds.groupBy("cnae_classe").agg(F.sum("vinculos").alias("total_vinculos"))
+    dominant = keyed.dominant_key(reduced, "cbo_codigo", "cnae_classe", "vinculos", "sum")
+    exposure = reduced.groupBy("cnae_classe").agg(F.sum("vinculos").alias("total_vinculos"))
     rows = _graded(keyed.attribute(counted, dominant, "cbo_codigo", "cnae_classe"), stg)
     rows = rows.join(_classes(stg), "cnae_classe", "inner").join(exposure, "cnae_classe", "left")
     return rows.select(
@@ -466,7 +484,7 @@ def score_risco_cnae(stg: Layer) -> DataFrame:
     Accidents and bonds are restricted to the years that both sources cover.
     Rates are rounded to parts per million before they meet the limits.
     """
-    first, last = relations.year_intersection(stg["stg_fact_cat"], stg["stg_fact_rais"])
+    first, last = relations.year_intersection(stg["stg_fact_cat"], bonds(stg))
     in_window = F.col("ano").between(first, last)
     died = F.col("obito")
     accidents = (
@@ -482,7 +500,7 @@ def score_risco_cnae(stg: Layer) -> DataFrame:
         .filter(F.col("acidentes_trabalho") > 0)
     )
     exposure = (
-        stg["stg_fact_rais"].filter(in_window)
+        bonds(stg).filter(in_window)
         .groupBy(_prefix().alias("cnae_cod_4"))
         .agg(F.sum("quantidade_vinculos").alias("total_vinculos"))
     )
