@@ -22,6 +22,7 @@ from occrisk.plans import export, loads, quality, versions, warehouse
 from occrisk.plans.layers import Layer
 from occrisk.sources import catalogue, dictionaries, landing, microdata, notices
 from occrisk.streaming.landing import checkpoint_dir, land_new_files
+from occrisk.streaming.ledger import STUCK, known_outcomes, watch_ledger
 
 # Folders below the microdata source.
 MICRODATA = {
@@ -130,7 +131,7 @@ def clean(spark: SparkSession, root: str) -> dict[str, list[str]]:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("job", choices=["ingest", "land-new", "build", "check", "export", "reload-deaths", "clean"])
+    parser.add_argument("job", choices=["ingest", "land-new", "build", "check", "export", "reload-deaths", "clean", "watch-ledger"])
     parser.add_argument("--root", required=True)
     parser.add_argument("--source", help="folder of Parquet microdata tables")
     parser.add_argument("--files", help="folder of landed files")
@@ -157,6 +158,10 @@ def run(spark: SparkSession, args: argparse.Namespace, config: LoadConfig) -> in
         totals = quality.summary(results).first()
         print(f"PASS={totals['pass']} WARN={totals['warn']} ERROR={totals['error']}")
         return 1 if totals["error"] else 0
+    elif args.job == "watch-ledger":
+        outcomes = f"{args.root}/outcomes"
+        watch_ledger(spark, f"{args.root}/ledger", outcomes, checkpoint_dir(spark, "ledger", f"{args.root}/checkpoints"))
+        known_outcomes(spark, outcomes).filter(F.col("status") == STUCK).show(truncate=False)
     elif args.job == "clean":
         for folder, gone in clean(spark, args.root).items():
             print(folder, len(gone))

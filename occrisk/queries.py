@@ -23,6 +23,7 @@ from occrisk.plans.marts import MARTS
 from occrisk.plans.staging import STAGING, age_dates, staging_layer, with_age
 from occrisk.sources import catalogue, dictionaries, landing, notices, profile, records
 from occrisk.sources.adapter import raw_layer
+from occrisk.streaming.ledger import known_outcomes, watch_ledger
 
 Query = Callable[[SparkSession, str], DataFrame]
 Plan = Callable[[Layer, Layer], DataFrame]
@@ -141,6 +142,17 @@ def ledger_states(raw: Layer, stg: Layer) -> DataFrame:
     return loads.ledger_state(events).select("id", "file_name", "checksum", "status")
 
 
+@_register
+def ledger_outcomes(raw: Layer, stg: Layer) -> DataFrame:
+    """Outcome of every load attempt as the stream over the ledger tells it; what ran on for half an hour is stuck."""
+    spark = raw["load_events"].sparkSession
+    folder = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    events = raw["load_events"].withColumn("checksum", loads.checksum(F.col("file_name")))
+    events.select([f.split()[0] for f in loads.LEDGER_SCHEMA.split(", ")]).write.parquet(f"{folder}/events")
+    watch_ledger(spark, f"{folder}/events", f"{folder}/outcomes", f"{folder}/checkpoint", 1800)
+    return known_outcomes(spark, f"{folder}/outcomes").select("id", "file_name", "status")
+
+
 def _evolved(raw: Layer) -> DataFrame:
     """Deaths stored before 1998 lack the certificate lines of Part I."""
     deaths = raw["fact_sim"]

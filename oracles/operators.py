@@ -169,6 +169,8 @@ where source_file not in (select file_name from load_events where status = 'succ
     "ledger_states": """
 select id, file_name, md5(file_name) as checksum, ifnull(max(status) filter (finished_at is not null), 'running') as status
 from load_events group by id, file_name""",
+    "ledger_outcomes": """
+select id, file_name, coalesce(min(status) filter (status <> 'running'), 'stuck') as status from load_events group by id, file_name""",
     "year_replacement": f"""
 select ano, count(*) as linhas, cast(sum(case when ano in (1995, 1997) then 2 else 1 end * total_obitos) as bigint) as obitos,
   {', '.join(f"count(case when ano in (1995, 1997) or ano >= 1998 then {c} end) as {c}" for c in ('linha_a', 'linha_b', 'linha_c', 'linha_d'))}, count(linha_ii) as linha_ii
