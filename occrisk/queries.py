@@ -445,9 +445,12 @@ def csv_export(raw: Layer, stg: Layer) -> DataFrame:
     spark = mart.sparkSession
     folder = f"{shared_folder(spark)}/export-{uuid.uuid4().hex}"
     export.export_csv("mart_risco_teorico_vs_observado", mart, folder)
-    # every cell of this mart that is empty is NULL
-    read = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(folder)
-    return read.select(*[F.col(f.name).cast(f.dataType) for f in mart.schema])
+    # every cell of this mart that is empty is NULL; parts of a folder have one header in all
+    cells = ", ".join(f"{c} string" for c in mart.columns)
+    read = spark.read.schema(cells).option("recursiveFileLookup", "true").option("multiLine", "true").option("escape", '"').csv(folder)
+    first = mart.columns[0]
+    rows = read.filter(~F.col(first).isin(first, export.BYTE_ORDER_MARK + first))
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in mart.schema])
 
 
 @_register
