@@ -40,5 +40,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         before, mark = mark, _mark(edges)
         if mark == before:
             break
+    else:
+        raise RuntimeError(f"components are not found after {rounds} rounds")
     roots = edges.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)

@@ -43,7 +43,7 @@ LENGTH, GRAM = 400, 64
 PASSAGE, PASSAGE_GRAM = 200, 48
 BLOCK = 16
 BATCHES = 4
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 KEY = ["_id", "_h"]
 _KEY_SCHEMA = "_id bigint, _h bigint"
@@ -97,8 +97,7 @@ class Chunk:
 
 
 def _encoded(batch: pa.RecordBatch) -> list[bytes]:
-    column = batch.column(batch.schema.get_field_index("_text"))
-    return [t.encode("utf-8", "surrogatepass") for t in column.to_pylist()]
+    return batch.column(batch.schema.get_field_index("_text")).cast(pa.binary()).to_pylist()
 
 
 def _longs(values) -> pa.Array:
@@ -325,8 +324,9 @@ def _cutter(position: int, length: int):
             row, windows = batch.column(0), batch.column(1).to_pylist()
             columns = row.flatten()
             # bytes of a character that was cut through go with it
-            left = [t if w is None else cut(t.encode("utf-8", "surrogatepass"), w, length)[0].decode("utf-8", "ignore") for t, w in zip(columns[position].to_pylist(), windows)]
-            columns[position] = pa.array(left, pa.string())
+            texts = columns[position].cast(pa.binary()).to_pylist()
+            left = [t if w is None else cut(t, w, length)[0].decode("utf-8", "ignore").encode() for t, w in zip(texts, windows)]
+            columns[position] = pa.array(left, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in row.type])
 
     return apply
