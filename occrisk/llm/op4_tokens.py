@@ -22,6 +22,7 @@ import struct
 import unicodedata
 import uuid
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,7 +37,6 @@ END_ID = 1
 SHARD_IDS = 1 << 20
 MIN_COUNT = 64
 RULES_PER_ROUND = 1024
-MAX_ROUNDS = 5
 CACHED_WORDS = 600_000
 
 _MAGIC = b"RPG1"
@@ -74,18 +74,20 @@ class WordEncoder:
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _merged(self, spelled: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
     def word(self, word: bytes) -> bytes:
+        if word.isalpha() and word.islower():  # of bytes: ASCII letters only
+            return self._merged(word.decode())
         text = word.decode("utf-8")
         core = text.rstrip(".,")
         plain = unicodedata.normalize("NFC", core).lower()
         if plain.isalpha() and max(map(ord, plain)) < 0x250 and "İ" not in core:
             if plain != text:  # its letters in lower case, then its stops
                 return self[plain.encode()] + (self[text[len(core) :].encode()] if len(core) < len(text) else b"")
-            spelled = plain if plain.isascii() else plain.encode().decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.model.tokenize(spelled)]
-        else:
-            ids = self._whole(text)
-        return np.array(ids, "<u4").tobytes()
+            return self._merged(plain if plain.isascii() else plain.encode().decode("latin-1").translate(self.letters))
+        return array("I", self._whole(text)).tobytes()
 
     def __getitem__(self, word: bytes) -> bytes:
         found = self.known.get(word)
@@ -97,11 +99,11 @@ class WordEncoder:
 
     def ids(self, text: str | None) -> np.ndarray:
         words = (text or "").encode("utf-8", "surrogatepass").split()
-        known = self.known.get
-        parts = list(map(known, words))
-        if None in parts:
-            parts = [part if part is not None else self[word] for word, part in zip(words, parts)]
-        return np.frombuffer(b"".join(parts), "<u4")
+        try:
+            parts = list(map(self.known.__getitem__, words))
+        except KeyError:
+            parts = [self[word] for word in words]
+        return np.frombuffer(b"".join(parts), "=u4")
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -160,14 +162,17 @@ def _replace(symbols: np.ndarray, pairs: np.ndarray, first: int, barrier: int) -
 
 def compress(ids: np.ndarray, barrier_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(terminal ids, rules, symbols): symbols below len(terminals) are terminals, the others rules in order."""
-    terminals, symbols = np.unique(ids, return_inverse=True)
-    symbols = symbols.astype(np.uint32).ravel()
+    # ids are places in a vocabulary: a table of it tells which occur, without a sort
+    used = np.zeros(int(ids.max(initial=0)) + 1, bool)
+    used[ids] = True
+    terminals = np.flatnonzero(used)
+    names = np.zeros(used.size, np.uint32)
+    names[terminals] = np.arange(terminals.size, dtype=np.uint32)
+    symbols = names[ids]
     place = int(np.searchsorted(terminals, barrier_id))
     barrier = place if place < terminals.size and terminals[place] == barrier_id else (1 << 32) - 1
     rules, n = [], terminals.size
-    for _ in range(MAX_ROUNDS):
-        if symbols.size < 2:
-            break
+    while symbols.size > 1:
         pairs = _frequent_pairs(symbols, barrier, n)
         if not pairs.size:
             break
@@ -318,12 +323,13 @@ def _reader(offsets: dict[int, int]) -> Callable[[Iterator[pd.DataFrame]], Itera
             for part, first, blob in zip(batch["part"], batch["first_start"], batch["blob"]):
                 shard = ShardReader(blob)
                 begin = offsets[int(part)] + int(first)
+                whole = shard.ids(0, int(shard.starts[-1])).astype("<u4")  # expanded once, as all documents are wanted
                 yield pd.DataFrame(
                     {
                         "doc_id": pd.array(shard.doc_ids, dtype="Int64"),
                         "start": begin + shard.starts[:-1],
                         "n_tokens": shard.sizes,
-                        "ids_crc32": [zlib.crc32(shard.document(n).astype("<u4").tobytes()) for n in range(len(shard.doc_ids))],
+                        "ids_crc32": [zlib.crc32(whole[a:b].tobytes()) for a, b in zip(shard.starts[:-1], shard.starts[1:])],
                     }
                 )
 
