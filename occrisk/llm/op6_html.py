@@ -1,8 +1,9 @@
 """Main text of web pages; what a site repeats over its pages is found by Spark and removed.
 
-1. Each page is parsed once, to its outline: its text in page order and where the
+1. Each page is parsed to its outline: its text in page order and where the
    elements begin and end that may prove to be template, with a hash of each one's
-   subtree.  What the page would read with all of them is its content.
+   subtree.  What the page would read with all of them is its content.  Only hashes
+   are kept; a page is parsed again when its text is made.
 2. Spark counts, per host and subtree, the different contents among the pages that
    hold it; copies of a page count once.  A subtree is template
    * on MIN_PAGES contents: boxes, lists and tables outside the prose of an article;
@@ -12,7 +13,8 @@
      lists and tables of an article, so that a sentence that half the articles
      have stays, and a notice that nearly all have goes.
 3. Template subtrees are left out of the outlines, as are elements whose tag, role,
-   class or id names them as menus, notices, adverts, comments, ...
+   class or id names them as menus, notices, adverts, comments, ...; inside an
+   article such a class or id must be the word itself ("notice", not "notice-text").
 
 A page meets its own subtrees' counts by (host, subtree); no list of a host's
 templates is held anywhere.  A subtree with more than one in PIECES of all pages
@@ -30,9 +32,7 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
-import json
 import re
-import zlib
 from collections.abc import Iterator
 from hashlib import blake2b
 from html import unescape
@@ -77,14 +77,19 @@ _CAMEL = re.compile(r"([a-z])([A-Z])")
 
 
 class Node:
-    __slots__ = ("tag", "drop", "parts")
+    __slots__ = ("tag", "drop", "parts", "inside", "above")
 
-    def __init__(self, tag: str, drop: bool = False):
-        self.tag, self.drop, self.parts = tag, drop, []
+    def __init__(self, tag: str, drop: bool = False, above: Node | None = None):
+        self.tag, self.drop, self.parts, self.above = tag, drop, [], above
+        # whether it is, or stands in, an article or main element
+        self.inside = tag in ("article", "main") or (above is not None and above.inside)
 
 
-def _named_out(tag: str, attributes: str) -> bool:
-    """Whether the element's attributes name it as something that is not the main text."""
+def _named_out(tag: str, attributes: str, inside: bool) -> bool:
+    """Whether the element's attributes name it as something that is not the main text.
+
+    Inside an article a class or id must be such a word; elsewhere it may hold one.
+    """
     if tag in ("html", "body", "main", "article") and "comment" not in attributes.lower():
         return False
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
@@ -95,8 +100,10 @@ def _named_out(tag: str, attributes: str) -> bool:
             return True
         if name == "role" and value.lower() in DROPPED_ROLES:
             return True
-        if name in ("class", "id") and not DROPPED_WORDS.isdisjoint(_WORDS.findall(_CAMEL.sub(r"\1 \2", value).lower())):
-            return True
+        if name in ("class", "id"):
+            words = value.lower().split() if inside else _WORDS.findall(_CAMEL.sub(r"\1 \2", value).lower())
+            if not DROPPED_WORDS.isdisjoint(words):
+                return True
     return False
 
 
@@ -148,7 +155,9 @@ def parse(html: str) -> Node:
             _close(stack, {"p"}, {"td", "th", "table", "button", "object", "caption"} | (BLOCKS - {"p"}))
         if tag in _ENDS:
             _close(stack, *_ENDS[tag])
-        node = Node(tag, tag in DROPPED or (bool(found[3]) and _named_out(tag, found[3])))
+        inside = stack[-1].inside
+        dropped = tag in DROPPED and not (inside and tag == "label")
+        node = Node(tag, dropped or (bool(found[3]) and _named_out(tag, found[3], inside)), stack[-1])
         stack[-1].parts.append(node)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(html, at)
@@ -177,6 +186,14 @@ def _region(root: Node) -> list[Node]:
     return articles or mains or [root]
 
 
+def _is_site_header(node: Node) -> bool:
+    """A header, unless it opens a box that has paragraphs of its own."""
+    above = node.above
+    if above is None or above.tag in ("#root", "html", "body"):
+        return True
+    return not any(isinstance(p, Node) and p.tag == "p" for p in above.parts)
+
+
 def subtree_hashes(root: Node) -> dict[int, int]:
     """Hash of every element with text, by identity: its tag and, in order, the words and subtrees in it."""
     out: dict[int, int] = {}
@@ -239,27 +256,40 @@ def outline(html: str) -> tuple[set[int], list[int], list[str]]:
     in_article = region[0].tag in ("article", "main")
     own: list[int] = []
     out: list[str] = []
+
+    def end_block() -> None:
+        if not out or out[-1] != "f":
+            out.append("f")
+
+    def add_text(text: str) -> None:
+        """White space is one space here already, and none where a block begins."""
+        words = " ".join(text.split())
+        if words:
+            out.append(f"t{' ' * text[0].isspace()}{words}{' ' * text[-1].isspace()}")
+        elif text and out and out[-1] != "f":
+            out.append("t ")
+
     todo: list = list(reversed(region))
     while todo:
         node = todo.pop()
         if node is None:
-            out.append("f")
+            end_block()
         elif node is Node:
             out.append(">")
         elif isinstance(node, str):
-            out.append("t" + plain(node))
+            add_text(plain(node))
         elif node.tag == "br":
-            out.append("t ")
-        elif node.drop or (not in_article and node.tag in DROPPED_OUTSIDE):
+            add_text(" ")
+        elif node.drop or (not in_article and node.tag in DROPPED_OUTSIDE and _is_site_header(node)):
             if node.tag in BLOCKS:
-                out.append("f")
+                end_block()
         else:
             if id(node) in kinds and id(node) in hashes:
                 out.append(f"<{kinds[id(node)]}{len(own)}")
                 own.append(hashes[id(node)])
                 todo.append(Node)
             if node.tag in BLOCKS:
-                out.append("f")
+                end_block()
                 todo.append(None)
             todo += reversed(node.parts)
     return {hashes[n] for n in kinds if n in hashes}, own, out
@@ -310,31 +340,30 @@ def main_text(html: str, templates: frozenset[int] = frozenset()) -> str:
 # ---------------------------------------------------------------- Spark
 
 
-OUTLINE = "page_id bigint, url string, host string, content bigint, subtrees array<bigint>, own array<bigint>, pieces binary"
+OUTLINE = "host string, page bigint, content bigint, subtrees array<bigint>, own array<bigint>"
 
 
 def _outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        contents, subtrees, owns, texts = [], [], [], []
-        for html in batch.column(3).to_pylist():
+        contents, subtrees, owns = [], [], []
+        for html in batch.column(2).to_pylist():
             found, own, pieces = outline(html or "")
             content = rendered(own, pieces, {}).encode("utf-8", "surrogatepass")
             contents.append(int.from_bytes(blake2b(content, digest_size=8).digest(), "little", signed=True))
             subtrees.append(sorted(found))
-            owns.append(own)
-            texts.append(zlib.compress(json.dumps(pieces).encode(), 1))
+            owns.append(sorted(set(own)))
         lists = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), batch.column(2), pa.array(contents, pa.int64()), pa.array(subtrees, lists), pa.array(owns, lists), pa.array(texts, pa.binary())],
-            names=["page_id", "url", "host", "content", "subtrees", "own", "pieces"],
+            [batch.column(0), batch.column(1), pa.array(contents, pa.int64()), pa.array(subtrees, lists), pa.array(owns, lists)], names=["host", "page", "content", "subtrees", "own"]
         )
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
-        for own, pieces, marks in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
-            texts.append(rendered(own, json.loads(zlib.decompress(pieces)), {m["subtree"]: m["level"] for m in marks or ()}))
+        for html, marks in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            _, own, pieces = outline(html or "")
+            texts.append(rendered(own, pieces, {m["subtree"]: m["level"] for m in marks or ()}))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"]
         )
@@ -349,9 +378,8 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 def subtree_levels(outlines: DataFrame, total: int) -> DataFrame:
     """(host, subtree, rows, level): template subtrees with the highest kind they are template for, and, without a level, other frequent ones."""
-    sited = outlines.where("host is not null")
-    contents = sited.groupBy("host", "content").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("contents"))
-    each = sited.select("host", "content", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree", "content").agg(F.count("*").alias("rows"))
+    contents = outlines.groupBy("host", "content").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("contents"))
+    each = outlines.select("host", "content", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree", "content").agg(F.count("*").alias("rows"))
     counts = each.groupBy("host", "subtree").agg(F.count("*").alias("n"), F.sum("rows").alias("rows"))
     counts = counts.where((F.col("n") >= MIN_PAGES) | (F.col("rows") * PIECES > total)).join(contents, "host")
     level = F.when(F.col("n") > PROSE_SHARE * F.col("contents"), 2).when(F.col("n") >= MIN_SHARE * F.col("contents"), 1).otherwise(0)
@@ -359,21 +387,25 @@ def subtree_levels(outlines: DataFrame, total: int) -> DataFrame:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars) for every page."""
+    """(page_id, url, text, n_chars) for every page.
+
+    Equal pages of a host have equal subtrees and so the same marks; they meet by
+    host and a hash of the page.
+    """
     shipped(pages.sparkSession)
-    outlines = with_host(pages).mapInArrow(_outlines, OUTLINE).withColumn("row", F.monotonically_increasing_id())
-    outlines = stored(outlines, "outlines")  # keeps the row numbers, too
+    hosted = with_host(pages).withColumn("page", F.xxhash64("html"))
+    outlines = stored(hosted.where("host is not null").select("host", "page", "html").mapInArrow(_outlines, OUTLINE), "outlines")
     total = outlines.count()
     levels = stored(subtree_levels(outlines, total), "subtrees")
     number = F.ceil(F.col("rows") * PIECES / F.lit(max(1, total)))
-    frequent = F.broadcast(levels.where(F.col("rows") * PIECES > total).select("host", "subtree", number.alias("pieces")))
-    held = outlines.where("host is not null").select("row", "host", F.explode(F.array_distinct("own")).alias("subtree"))
-    held = held.join(frequent, ["host", "subtree"], "left").withColumn("piece", F.pmod(F.xxhash64("row"), F.coalesce("pieces", F.lit(1).cast("long")))).drop("pieces")
+    frequent = levels.where(F.col("rows") * PIECES > total).select("host", "subtree", number.alias("pieces"))
+    held = outlines.select("host", "page", F.explode("own").alias("subtree")).distinct()
+    held = held.join(frequent, ["host", "subtree"], "left").withColumn("piece", F.pmod(F.xxhash64("page"), F.coalesce("pieces", F.lit(1).cast("long")))).drop("pieces")
     listed = levels.where("level is not null").withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(number, F.lit(1)) - 1)))
     marks = held.join(listed.select("host", "subtree", "piece", "level"), ["host", "subtree", "piece"])
-    marks = marks.groupBy("row").agg(F.collect_list(F.struct("subtree", "level")).alias("marks"))  # at most a page's own
-    rows = outlines.select("row", "page_id", "url", "own", "pieces").join(marks, "row", "left")
-    return rows.select("page_id", "url", "own", "pieces", "marks").mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
+    marks = marks.groupBy("host", "page").agg(F.collect_list(F.struct("subtree", "level")).alias("marks"))  # at most a page's own
+    rows = hosted.join(marks, ["host", "page"], "left")
+    return rows.select("page_id", "url", "html", "marks").mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

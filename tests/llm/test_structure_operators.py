@@ -42,6 +42,12 @@ PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style></head><b
         ("<article><header><h1>Title</h1></header><ul><li>one<li>two <i>too</i></ul><div class='ad'>Buy</div><table><tr><td>1<td>2</table></article>", "Title\none\ntwo too\n1\n2"),
         ("<div><p>plain&nbsp;page &lt;b&gt; &#8364;</p>tail</div>", "plain page <b> €\ntail"),
         ("<article><p>open <b>bold<p>next</b> end", "open bold\nnext end"),
+        (
+            "<article><h1>T</h1><div class='share-price'>Ten</div><p class='notice-text'>Eleven</p><div id='comment-free'>Twelve</div><p><label>Thirteen</label></p>"
+            "<div class='notice'>no</div><div class='x share'>no</div><form><label>no</label></form></article>",
+            "T\nTen\nEleven\nTwelve\nThirteen",
+        ),
+        ("<div><header><h1>Title</h1></header><p>text</p></div><div><header>Site</header></div>", "Title\ntext"),
         ("<div hidden><p>no</p></div><p style='display: none'>no</p><p title='a > b'>yes</p>", "yes"),
         ("", ""),
     ],
