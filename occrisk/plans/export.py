@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from occrisk.operators.stored import stored
+from occrisk.session import shipped
 from occrisk.sources.one_file import mounted_path, write_one_file
 
 BYTE_ORDER_MARK = "\ufeff"
@@ -86,6 +87,7 @@ def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def rendered(df: DataFrame) -> DataFrame:
     """Pieces of CSV text (part, piece, text) in the order of the rows."""
+    shipped(df.sparkSession)
     return df.mapInArrow(_render, "part int, piece int, text string")
 
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 # Every entry is a Spark setting; a cluster's own values win where they are set.
@@ -23,6 +28,22 @@ RECOMMENDED = {
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Give Python tasks this package, once per application, unless it came as an archive (--py-files) already."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parent
+    if context.applicationId not in _SHIPPED and package.is_dir():
+        archive = os.path.join(tempfile.mkdtemp(prefix="code-"), f"{package.name}-tasks.zip")
+        with zipfile.ZipFile(archive, "w") as files:
+            for file in sorted(package.rglob("*.py")):
+                files.write(file, file.relative_to(package.parent))
+        context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def local_session(cores: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
     """Single-machine session for tests and the benchmark."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("occrisk")

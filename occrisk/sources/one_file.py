@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from occrisk.session import shipped
+
 
 def mounted_path(path: str) -> str | None:
     """Path for the operating system, or None for a store that only Spark reaches."""
@@ -73,7 +75,7 @@ class OneFile(DataSource):
 
 def write_one_file(placed: DataFrame, head: bytes, size: int, target: str) -> None:
     """Write rows (offset, data) behind ``head`` into one file of ``size`` bytes, replacing it as a whole."""
-    spark = placed.sparkSession
+    spark = shipped(placed.sparkSession)
     spark.dataSource.register(OneFile)
     os.makedirs(os.path.dirname(target), exist_ok=True)
     work = f"{target}.{uuid.uuid4().hex}.part"

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from occrisk.plans.loads import LEDGER_SCHEMA, RUNNING
+from occrisk.session import shipped
 
 STUCK = "stuck"
 OUTCOME = "id string, table_name string, file_name string, status string, started_at timestamp, finished_at timestamp"
@@ -83,6 +84,7 @@ def watch_ledger(spark: SparkSession, ledger: str, target: str, checkpoint: str,
     def store(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
+    shipped(spark)
     events = spark.readStream.schema(LEDGER_SCHEMA).parquet(ledger)
     query = outcomes(events, patience_seconds).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
