@@ -1,16 +1,19 @@
 """License scan: exact set-similarity join between notice templates and text blocks.
 
-A block is a line of a document, or what stands around a line end: a set of words.
-Around a line end are up to twice as many words and further line ends to each side
-as the longest template has words, so a notice may be wrapped at any of its words.
-Only texts that hold a prefix word (below) are looked at that way.  What matches
-around a line end counts where no line it touches matches the same template by
-itself, and matches at adjacent line ends are one block.  A block matches a template when at least THRESHOLD of the template's distinct words stand in it.  Template
-words are ordered by their frequency over all blocks, rarest first.  A match
-must then share one of the first |T| - need + 1 template words (prefix filter),
-hold at least `need` template words (length filter), and have enough words
-left after the first shared one on both sides (positional filter).  Pairs that
-survive are verified exactly; no match is lost.
+A block, for a template, is a stretch of at most STRETCH times as many words as the
+template has, wherever its lines end, so a notice may be wrapped at any word and
+words far apart make no match.  It matches when at least THRESHOLD of the
+template's distinct words stand in it.
+
+1. Every text is split once, to the distinct template words it holds.
+2. Template words are ordered by the number of texts that hold them, rarest first.
+   A text can only hold a matching block if it holds one of the first
+   |T| - need + 1 template words (prefix filter), `need` template words in all
+   (length filter), and enough of them after the first shared one on both sides
+   (positional filter).
+3. The texts that stay give the places of their template words.  Around each
+   place the distinct words of its stretch are counted, which verifies a pair
+   exactly; no match is lost.  Blocks are counted from the left, none over another.
 
 Defined results: a NULL or empty text has no words and no labels; rows with a
 NULL or repeated doc_id are judged by their own text; an empty table gives no
@@ -21,12 +24,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from occrisk.llm.common import table
+from occrisk.llm.common import stored, table
 
 THRESHOLD = 0.85
+STRETCH = 1.5
 
 # Phrases and labels of the contract.
 PHRASES = (
@@ -51,7 +55,6 @@ TEMPLATES = (
 )
 
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_GAP_IN_LINE = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+"
 # On text whose capitals are kept, capitals belong to words.
 _WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -104,21 +107,26 @@ def _vocabulary(templates) -> list[str]:
     return sorted({w for _, words in templates for w in words.split()})
 
 
-def blocks(docs: DataFrame, templates=TEMPLATES, text: str = "text") -> DataFrame:
-    """Distinct template words of every line: (_md5, block, hits)."""
+def template_words(docs: DataFrame, templates=TEMPLATES, text: str = "text") -> DataFrame:
+    """(_md5, hits): the distinct template words of every text that has any."""
     vocabulary = F.array(*map(F.lit, _vocabulary(templates)))
-    whole = F.coalesce(F.col(text), F.lit(""))
-    # The sets are made before the lines become rows, so that no filter computes them again.
-    sets = F.transform(F.split(lowered(F.col(text)), "\n", -1), lambda line: F.array_intersect(F.split(line, _GAP, -1), vocabulary))
-    lines = docs.select(F.md5(F.encode(whole, "UTF-8")).alias("_md5"), F.posexplode(sets).alias("block", "hits"))
-    return lines.where(F.size("hits") > 0)
+    rows = docs.select(_key(text), F.array_intersect(F.split(lowered(F.col(text)), _GAP, -1), vocabulary).alias("hits"))
+    return rows.where(F.size("hits") > 0)
+
+
+def _key(text: str) -> Column:
+    return F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")).alias("_md5")
 
 
 def word_frequency(found: DataFrame) -> dict[str, int]:
-    """Blocks that hold each template word; as many rows as the template list has words."""
+    """Texts that hold each template word; as many rows as the template list has words."""
     return {r["w"]: r["n"] for r in found.select(F.explode("hits").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
 
 
+def stretch_of(words: str) -> int:
+    return math.ceil(STRETCH * len(words.split()))
+
+
 def prefix_index(spark: SparkSession, templates, frequency: dict[str, int], threshold: float) -> tuple[DataFrame, dict[str, int]]:
     """One row per template and prefix word, and the global order of the words."""
     order = {w: n for n, w in enumerate(sorted(_vocabulary(templates), key=lambda w: (frequency.get(w, 0), w)))}
@@ -127,82 +135,70 @@ def prefix_index(spark: SparkSession, templates, frequency: dict[str, int], thre
         tokens = sorted(set(words.split()), key=order.get)
         need = math.ceil(threshold * len(tokens) - 1e-9)
         for place, word in enumerate(tokens[: len(tokens) - need + 1]):
-            entries.append((word, place, label, tokens, len(tokens), need))
-    schema = "word string, t_place int, label string, tokens array<string>, t_size int, need int"
+            entries.append((word, place, label, tokens, len(tokens), need, stretch_of(words)))
+    schema = "word string, t_place int, label string, tokens array<string>, t_size int, need int, stretch int"
     return spark.createDataFrame(entries, schema), order
 
 
-def line_ends(docs: DataFrame, templates, prefix_words: list[str], text: str = "text") -> DataFrame:
-    """Distinct template words around every line end: (_md5, block, first, last, hits); `first` and `last` are the lines it touches."""
-    vocabulary = F.array(*map(F.lit, _vocabulary(templates)))
-    reach = 2 * max(len(words.split()) for _, words in templates)
-    edge = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
-    some = f"(?:^|{edge})(?:{'|'.join(sorted(prefix_words))})(?:$|{edge})"
-    rows = docs.select(F.md5(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")).alias("_md5"), lowered(F.col(text)).alias("_low"))
-    rows = rows.where(F.col("_low").contains("\n") & F.col("_low").rlike(some))
-    rows = rows.select("_md5", F.filter(F.split(F.replace("_low", F.lit("\n"), F.lit(" \n ")), _GAP_IN_LINE, -1), lambda w: w != "").alias("_w"))
-    rows = rows.select("_md5", "_w", F.filter(F.transform("_w", lambda w, i: F.when(w == "\n", i)), lambda i: i.isNotNull()).alias("_ends"))
-
-    def around(at: Column, block: Column) -> Column:
-        start = F.greatest(at + 1 - reach, F.lit(1))
-        before, after = F.slice("_w", start, at + 1 - start), F.slice("_w", at + 2, F.lit(reach))
-        first, last = (F.size(F.filter(side, lambda w: w == "\n")) for side in (before, after))
-        hits = F.array_intersect(F.concat(before, after), vocabulary)
-        return F.struct(block.alias("block"), (block - first).alias("first"), (block + 1 + last).alias("last"), hits.alias("hits"))
-
-    # The sets are made before the line ends become rows, so that no row holds its whole text.
-    return rows.select("_md5", F.transform("_ends", around).alias("_sets")).select("_md5", F.inline("_sets"))
-
-
-def _matched(found: DataFrame, templates, index: DataFrame, order: dict[str, int], threshold: float) -> DataFrame:
-    """`found` with label and containment instead of hits: prefix, length and positional filter, exact check."""
-    kept = [c for c in found.columns if c != "hits"]
+def candidates(found: DataFrame, templates, index: DataFrame, order: dict[str, int], threshold: float) -> DataFrame:
+    """(_md5, label) that prefix, length and positional filter leave."""
     ranked = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
     by_rank = F.transform(F.array_sort(F.transform("hits", lambda w: F.struct(ranked[w].alias("r"), w.alias("w")))), lambda x: x["w"])
     shortest = min(math.ceil(threshold * len(set(words.split())) - 1e-9) for _, words in templates)
-    sides = found.where(F.size("hits") >= shortest).select(*kept, by_rank.alias("hits"))
+    sides = found.where(F.size("hits") >= shortest).select("_md5", by_rank.alias("hits"))
     sides = sides.select("*", F.posexplode("hits").alias("b_place", "word"))
-    pairs = sides.join(F.broadcast(index), "word").where(
+    pairs = sides.join(index, "word").where(
         (F.size("hits") >= F.col("need"))
         & (1 + F.least(F.col("t_size") - F.col("t_place") - 1, F.size("hits") - F.col("b_place") - 1) >= F.col("need"))
         & ~F.arrays_overlap(F.slice("tokens", F.lit(1), F.col("t_place")), F.col("hits"))
     )
     common = F.size(F.array_intersect("tokens", "hits"))
-    return pairs.where(common >= F.col("need")).select(*kept, "label", (common / F.col("t_size")).alias("containment"))
+    return pairs.where(common >= F.col("need")).select("_md5", "label").distinct()
 
 
-def matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """Every (text, line, label, containment) at or above the threshold."""
-    found = blocks(docs, templates, text)
-    return _matched(found, templates, *prefix_index(docs.sparkSession, templates, word_frequency(found), threshold), threshold)
+def verified(places: DataFrame) -> DataFrame:
+    """Exact check of (_md5, label, tokens, t_size, need, stretch, places): containment and blocks of those that match.
 
+    `places` are the places of all templates' words in the text, ascending.
+    """
+    own = F.filter("places", lambda p: F.array_contains("tokens", p["w"]))
+    rows = places.withColumn("own", own)
 
-def all_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
-    """(_md5, label, containment, begins): matches of lines, and around line ends clear of those; `begins` is set once a block."""
-    found = blocks(docs, templates, text)
+    def held(p: Column, k: Column) -> Column:
+        near = F.filter(F.slice("own", k + 1, F.col("stretch")), lambda q: q["i"] < p["i"] + F.col("stretch"))
+        return F.struct(p["i"].alias("i"), F.size(F.array_distinct(F.transform(near, lambda q: q["w"]))).alias("n"))
+
+    hits = F.filter(F.transform("own", held), lambda h: h["n"] >= F.col("need"))
+    rows = rows.select("_md5", "label", "t_size", "stretch", hits.alias("hits")).where(F.size("hits") > 0)
+    none = F.struct(F.lit(0).alias("n"), F.lit(0).alias("next"))
+    apart = F.aggregate(
+        "hits", none, lambda a, h: F.when(h["i"] >= a["next"], F.struct((a["n"] + 1).alias("n"), (h["i"] + F.col("stretch")).alias("next"))).otherwise(a), lambda a: a["n"]
+    )
+    best = F.array_max(F.transform("hits", lambda h: h["n"])) / F.col("t_size")
+    return rows.select("_md5", "label", best.alias("containment"), apart.alias("blocks"))
+
+
+def matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """(_md5, label, containment, blocks) of every text and template with a block at or above the threshold."""
+    found = stored(template_words(docs, templates, text), "template-words")
     index, order = prefix_index(docs.sparkSession, templates, word_frequency(found), threshold)
-    prefix_words = {r["word"] for r in index.select("word").collect()}  # some of the templates' words
-    lines = _matched(found, templates, index, order, threshold).select("*", F.col("block").alias("first"), F.col("block").alias("last"), F.lit(True).alias("line"))
-    ends = _matched(line_ends(docs, templates, sorted(prefix_words), text), templates, index, order, threshold).withColumn("line", F.lit(False))
-    both = lines.unionByName(ends).groupBy("_md5", "label", "block", "line", "first", "last").agg(F.max("containment").alias("containment"))
-    both = both.withColumn("place", 2 * F.col("block") + F.when(F.col("line"), 0).otherwise(1))
-    near = Window.partitionBy("_md5", "label").orderBy("place")
-    line = F.when(F.col("line"), F.col("block"))
-    above = F.max(line).over(near.rowsBetween(Window.unboundedPreceding, 0))
-    below = F.min(line).over(near.rowsBetween(0, Window.unboundedFollowing))
-    both = both.select("*", above.alias("above"), below.alias("below"))
-    clear = F.coalesce(F.col("above") < F.col("first"), F.lit(True)) & F.coalesce(F.col("below") > F.col("last"), F.lit(True))
-    both = both.where(F.col("line") | clear)
-    goes_on = F.coalesce(F.lag("place").over(near) == F.col("place") - 2, F.lit(False))
-    return both.select("_md5", "label", "containment", (F.col("line") | ~goes_on).alias("begins"))
+    wanted = candidates(found, templates, index, order, threshold)
+    labels = wanted.groupBy("_md5").agg(F.collect_list("label").alias("labels"))  # as many as there are templates
+    vocabulary = _vocabulary(templates)
+    rows = docs.select(_key(text), lowered(F.col(text)).alias("_low")).join(labels, "_md5")
+    words = F.transform(word_list(F.col("_low")), lambda w, i: F.struct(i.alias("i"), w.alias("w")))
+    rows = rows.select("_md5", "labels", F.filter(words, lambda x: x["w"].isin(*vocabulary)).alias("places"))
+    kinds = index.select("label", "tokens", "t_size", "need", "stretch").distinct()
+    pairs = rows.select("_md5", F.explode("labels").alias("label"), "places").join(kinds, "label")
+    return verified(pairs).distinct()  # equal texts match alike
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """Base columns, `labels` and `score` for every row of `docs` (packed in `_row`)."""
-    found = all_matches(docs, templates, threshold, text).groupBy("_md5").agg(
+    found = matches(docs, templates, threshold, text).groupBy("_md5").agg(
         F.collect_set("label").alias("_found"),  # as many as the template list has labels
         F.max("containment").alias("_best"),
-        F.count_if("begins").alias("n_blocks"),  # equal texts match at the same blocks, which stand there once
+        F.sum("blocks").alias("n_blocks"),
     )
     rows = base(docs, text).join(found, "_md5", "left")
     labels = F.array_sort(F.array_union("_base_labels", F.coalesce("_found", F.array().cast("array<string>"))))

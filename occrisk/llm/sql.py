@@ -6,6 +6,8 @@ templates, as plain list functions and groupings.
 
 from __future__ import annotations
 
+import math
+
 from occrisk.llm import op1_license, op3_quality
 
 
@@ -21,8 +23,8 @@ def _licenses() -> str:
         + " and ".join((f"w = '{p}'" if k == 0 else f"words[i + {k}] = '{p}'") for k, p in enumerate(phrase.split()))
         for label, phrase in op1_license.PHRASES
     )
-    blocks = " union all ".join(
-        f"select doc_id, '{label}' as label, len(list_filter([{_quoted(sorted(set(words.split())))}], lambda t: list_contains(b, t))) / {float(len(set(words.split())))} as share from blocks"
+    templates = ", ".join(
+        f"('{label}', [{_quoted(sorted(set(words.split())))}], {len(set(words.split()))}, {math.ceil(op1_license.THRESHOLD * len(set(words.split())) - 1e-9)}, {op1_license.stretch_of(words)})"
         for label, words in op1_license.TEMPLATES
     )
     return f"""
@@ -31,10 +33,15 @@ worded as (select doc_id, t, regexp_extract_all(t, '{word}') as words from low),
 numbered as (select doc_id, words, unnest(words) as w, unnest(range(1, len(words) + 1)) as i from worded),
 hits as ({hits}),
 base as (select doc_id, count(*) as n_base, min(place) as first_word, max(place) as last_word, string_agg(distinct label, ',' order by label) as base_labels from hits group by doc_id),
-blocks as (select doc_id, regexp_extract_all(unnest(string_split(t, chr(10))), '{word}') as b from low),
-shares as ({blocks}),
-matched as (select doc_id, label, share from shares where share >= {op1_license.THRESHOLD}),
-method as (select doc_id, max(share) as best, count(*) as n_blocks from matched group by doc_id),
+templates(label, tokens, size, need, stretch) as (values {templates}),
+places as (select n.doc_id, t.label, t.size, t.need, t.stretch, n.i, n.w from numbered n join (select *, unnest(tokens) as token from templates) t on n.w = t.token),
+near as (select a.doc_id, a.label, a.size, a.need, a.stretch, a.i, count(distinct b.w) as n from places a join places b
+  on a.doc_id = b.doc_id and a.label = b.label and b.i >= a.i and b.i < a.i + a.stretch
+  where (a.doc_id, a.label) in (select (doc_id, label) from places group by doc_id, label having count(distinct w) >= any_value(need)) group by all),
+matched as (select doc_id, label, max(n / size::double) as share, any_value(stretch) as stretch, list(i order by i) as starts from near where n >= need group by doc_id, label),
+counted as (select *, list_reduce(list_prepend({{'n': 0, 'i': 0::bigint}}, list_transform(starts, lambda x: {{'n': 0, 'i': x::bigint}})),
+  lambda a, x: case when x.i >= a.i then {{'n': a.n + 1, 'i': (x.i + stretch)::bigint}} else a end).n as apart from matched),
+method as (select doc_id, max(share) as best, sum(apart) as n_blocks from counted group by doc_id),
 labels as (select doc_id, string_agg(distinct label, ',' order by label) as labels from (select doc_id, label from hits union all select doc_id, label from matched) group by doc_id)
 select w.doc_id, cast(len(w.words) as bigint) as n_words, cast(coalesce(b.n_base, 0) as bigint) as n_base,
   cast(b.first_word as bigint) as first_word, cast(b.last_word as bigint) as last_word,

@@ -31,10 +31,10 @@ def licence(text: str | None, phrases, templates, threshold: float) -> tuple:
         found = [i for i in range(len(words)) if words[i : i + len(parts)] == parts]
         places += found
         labels |= {label} if found else set()
-    for line in text.split("\n"):
-        block = set(re.findall(pattern, line))
-        for label, wording in templates:
-            share = len(set(wording.split()) & block) / len(set(wording.split()))
+    for label, wording in templates:
+        tokens, stretch = set(wording.split()), math.ceil(1.5 * len(wording.split()))
+        for i, w in enumerate(words):
+            share = len(tokens.intersection(words[i : i + stretch])) / len(tokens) if w in tokens else 0
             if share >= threshold:
                 best[label] = max(share, best.get(label, 0.0))
     score = max([1.0 if places else 0.0, *best.values()])

@@ -33,7 +33,21 @@ def test_license_threshold_is_inclusive(spark):
     templates = (("t", "alpha beta gamma delta"),)
     rows = [(1, "alpha beta gamma"), (2, "alpha beta"), (3, "DELTA x gamma y BETA"), (4, "alpha\nbeta gamma")]
     found = op1_license.matches(spark.createDataFrame(rows, "doc_id int, text string"), templates, 0.75)
-    assert sorted(r["containment"] for r in found.collect()) == [0.75, 0.75]
+    assert sorted((r["containment"], r["blocks"]) for r in found.collect()) == [(0.75, 1)] * 3
+
+
+def test_words_far_apart_are_no_notice(spark):
+    """A block is bounded by its template, however long the line."""
+    filler = "and so it went on by the shore " * 500
+    bsd = "redistribution and use in source and binary forms with or without modification are permitted".split()
+    rows = [
+        (1, "The license of the harbor was released in May; under MIT rules " + filler),
+        (2, filler.join(f" {w} " for w in bsd)),
+        (3, filler + "Released, finally, under the MIT license. " + filler),
+        (4, filler + " ".join(bsd[:-1]) + " " + filler + " ".join(bsd) + "\n" + " ".join(bsd)),
+    ]
+    got = {r["_row"]["doc_id"]: (r["labels"], r["n_blocks"]) for r in op1_license.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: ("", 0), 2: ("", 0), 3: ("mit", 1), 4: ("bsd", 3)}
 
 
 def test_quality(spark, documents):
