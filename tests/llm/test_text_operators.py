@@ -218,3 +218,34 @@ def test_wrapped_notices(spark):
         1: ("gpl,gpl-3.0", 1.0, 1), 2: ("bsd", 1.0, 1), 3: ("gpl,gpl-3.0", 1.0, 1),
         4: ("gpl,gpl-3.0", 1.0, 1), 5: ("", 0.0, 0), 6: ("apache-2.0,mit", 1.0, 2),
     }
+
+
+def test_attention_reads_every_subword_id(spark):
+    """Words that share their first id tell by a later one which word follows."""
+    own = op4_tokens.encoder(op4_tokens.default_vocabulary())
+    assert own[b"w0"][:4] == own[b"w3"][:4] and own[b"w0"] != own[b"w3"]
+    random = np.random.default_rng(5)
+    follows = {"w0": "red", "w3": "blue"}
+    texts = [" ".join(f"{w} {follows[w]}" for w in random.choice(["w0", "w3"], 4000)) for _ in range(12)]
+    got = op2_lm.scores(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)).collect()
+    assert all(r["score"] / r["n_tokens"] > -0.25 for r in got)  # -0.30 if what follows were as open as the word before
+
+
+def test_ids_have_a_distribution_and_its_gradients():
+    """Class and forks give probabilities that add up to one over all ids; gradients are those of differences."""
+    random = np.random.default_rng(4)
+    classes = np.array([0, 1, 1, 1, 2, 2, 3, 1, 3])
+    tree = attention.Tree(classes, random.integers(0, 50, 9).astype(float))
+    weights = {n: v.astype(np.float64) + 0.3 * random.standard_normal(v.shape) for n, v in attention.initial(4, 9, tree).items()}
+    ids = random.integers(0, 9, 20)
+    # another text ends in the id that is read before every text
+    each = [attention.log_probabilities(weights, np.concatenate([ids, [i], [8]]), np.array([21, 1]), tree)[20] for i in range(9)]
+    assert np.exp(each).sum() == pytest.approx(1, abs=1e-5)
+    x, y = random.integers(0, 9, (3, attention.WINDOW)), random.integers(0, 9, (3, attention.WINDOW))
+    use = random.random(x.shape) < 0.7
+    g, loss = attention.gradients(weights, x, y, use, tree)
+    for name, value in weights.items():
+        for at in (tuple(0 for _ in value.shape), tuple(n - 1 for n in value.shape)):
+            moved = {n: v.copy() for n, v in weights.items()}
+            moved[name][at] += 1e-4
+            assert (attention.gradients(moved, x, y, use, tree)[1] - loss) / 1e-4 == pytest.approx(g[name][at], rel=2e-2, abs=2e-4)
