@@ -25,7 +25,7 @@ def null_aware_anti(left: DataFrame, key: Column, right: DataFrame, right_key: s
     holds_null = keys.agg(F.max(F.col("_r").isNull()).alias("nulls")).scalar()
     probe = left.withColumn("_k", key)
     rest = probe.join(keys, F.col("_k").eqNullSafe(F.col("_r")), "left_anti")
-    return rest.filter(F.coalesce(~holds_null & F.col("_k").isNotNull(), F.lit(True))).drop("_k")
+    return rest.filter(holds_null.isNull() | (~holds_null & F.col("_k").isNotNull())).drop("_k")
 
 
 def year_intersection(a: DataFrame, b: DataFrame, year: str = "ano") -> tuple[Column, Column]:
