@@ -249,3 +249,22 @@ def test_ids_have_a_distribution_and_its_gradients():
             moved = {n: v.copy() for n, v in weights.items()}
             moved[name][at] += 1e-4
             assert (attention.gradients(moved, x, y, use, tree)[1] - loss) / 1e-4 == pytest.approx(g[name][at], rel=2e-2, abs=2e-4)
+
+
+def test_encoder_parts_words_as_the_library_does():
+    """One entry for a word, however it is written and whatever stop follows; the library's ids for any text."""
+    from tokenizers import Tokenizer
+
+    path = op4_tokens.default_vocabulary()
+    own = op4_tokens.WordEncoder(path)
+    own.ids("Harbour harbour. HARBOUR, harbour... Müller, müller.")
+    assert set(own.known) == {b"harbour", "müller".encode(), b".", b",", b"..."}
+    tokenizer = Tokenizer.from_file(path)
+    pieces = (
+        "It's don't. 'tis, We'll. A.B. a.b, 3.14. x9., \"So.\" so.' ». à. Œuvre. œil, ÀÉß. ÷. ÿ., µ. ª, İx. ıx. J̌. İ, é. K. …. 漢字. "
+        "<|endoftext|> <|ENDOFTEXT|>. <|EndOfText|> ., .. , \u0085x. \x1cy, \ny.\tz,\x0b q.\r\n É. é,É. á. ÷, -. ***, no,yes. Ⱥ. ſ."
+    ).split(" ")
+    random = np.random.default_rng(6)
+    texts = [*pieces, *(" ".join(random.choice(pieces[:n], 9)) for n in (18, len(pieces)) for _ in range(300)), None, "", " . ", ","]
+    for text in texts:
+        assert own.ids(text).tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, text
