@@ -1,10 +1,13 @@
 """License scan, quality rules, scores, shards: whole small tables against plain versions."""
 
 import math
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from hard_rows import SF_DIR, empty, hard  # noqa: F401
 
@@ -268,3 +271,25 @@ def test_encoder_parts_words_as_the_library_does():
     texts = [*pieces, *(" ".join(random.choice(pieces[:n], 9)) for n in (18, len(pieces)) for _ in range(300)), None, "", " . ", ","]
     for text in texts:
         assert own.ids(text).tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_large_batches_are_read_in_slices():
+    """Spark hands over thousands of rows at once: what a task holds besides them does not follow their number."""
+    sizes = np.array([0, 5, op2_lm.BUFFER, op2_lm.BUFFER + 1, 1, op2_lm.BUFFER - 1, 1, 3])
+    assert list(op2_lm._slices(sizes)) == [(0, 2), (2, 3), (3, 4), (4, 6), (6, 8)]
+    random = np.random.default_rng(8)
+    rank = SimpleNamespace(value=random.permutation(op2_lm.IDS + 1))
+    ids = [random.integers(0, op2_lm.IDS + 1, n).astype("<u2") for n in (3000, 1, 200_000, *[2000] * 3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i.tobytes() for i in ids], pa.binary())], names=["ids"])
+    tracemalloc.start()
+    (got,) = op2_lm._contexts(rank)(iter([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24e6  # 72 MB if all were read at once
+    place = rank.value[np.concatenate(ids)]
+    want = np.zeros((op2_lm.CLUSTERED, op2_lm.SINGLES + 1))
+    met = 1 + np.flatnonzero((place[1:] >= op2_lm.SINGLES) & (place[1:] < op2_lm.SINGLES + op2_lm.CLUSTERED))
+    np.add.at(want, (place[met] - op2_lm.SINGLES, np.minimum(place[met - 1], op2_lm.SINGLES)), 1)
+    found = np.zeros(want.size)
+    found[got.column(0).to_numpy()] = got.column(1).to_numpy()
+    assert np.array_equal(found, want.ravel())
