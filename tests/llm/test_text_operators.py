@@ -293,3 +293,38 @@ def test_large_batches_are_read_in_slices():
     found = np.zeros(want.size)
     found[got.column(0).to_numpy()] = got.column(1).to_numpy()
     assert np.array_equal(found, want.ravel())
+
+
+def test_attention_works_on_places_in_use_only():
+    """Places that are only looked back to are not queried; states, paths and sums of rows are those of plain loops."""
+    random = np.random.default_rng(9)
+    weights = {n: v.astype(np.float64) for n, v in attention.initial(6).items()}
+    cut = attention.WINDOW - attention.STRIDE
+    use = random.random((9, attention.WINDOW)) < 0.6
+    use[:7, :cut], use[8, cut:] = False, False
+    x = random.integers(0, 6, use.shape)
+    h, used, (*_, blocks) = attention._attended(weights, x, use)
+    assert sum(a.shape[0] * a.shape[1] for *_, a in blocks) == 8 * attention.STRIDE + 2 * cut
+    assert sorted(used) == np.flatnonzero(use).tolist() and (np.diff(x.ravel()[used]) >= 0).all()
+    for state, at in zip(h, used.tolist()):
+        n, i = divmod(at, attention.WINDOW)
+        e = weights["emb"][x[n, : i + 1]] + weights["pos"][: i + 1]
+        a = np.exp((e[i] @ weights["wq"]) @ (e @ weights["wk"]).T / np.sqrt(attention.WIDTH))
+        assert state == pytest.approx(e[i] + (a / a.sum()) @ (e @ weights["wv"]) @ weights["wo"], abs=1e-6)
+    classes = np.array([0, 1, 1, 1, 2, 2, 3, 1, 3])
+    tree = attention.Tree(classes, random.integers(0, 50, 9).astype(float))
+    ids = random.integers(0, 9, 40)
+    has, sizes, forks, _ = tree.paths(ids)
+    assert sorted(has) == np.flatnonzero(np.bincount(classes)[classes[ids]] > 1).tolist()
+    values = random.standard_normal((forks.size, 3))
+    want = np.zeros((40, 3))
+    for level, m in enumerate(sizes):
+        begin = sum(sizes[:level])
+        assert (forks[begin : begin + m] == tree.forks[tree.begin[ids[has[:m]]] + level]).all()
+        np.add.at(want, has[:m], values[begin : begin + m])
+    assert attention._over_levels(values, sizes) == pytest.approx(want[has])
+    order = np.argsort(forks, kind="stable")
+    at, sums = attention._summed(forks[order], values[order])
+    want = np.zeros((tree.biases.size, 3))
+    np.add.at(want, forks, values)
+    assert sums == pytest.approx(want[at]) and at.tolist() == np.unique(forks).tolist()
