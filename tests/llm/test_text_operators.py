@@ -3,11 +3,13 @@
 import math
 import tracemalloc
 import zlib
+from collections import Counter
 from types import SimpleNamespace
 
 import brute
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hard_rows import SF_DIR, empty, hard  # noqa: F401
 
@@ -328,3 +330,37 @@ def test_attention_works_on_places_in_use_only():
     want = np.zeros((tree.biases.size, 3))
     np.add.at(want, forks, values)
     assert sums == pytest.approx(want[at]) and at.tolist() == np.unique(forks).tolist()
+
+
+def test_words_are_added_up_in_buckets(monkeypatch):
+    """A part hands over a row for each bucket; every part gets counts and ids of all its words, and each word comes once without a part."""
+    own = op4_tokens.encoder(op4_tokens.default_vocabulary())
+    random = np.random.default_rng(10)
+    vocabulary = [*(f"w{n}" for n in range(9000)), "é", "\u0001", "x" * 3000, "漢字."]
+    parts = [[" ".join(random.choice(vocabulary, 4000)) for _ in range(5)] + [None, ""] for _ in range(3)]
+    indexed = []
+    for k, texts in enumerate(parts):
+        monkeypatch.setattr(op2_lm.TaskContext, "get", lambda k=k: SimpleNamespace(partitionId=lambda: k))
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+        indexed += list(op2_lm._index(iter([batch])))
+    rows = pa.Table.from_batches(indexed).select(["part", "bucket", "words", "number", "n"])
+    rows = rows.filter(pc.is_valid(rows.column("bucket"))).sort_by("bucket").combine_chunks()
+    assert rows.num_rows <= 3 * op2_lm.BUCKETS < sum(len({w for t in texts for w in op2_lm.words(t)}) for texts in parts)
+    monkeypatch.setattr(op2_lm, "BUFFER", 1000)  # several tables of whole buckets
+    found = pa.Table.from_batches(op2_lm._spell(None)(iter(rows.to_batches(max_chunksize=700))))
+    want = Counter(w for texts in parts for n, t in enumerate(texts) if not op2_lm._held(n) for w in op2_lm.words(t))
+    for k, texts in enumerate(parts):
+        at = found.filter(pc.equal(found.column("part"), k << 32))
+        number, c, sizes = (op2_lm._joined(at.column(name), kind) for name, kind in (("number", "<i4"), ("c", "<i8"), ("sizes", "<i4")))
+        words = list(dict.fromkeys(w for t in texts for w in op2_lm.words(t)))
+        assert sorted(number) == list(range(len(words))) and [want[words[n]] for n in number] == c.tolist()
+        spelled = [np.frombuffer(own[words[n]], "<u4") for n in number]
+        assert sizes.tolist() == [s.size for s in spelled]
+        assert (op2_lm._joined(at.column("ids"), "<u2") == np.concatenate(spelled)).all()
+    whole = found.filter(pc.is_null(found.column("part")))
+    assert whole.num_rows > 3 and sum(op2_lm._joined(whole.column("c"), "<i8")) == sum(want.values())
+    (cells,) = op2_lm._letters(iter(whole.select(["c", "sizes", "ids"]).to_batches()))
+    letters = np.zeros(4 * (op2_lm.IDS + 1) + 2)
+    letters[cells.column(0).to_numpy()] = cells.column(1).to_numpy()
+    assert letters[-2:].tolist() == [sum(want.values()), sum(n > 0 for n in want.values())]
+    assert letters[: op2_lm.IDS + 1].sum() == sum(n * len(own[w]) // 4 for w, n in want.items())
