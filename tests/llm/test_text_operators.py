@@ -316,13 +316,14 @@ def test_attention_works_on_places_in_use_only():
     classes = np.array([0, 1, 1, 1, 2, 2, 3, 1, 3])
     tree = attention.Tree(classes, random.integers(0, 50, 9).astype(float))
     ids = random.integers(0, 9, 40)
-    has, sizes, forks, _ = tree.paths(ids)
+    has, sizes, path, forks, _ = tree.paths(ids)
     assert sorted(has) == np.flatnonzero(np.bincount(classes)[classes[ids]] > 1).tolist()
     values = random.standard_normal((forks.size, 3))
     want = np.zeros((40, 3))
     for level, m in enumerate(sizes):
         begin = sum(sizes[:level])
         assert (forks[begin : begin + m] == tree.forks[tree.begin[ids[has[:m]]] + level]).all()
+        assert path[begin : begin + m].tolist() == list(range(m))
         np.add.at(want, has[:m], values[begin : begin + m])
     assert attention._over_levels(values, sizes) == pytest.approx(want[has])
     order = np.argsort(forks, kind="stable")
